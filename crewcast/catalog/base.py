@@ -21,7 +21,9 @@ class Tables:
         self.spark, self.folder = spark, folder.rstrip("/")
 
     def __getattr__(self, name: str) -> DataFrame:
-        return read_parquet(self.spark, f"{self.folder}/{name}.parquet")
+        frame = read_parquet(self.spark, f"{self.folder}/{name}.parquet")
+        self.__dict__[name] = frame
+        return frame
 
     def new_folder(self) -> str:
         return shared_folder(self.spark)

@@ -21,6 +21,8 @@ SETTINGS = {
     # A re-run of a month replaces that month instead of counting it twice.
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.filterPushdown": "true",
+    # Recording a call site for every column expression costs more than planning most queries.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
