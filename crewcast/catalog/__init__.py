@@ -1,2 +1,2 @@
-from crewcast.catalog import facts, series
+from crewcast.catalog import facts, history, labels, series, wide
 from crewcast.catalog.base import ORACLES, QUERIES

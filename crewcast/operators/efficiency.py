@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from crewcast import fixed_values as fv
 from crewcast.functions import guarded_ratio, mentions, month_of, row_fingerprint
+from crewcast.operators.panel import carried_forward
 from crewcast.operators.reshape import month_columns, unpivot_months
 
 
@@ -132,11 +133,9 @@ def efficiency_reductions(rules: DataFrame, lookup: DataFrame, forecasts: DataFr
         ),
     )
     started = month_of(F.col("appointment_month")) >= month_of(F.col("Forecast_Date").cast("date"))
-    so_far = Window.partitionBy("Forecast_Date", "efficiency_uid").orderBy("appointment_month").rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
-    )
     cumulative = merged.filter(started).withColumn(
-        "efficiency_reduction", F.last("reduction_value", ignorenulls=True).over(so_far)
+        "efficiency_reduction",
+        carried_forward("reduction_value", ["Forecast_Date", "efficiency_uid"], "appointment_month"),
     )
     return cumulative.join(targets, "efficiency_uid").select(
         "Forecast_Date", "appointment_month", "product", F.col("job_type").alias("Work_Order_Action"), "district",

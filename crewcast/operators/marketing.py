@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from crewcast.fixed_values import CORRECTED_ACTION, VOLUME_TYPE
 from crewcast.functions import month_of
 from crewcast.operators.joins import with_each
+from crewcast.operators.panel import previous_or
 
 
 def volume_calendar(sheet: DataFrame, as_of: date, volume_type: str = VOLUME_TYPE) -> DataFrame:
@@ -27,13 +28,11 @@ def volume_calendar(sheet: DataFrame, as_of: date, volume_type: str = VOLUME_TYP
     )
     now = month_of(F.lit(as_of))
     zero = F.lit(0)
-    previous = F.lag("Adjusted_Actual").over(
-        Window.partitionBy("Product").orderBy("Appointment_Month", "Adjusted_Actual")
-    )
+    previous = previous_or("Adjusted_Actual", ["Product"], ["Appointment_Month", "Adjusted_Actual"], 0)
     past, ahead = F.col("Appointment_Month") <= now, F.col("Appointment_Month") >= now
     return rows.select(
         "Appointment_Month", "Product",
-        F.when(past, F.coalesce(previous, zero)).otherwise(zero).cast("bigint").alias("Actual_RGU"),
+        F.when(past, previous).otherwise(zero).cast("bigint").alias("Actual_RGU"),
         F.when(ahead, F.coalesce("Original_Actual", zero)).otherwise(zero).cast("bigint").alias("Forecasted_RGU"),
         F.when(ahead, F.coalesce("Adjusted_Actual", zero)).otherwise(zero).cast("bigint").alias("Adjusted_RGU"),
     )

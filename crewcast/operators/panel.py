@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from crewcast.functions import add_month_steps, month_of, month_sequence, series_identifier
 
@@ -17,6 +17,17 @@ def period_sums(
     return facts.groupBy(*keys, period.alias(name)).agg(*[F.sum(m).alias(m) for m in measures])
 
 
+def carried_forward(value: str, keys: Sequence[str], order: str) -> Column:
+    """The last known value up to each row. A key's rows are its periods, so a window is short."""
+    so_far = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return F.last(value, ignorenulls=True).over(so_far)
+
+
+def previous_or(value: str, keys: Sequence[str], order: Sequence[str], default: object) -> Column:
+    """The preceding row's value; the default where there is none or it is null."""
+    return F.coalesce(F.lag(value).over(Window.partitionBy(*keys).orderBy(*order)), F.lit(default))
+
+
 def fill_periods(
     sums: DataFrame, keys: Sequence[str], period: str, measures: Sequence[str], calendar: Column
 ) -> DataFrame:
