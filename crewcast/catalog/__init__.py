@@ -1,2 +1,2 @@
-from crewcast.catalog import daily, facts, history, labels, series, wide
+from crewcast.catalog import correction, daily, efficiency, facts, history, labels, publish, series, storage, wide
 from crewcast.catalog.base import ORACLES, QUERIES

@@ -80,7 +80,7 @@ def newest_flag(t: Tables) -> DataFrame:
 
 @query("nth_latest_version", f"""
 WITH {ORDER_FACTS_SQL}, {FORECAST_SQL}
-SELECT f.Forecast_Date, f.Product, round(SUM(f.predicted_SWT.value), 2) AS SWT
+SELECT f.Forecast_Date, f.Product, round(SUM(f.predicted_SWT.value), 4) AS SWT
 FROM forecast f
 WHERE f.Forecast_Date = (SELECT DISTINCT Forecast_Date FROM forecast ORDER BY Forecast_Date DESC LIMIT 1 OFFSET 5)
 GROUP BY ALL""")
@@ -88,5 +88,5 @@ def sixth_newest(t: Tables) -> DataFrame:
     rows = forecast_history(t)
     version = nth_latest_version(rows, "Forecast_Date", 5)
     return rows.join(version, "Forecast_Date").groupBy("Forecast_Date", "Product").agg(
-        F.round(F.sum("predicted_SWT.value"), 2).alias("SWT")
+        F.round(F.sum("predicted_SWT.value"), 4).alias("SWT")
     )

@@ -9,6 +9,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from crewcast.fixed_values import MONTHLY_CONTEXT, MONTHLY_HORIZON
+
 GROUP = ("series_id", "split_index")
 
 
@@ -142,49 +144,59 @@ def monthly_global_forecast(
     identifier: str,
     month: str,
     target: str,
-    horizon: int = 18,
-    context: int = 18,
-    trees: int = 20,
-    depth: int = 5,
-    seed: int = 7,
+    horizon: int = MONTHLY_HORIZON,
+    context: int = MONTHLY_CONTEXT,
+    penalty: float = 1e-6,
 ) -> DataFrame:
-    """One boosted-tree model over all series, trained for every horizon step at once.
+    """One least-squares model over all series: last ``context`` months, season and attributes.
 
-    A row describes a series at an origin month by its last ``context`` values, the step, the
-    target's month of the year and its attributes (replaced by smoothed target means, so a wide
-    attribute costs no more than a narrow one). ``panel`` must be dense.
+    Squared error is pooled over all series. Attributes enter as smoothed target means, so a wide
+    attribute costs no more than a narrow one. Fitting is one aggregation over the training rows;
+    the few coefficients come back to the driver, and every series is then unrolled ``horizon``
+    months ahead in one expression. ``panel`` must be dense.
     """
     from pyspark.ml import Pipeline
     from pyspark.ml.feature import StringIndexer, TargetEncoder, VectorAssembler
-    from pyspark.ml.regression import GBTRegressor
+    from pyspark.ml.regression import LinearRegression
 
     by_month = Window.partitionBy(identifier).orderBy(month)
     value = F.col(target).cast("double")
-    lags = [f"lag_{k}" for k in range(context)]
-    origins = panel.select(
-        identifier, month, *[F.coalesce(a, F.lit("None")).alias(a) for a in attributes],
-        *[F.lag(value, k).over(by_month).alias(n) for k, n in enumerate(lags)],
-        F.array(*[F.lead(value, h).over(by_month) for h in range(1, horizon + 1)]).alias("_ahead"),
-        F.lead(month).over(by_month).isNull().alias("_newest"),
-    ).filter(F.col(lags[-1]).isNotNull())
-    rows = origins.select("*", F.posexplode("_ahead").alias("_pos", "label")).withColumns({
-        "step": (F.col("_pos") + 1).cast("double"),
-        "_month": F.add_months(month, F.col("_pos") + 1),
-    }).withColumn("season", F.month("_month").cast("double"))
+    lags = [f"lag_{k}" for k in range(1, context + 1)]
+    seasons = [f"month_{m}" for m in range(2, 13)]
+    rows = panel.select(
+        identifier, month, *[F.coalesce(a, F.lit("None")).alias(a) for a in attributes], value.alias("label"),
+        *[F.lag(value, k).over(by_month).alias(n) for k, n in enumerate(lags, 1)],
+        *[(F.month(month) == m).cast("double").alias(n) for m, n in enumerate(seasons, 2)],
+        F.lead(month).over(by_month).isNull().alias("newest"),
+    )
     indexed, encoded = [f"{a}_index" for a in attributes], [f"{a}_mean" for a in attributes]
-    stages = [
+    encoder = Pipeline(stages=[
         StringIndexer(inputCols=list(attributes), outputCols=indexed, handleInvalid="keep"),
         TargetEncoder(inputCols=indexed, outputCols=encoded, labelCol="label", targetType="continuous",
                       smoothing=10.0, handleInvalid="keep"),
-        VectorAssembler(inputCols=[*lags, "step", "season", *encoded], outputCol="features"),
-        GBTRegressor(labelCol="label", featuresCol="features", maxIter=trees, maxDepth=depth, seed=seed),
-    ]
-    model = Pipeline(stages=stages).fit(rows.filter(F.col("label").isNotNull()))
-    ahead = model.transform(rows.filter("_newest"))
-    return ahead.select(
-        F.col(identifier), F.col("_month").alias(month), *attributes,
-        F.greatest("prediction", F.lit(0.0)).alias(f"predicted_{target}"),
-    )
+        VectorAssembler(inputCols=[*lags, *seasons, *encoded], outputCol="features"),
+    ])
+    training = rows.filter(F.col(lags[-1]).isNotNull())
+    prepared = encoder.fit(training)
+    model = LinearRegression(regParam=penalty, solver="normal").fit(prepared.transform(training))
+    weights = [float(w) for w in model.coefficients]
+    lag_weights, rest = weights[:context], weights[context:]
+    season_weights = F.array(F.lit(0.0), *[F.lit(w) for w in rest[: len(seasons)]])
+    level = F.lit(float(model.intercept))
+    for name, weight in zip(encoded, rest[len(seasons):]):
+        level = level + F.col(name) * F.lit(weight)
+
+    def advance(state: Column, step: Column) -> Column:
+        ahead = level + F.element_at(season_weights, F.month(F.add_months(month, step)))
+        for back, weight in enumerate(lag_weights, 1):
+            ahead = ahead + F.element_at(state, -back) * F.lit(weight)
+        return F.concat(state, F.array(ahead))
+
+    newest = prepared.transform(training.filter("newest"))
+    known = F.array(*[F.col(n) for n in reversed(lags[:-1])], F.col("label"))
+    path = F.slice(F.aggregate(F.sequence(F.lit(1), F.lit(horizon)), known, advance), context + 1, horizon)
+    ahead = newest.select(identifier, month, *attributes, F.posexplode(path).alias("_pos", f"predicted_{target}"))
+    return ahead.withColumn(month, F.add_months(month, F.col("_pos") + 1)).drop("_pos")
 
 
 def forecast_counts(train: DataFrame, forecasts: DataFrame) -> DataFrame:

@@ -25,10 +25,12 @@ def series_facts(fact: DataFrame, dropped_groups: Sequence[str] = fv.SERIES_EXCL
     )
 
 
-def settled_months(panel: DataFrame, as_of: date, settle_days: int = fv.SETTLE_DAYS) -> DataFrame:
+def settled_months(
+    panel: DataFrame, as_of: date, settle_days: int = fv.SETTLE_DAYS, first_month: date = fv.CALENDAR_START
+) -> DataFrame:
     """Months that closed long enough ago for late bookings to be in."""
     return panel.filter(
-        (F.col("Appointment_Month") >= F.lit(fv.CALENDAR_START))
+        (F.col("Appointment_Month") >= F.lit(first_month))
         & (F.col("Appointment_Month") < month_of(F.date_sub(F.lit(as_of), settle_days)))
     )
 
@@ -39,6 +41,7 @@ def display_union(
     as_of: date,
     tiers: Mapping[str, str] = fv.DISTRICT_TIERS,
     settle_days: int = fv.SETTLE_DAYS,
+    first_month: date = fv.CALENDAR_START,
 ) -> DataFrame:
     """Settled actuals and all predictions in one relation, with tier and newest-version flag."""
 
@@ -51,7 +54,7 @@ def display_union(
 
     none = F.lit(None).cast("double")
     actual = F.col("SWT").cast("double")
-    past = shaped(settled_months(panel, as_of, settle_days), F.col("Appointment_Month"), {
+    past = shaped(settled_months(panel, as_of, settle_days, first_month), F.col("Appointment_Month"), {
         "SWT": actual, "Forecast_Date": F.lit("Actual"), "SWT_Type": F.lit("Actual"), "SWT_Actual": actual,
         "AWT": F.col("AWT").cast("double"), "SWT_Predicted": none, "Is_Latest_Forecast": F.lit(False),
     })
@@ -113,14 +116,19 @@ def special_project_hours(wide: DataFrame, lookup: DataFrame, keep_null_notes: b
     })
 
 
-def projects_by_version(projects: DataFrame, versions: DataFrame, horizon: int = fv.MONTHLY_HORIZON) -> DataFrame:
+def projects_by_version(
+    projects: DataFrame,
+    versions: DataFrame,
+    horizon: int = fv.MONTHLY_HORIZON,
+    first_month: date = fv.CALENDAR_START,
+) -> DataFrame:
     """Project months with hours, once per version whose window holds them.
 
     The window runs from a month before the version's day to ``horizon - 1`` months after it. Each
     version lists its few window months, so the interval join becomes an equi-join on the month.
     """
     day = F.col("Forecast_Date").cast("date")
-    window = month_sequence(F.greatest(F.lit(fv.CALENDAR_START), F.add_months(day, -1)), F.add_months(day, horizon - 1))
+    window = month_sequence(F.greatest(F.lit(first_month), F.add_months(day, -1)), F.add_months(day, horizon - 1))
     spans = versions.select("Forecast_Date", F.explode(window).alias("Appointment_Month")).filter(
         F.col("Appointment_Month").between(F.add_months(day, -1), F.add_months(day, horizon - 1))
     )
@@ -175,7 +183,7 @@ def display_cube(
         cell["awt"].alias("AWT_Historical"), cell["swt"].alias("SWT_Historical"),
         F.col("_hit.value").cast("double").alias("SWT_Predicted"),
     )
-    planned = projects_by_version(projects, versions, horizon).select(
+    planned = projects_by_version(projects, versions, horizon, first_month).select(
         day.alias("Forecast_Date"), *CUBE_COLUMNS[1:10], F.lit(None).cast("double").alias("AWT_Historical"),
         F.lit(None).cast("double").alias("SWT_Historical"), F.col("SWT_Project").cast("double").alias("SWT_Predicted"),
     )
