@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from crewcast.session import shared_folder
-from crewcast.sources.tables import read_parquet
+from crewcast.sources.tables import read_parquet, written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -28,6 +28,10 @@ class Tables:
     def new_folder(self) -> str:
         return shared_folder(self.spark)
 
+    def stored(self, rows: DataFrame) -> DataFrame:
+        """Rows that several steps read, written once to the shared folder."""
+        return written(rows, self.new_folder())
+
 
 def query(name: str, sql: str | None = None) -> Callable:
     """Register ``build(tables)`` under ``name``; ``sql`` gives the same rows in plain SQL."""

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from crewcast.catalog.base import Tables, query, rounded
 from crewcast.catalog.inputs import (
-    FORECAST_SQL, ORDER_FACTS_SQL, SEGMENT_PRODUCTS, VERSION_STAMPS, forecast_history, order_facts,
+    FORECAST_SQL, ORDER_FACTS_SQL, SEGMENT_PRODUCTS, VERSION_STAMPS, forecast_history, month_facts,
 )
 from crewcast.functions import recode
 from crewcast.operators import correction
@@ -39,7 +39,8 @@ def volumes(t: Tables) -> DataFrame:
 
 
 def hours(t: Tables) -> DataFrame:
-    return product_hours(order_facts(t), forecast_history(t))
+    fact = month_facts(t)
+    return product_hours(fact, forecast_history(fact))
 
 
 VOLUMES_SQL = """
@@ -126,7 +127,7 @@ def corrected(t: Tables) -> DataFrame:
         F.struct(F.lit(v).alias("variant"), F.lit(k).alias("lag")) for v in correction.VARIANTS for k in LAGS
     ])
     runs = correction.version_rows(hours(t), NEWEST).withColumn("_s", F.explode(settings)).select("*", "_s.variant", "_s.lag")
-    errors = correction.scaled_error(runs.drop("_s"), correction.lagged_driver(driver, LAGS))
+    errors = correction.scaled_error(runs.drop("_s"), driver)
     rows = correction.corrected_hours(errors, F.lit(ALPHA))
     return rows.select("Product", "variant", "lag", "Appointment_Month", "SWT_Type", rounded("SWT", 4), rounded("SWT_Corrected", 4))
 
@@ -134,8 +135,9 @@ def corrected(t: Tables) -> DataFrame:
 @query("correction_grid_best", f"""
 WITH {BASE_SQL}, {BEST_SQL} SELECT Product, variant, lag, alpha, round(rmse, 2) AS rmse FROM best""")
 def best(t: Tables) -> DataFrame:
-    tuning = nth_latest_version(forecast_history(t), "Forecast_Date", 5).scalar()
-    rows = correction.best_settings(hours(t), volumes(t), tuning, LAGS)
+    known = hours(t)
+    tuning = nth_latest_version(known, "Forecast_Date", 5).scalar()
+    rows = correction.best_settings(known, volumes(t), tuning, LAGS)
     return rows.select("Product", "variant", "lag", "alpha", rounded("rmse", 2))
 
 
@@ -150,9 +152,9 @@ FROM (SELECT * FROM moved WHERE variant = 'Forecasted') f
   LEFT JOIN (SELECT * FROM moved WHERE variant = 'Adjusted') a USING (Product, Appointment_Month)
   LEFT JOIN (SELECT * FROM best WHERE variant = 'Adjusted') b USING (Product)""")
 def output(t: Tables) -> DataFrame:
-    history = forecast_history(t)
-    tuning = nth_latest_version(history, "Forecast_Date", 5).scalar()
-    newest = nth_latest_version(history, "Forecast_Date", 0).scalar()
-    rows = correction.corrections(hours(t), volumes(t), tuning, newest, LAGS)
+    known = t.stored(hours(t))
+    tuning = nth_latest_version(known, "Forecast_Date", 5).scalar()
+    newest = nth_latest_version(known, "Forecast_Date", 0).scalar()
+    rows = correction.corrections(known, t.stored(volumes(t)), tuning, newest, LAGS)
     kept = [c for c in rows.columns if not c.startswith("SWT")]
     return rows.select(*kept, rounded("SWT_Forecasted_RGU", 4), rounded("SWT_Adjusted_RGU", 4))

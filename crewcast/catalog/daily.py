@@ -9,7 +9,7 @@ from crewcast.catalog.inputs import (
     DAILY_ATTRIBUTES, DAILY_SQL, FIRST_TRAIN_END, HORIZON, TRAIN_START, daily,
 )
 from crewcast.operators import evaluate, forecast, profile
-from crewcast.operators.folds import expanding_folds, held_out_rows, train_rows
+from crewcast.operators.folds import expanding_folds, held_out_rows, labelled_rows, train_rows
 from crewcast.plans.short_term import tidy
 
 DAY, WINDOW = "Appointment_Day", 183
@@ -18,25 +18,19 @@ KEPT = ["Series_Identifier", DAY, *DAILY_ATTRIBUTES]
 COLUMNS_SQL = "Series_Identifier, Appointment_Day, Region_Type, l_returnflag, l_linestatus, CAST(SWT AS DOUBLE) AS SWT"
 
 
-def train(t: Tables) -> DataFrame:
-    return train_rows(daily(t), DAY, FOLDS)
+def known(series: DataFrame) -> DataFrame:
+    return tidy(train_rows(series, DAY, FOLDS), "Series_Identifier", DAY, "SWT")
 
 
-def held_out(t: Tables) -> DataFrame:
-    return held_out_rows(daily(t), DAY, FOLDS)
+def averages(series: DataFrame) -> DataFrame:
+    return forecast.moving_average_forecast(known(series), WINDOW, HORIZON)
 
 
-def known(t: Tables) -> DataFrame:
-    return tidy(train(t), "Series_Identifier", DAY, "SWT")
-
-
-def actual(t: Tables) -> DataFrame:
-    rows = tidy(held_out(t), "Series_Identifier", DAY, "SWT")
-    return rows.withColumn("y", F.col("y").cast("double"))
-
-
-def averages(t: Tables) -> DataFrame:
-    return forecast.moving_average_forecast(known(t), WINDOW, HORIZON)
+def scored_frames(t: Tables) -> tuple[DataFrame, DataFrame]:
+    """Held-out rows and forecasts, both from one stored copy of the daily series."""
+    series = t.stored(daily(t))
+    rows = tidy(held_out_rows(series, DAY, FOLDS), "Series_Identifier", DAY, "SWT")
+    return rows.withColumn("y", F.col("y").cast("double")), averages(series)
 
 
 @query("daily_ingest", f"WITH {DAILY_SQL.strip()} SELECT {COLUMNS_SQL} FROM daily")
@@ -46,12 +40,12 @@ def ingest(t: Tables) -> DataFrame:
 
 @query("cv_train", f"WITH {DAILY_SQL.strip()} SELECT {COLUMNS_SQL}, split_index FROM train")
 def cv_train(t: Tables) -> DataFrame:
-    return train(t).select(*KEPT, *doubles("SWT"), "split_index")
+    return train_rows(daily(t), DAY, FOLDS).select(*KEPT, *doubles("SWT"), "split_index")
 
 
 @query("cv_test", f"WITH {DAILY_SQL.strip()} SELECT {COLUMNS_SQL}, split_index FROM test")
 def cv_test(t: Tables) -> DataFrame:
-    return held_out(t).select(*KEPT, *doubles("SWT"), "split_index")
+    return held_out_rows(daily(t), DAY, FOLDS).select(*KEPT, *doubles("SWT"), "split_index")
 
 
 TRAILING_SQL = """
@@ -61,7 +55,7 @@ newest_rows AS (SELECT Series_Identifier AS series_id, split_index, Appointment_
 
 @query("trailing_window", f"WITH {DAILY_SQL.strip()}, {TRAILING_SQL.strip()} SELECT * FROM newest_rows")
 def trailing(t: Tables) -> DataFrame:
-    return forecast.trailing_window(known(t), WINDOW).select("series_id", "split_index", "ds", *doubles("y"))
+    return forecast.trailing_window(known(daily(t)), WINDOW).select("series_id", "split_index", "ds", *doubles("y"))
 
 
 SMA_SQL = f"""{DAILY_SQL.strip()}, {TRAILING_SQL.strip()},
@@ -76,7 +70,7 @@ actual AS (SELECT Series_Identifier AS series_id, split_index, Appointment_Day A
 
 @query("sma_forecast", f"WITH RECURSIVE {SMA_SQL} SELECT model, series_id, split_index, ds, step, round(yhat, 2) AS yhat FROM sma")
 def sma(t: Tables) -> DataFrame:
-    return averages(t).select("model", "series_id", "split_index", "ds", "step", rounded("yhat", 2))
+    return averages(daily(t)).select("model", "series_id", "split_index", "ds", "step", rounded("yhat", 2))
 
 
 @query("seasonal_ar_forecast", f"""
@@ -114,7 +108,7 @@ SELECT 'SEASONAL_AR' AS model, series_id, split_index, CAST(last + to_days(step)
   CASE WHEN status = 'ok' THEN orders ELSE 'mean' END AS orders, status
 FROM path WHERE step > 0""")
 def seasonal(t: Tables) -> DataFrame:
-    rows = forecast.seasonal_regression_forecast(known(t), HORIZON)
+    rows = forecast.seasonal_regression_forecast(known(daily(t)), HORIZON)
     return rows.select("model", "series_id", "split_index", "ds", "step", rounded("yhat", 2), "orders", "status")
 
 
@@ -124,8 +118,8 @@ SELECT total_combinations, successful_predictions, round(successful_predictions
   SELECT (SELECT COUNT(DISTINCT Series_Identifier) * COUNT(DISTINCT split_index) FROM train) AS total_combinations,
     (SELECT COUNT(*) FROM (SELECT series_id, split_index FROM sma GROUP BY ALL HAVING count(yhat) = count(*))) AS successful_predictions)""")
 def counters(t: Tables) -> DataFrame:
-    rows = known(t)
-    return forecast.forecast_counts(rows, averages(t)).select(
+    series = t.stored(daily(t))
+    return forecast.forecast_counts(known(series), averages(series)).select(
         "total_combinations", "successful_predictions", rounded("completion_rate")
     )
 
@@ -136,7 +130,7 @@ PAIRS_SQL = "series_id, split_index, ds, y, round(yhat, 2) AS yhat"
 
 @query("aligned_by_date", f"WITH RECURSIVE {SMA_SQL}, {BY_DATE_SQL} SELECT {PAIRS_SQL} FROM by_date")
 def by_date(t: Tables) -> DataFrame:
-    pairs = evaluate.align_by_date(actual(t), averages(t))
+    pairs = evaluate.align_by_date(*scored_frames(t))
     return pairs.select("series_id", "split_index", "ds", "y", rounded("yhat", 2))
 
 
@@ -147,7 +141,7 @@ numbered AS (SELECT *, row_number() OVER (PARTITION BY series_id, split_index OR
 SELECT n.series_id, n.split_index, n.ds, n.y, round(s.yhat, 2) AS yhat FROM numbered n
   JOIN sma s ON s.series_id = n.series_id AND s.split_index = n.split_index AND s.step = n.step""")
 def by_position(t: Tables) -> DataFrame:
-    pairs = evaluate.align_by_position(actual(t), averages(t))
+    pairs = evaluate.align_by_position(*scored_frames(t))
     return pairs.select("series_id", "split_index", "ds", "y", rounded("yhat", 2))
 
 
@@ -159,7 +153,7 @@ SELECT coalesce(tier, 'Overall') AS scope, round(avg(abs(y - yhat)), 4) AS MAE,
   round(sqrt(avg((y - yhat) * (y - yhat))), 4) AS RMSE, round(avg(yhat - y), 4) AS Bias
 FROM scored GROUP BY GROUPING SETS ((tier), ()) HAVING coalesce(tier, 'Overall') <> 'Unknown'""")
 def metrics(t: Tables) -> DataFrame:
-    pairs = evaluate.align_by_date(actual(t), averages(t))
+    pairs = evaluate.align_by_date(*scored_frames(t))
     scores = evaluate.forecast_metrics(pairs, evaluate.tier_in(F.col("series_id")))
     return scores.select("scope", rounded("MAE", 4), rounded("WAPE", 8), rounded("RMSE", 4), rounded("Bias", 4))
 
@@ -171,7 +165,7 @@ scoped AS (SELECT dataset_type, split_index AS split_number, * EXCLUDE (dataset_
 
 
 def both_sets(t: Tables) -> DataFrame:
-    return profile.both_sets(train(t), held_out(t))
+    return labelled_rows(t.stored(daily(t)), DAY, FOLDS)
 
 
 @query("profile_numeric", f"""
@@ -238,7 +232,7 @@ last_year AS (SELECT * FROM train WHERE split_index = 4
 
 
 def newest_fold(t: Tables) -> DataFrame:
-    return train_rows(daily(t), DAY, FOLDS[-1:])
+    return train_rows(t.stored(daily(t)), DAY, FOLDS[-1:])
 
 
 @query("trailing_year", f"""

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from crewcast import fixed_values as fv
 from crewcast.catalog.base import Tables, money, query
 from crewcast.catalog.inputs import (
-    DISTRICTS_SQL, FORECAST_SQL, ORDER_FACTS_SQL, district_lookup, forecast_history,
+    DISTRICTS_SQL, FORECAST_SQL, ORDER_FACTS_SQL, district_lookup, forecast_history, order_facts,
 )
 from crewcast.catalog.wide import month_case
 from crewcast.operators import efficiency
@@ -31,7 +31,7 @@ def rules(t: Tables) -> DataFrame:
     )
     amounts = [F.sum(F.when(F.expr(month_case(m, "o_orderdate")), money("o_totalprice"))).cast("double").alias(m) for m in MONTHS]
     keys = [F.expr(e.strip()) for e in _split(RULE_COLUMNS)]
-    return rows.groupBy(*GROUPS.split(", ")).agg(*amounts).select(*keys, *MONTHS)
+    return t.stored(rows.groupBy(*GROUPS.split(", ")).agg(*amounts).select(*keys, *MONTHS))
 
 
 def _split(columns: str) -> list[str]:
@@ -99,7 +99,7 @@ SELECT f.Forecast_Date, f.month AS appointment_month, t.product, t.job_type AS W
   CAST(COUNT(DISTINCT t.district) AS BIGINT) AS districts, round(SUM(f.c), 4) AS efficiency_reduction
 FROM filled f JOIN targets t ON f.uid = t.uid GROUP BY ALL""")
 def reductions(t: Tables) -> DataFrame:
-    rows = efficiency.efficiency_reductions(rules(t), district_lookup(t), forecast_history(t))
+    rows = efficiency.efficiency_reductions(rules(t), district_lookup(t), forecast_history(order_facts(t)))
     return rows.groupBy("Forecast_Date", "appointment_month", "product", "Work_Order_Action").agg(
         F.count(F.lit(1)).alias("n"), F.countDistinct("district").alias("districts"),
         F.round(F.sum("efficiency_reduction"), 4).alias("efficiency_reduction"),

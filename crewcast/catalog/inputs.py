@@ -101,12 +101,19 @@ panel AS (
     AND d.Work_Order_Action IS NOT DISTINCT FROM h.Work_Order_Action AND d.Work_Force IS NOT DISTINCT FROM h.Work_Force)"""
 
 
-def forecast_history(t: Tables) -> DataFrame:
+def month_facts(t: Tables) -> DataFrame:
+    """The facts summed to months and stored: one pass over the orders serves several consumers."""
+    keys = [*DIMS, "Province", "Work_Order_Action_Grp", "Product_Grp"]
+    month = month_of(F.col("Appointment_Timestamp")).alias("Appointment_Timestamp")
+    return t.stored(order_facts(t).groupBy(month, *keys).agg(F.sum("SWT").alias("SWT"), F.sum("AWT").alias("AWT")))
+
+
+def forecast_history(fact: DataFrame) -> DataFrame:
     """Seven monthly versions of an 18-month forecast, made from the monthly sums of the facts."""
     stamps = F.array(*[
         F.struct(F.lit(s).alias("stamp"), F.lit(90 + 2 * k).alias("share")) for k, s in enumerate(VERSION_STAMPS)
     ])
-    sums = series_facts(order_facts(t)).groupBy(
+    sums = series_facts(fact).groupBy(
         month_of(F.col("Appointment_Timestamp")).alias("_month"), *DIMS
     ).agg(F.sum("SWT").alias("_swt"))
     first = month_of(F.col("_v.stamp").cast("date"))

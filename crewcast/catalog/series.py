@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from crewcast.catalog.base import Tables, doubles, query
 from crewcast.catalog.inputs import (
-    AS_OF, DIMS, FIRST_MONTH, FORECAST_SQL, ORDER_FACTS_SQL, PANEL_SQL, forecast_history, order_facts,
+    AS_OF, DIMS, FIRST_MONTH, FORECAST_SQL, ORDER_FACTS_SQL, PANEL_SQL, forecast_history, month_facts,
+    order_facts,
 )
 from crewcast.functions import month_of, series_identifier
 from crewcast.operators.latest import latest_version_flag, nth_latest_version
@@ -16,9 +17,9 @@ from crewcast.operators.panel import dense_month_panel, period_sums, prediction_
 from crewcast.operators.publish import series_facts
 
 
-def panel(t: Tables) -> DataFrame:
+def panel(t: Tables, fact: DataFrame | None = None) -> DataFrame:
     return dense_month_panel(
-        series_facts(order_facts(t)), DIMS, "Appointment_Timestamp", ["SWT", "AWT"], FIRST_MONTH, AS_OF
+        series_facts(order_facts(t) if fact is None else fact), DIMS, "Appointment_Timestamp", ["SWT", "AWT"], FIRST_MONTH, AS_OF
     )
 
 
@@ -73,7 +74,7 @@ WITH {ORDER_FACTS_SQL}, {FORECAST_SQL}
 SELECT Forecast_Date, Forecast_Date = first_value(Forecast_Date) OVER (ORDER BY Forecast_Date DESC) AS Is_Latest_Forecast,
   CAST(COUNT(*) AS BIGINT) AS n FROM forecast GROUP BY Forecast_Date""")
 def newest_flag(t: Tables) -> DataFrame:
-    rows = forecast_history(t)
+    rows = forecast_history(month_facts(t))
     flagged = rows.withColumn("Is_Latest_Forecast", latest_version_flag(rows, "Forecast_Date"))
     return flagged.groupBy("Forecast_Date", "Is_Latest_Forecast").agg(F.count(F.lit(1)).alias("n"))
 
@@ -85,7 +86,7 @@ FROM forecast f
 WHERE f.Forecast_Date = (SELECT DISTINCT Forecast_Date FROM forecast ORDER BY Forecast_Date DESC LIMIT 1 OFFSET 5)
 GROUP BY ALL""")
 def sixth_newest(t: Tables) -> DataFrame:
-    rows = forecast_history(t)
+    rows = forecast_history(month_facts(t))
     version = nth_latest_version(rows, "Forecast_Date", 5)
     return rows.join(version, "Forecast_Date").groupBy("Forecast_Date", "Product").agg(
         F.round(F.sum("predicted_SWT.value"), 4).alias("SWT")

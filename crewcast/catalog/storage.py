@@ -24,7 +24,7 @@ FROM forecast, (VALUES ('2000-08-01 06:00:00'), ('2000-09-01 06:00:00')) v(stamp
 def append(t: Tables) -> DataFrame:
     """Two versions are stamped and added; the second run of the later one changes nothing."""
     path = t.new_folder()
-    rows = forecast_history(t).filter(F.col("Forecast_Date") == VERSION_STAMPS[0]).drop("Forecast_Date")
+    rows = forecast_history(order_facts(t)).filter(F.col("Forecast_Date") == VERSION_STAMPS[0]).drop("Forecast_Date")
     for stamp in ("2000-08-01 06:00:00", "2000-09-01 06:00:00", "2000-09-01 06:00:00"):
         append_version(rows, path, stamp)
     schema = "Forecast_Date string, Product string, predicted_SWT struct<value: double>"
@@ -107,7 +107,5 @@ def coerced(t: Tables) -> DataFrame:
 @query("global_monthly_forecast")
 def global_forecast(t: Tables) -> DataFrame:
     """One least-squares model over all monthly series, 18 months ahead."""
-    path = t.new_folder()
-    stored = tables.written(panel(t), path)
-    rows = monthly_global_forecast(stored, DIMS, "Series_Identifier", "Appointment_Month", "SWT")
+    rows = monthly_global_forecast(t.stored(panel(t)), DIMS, "Series_Identifier", "Appointment_Month", "SWT")
     return rows.select("Series_Identifier", "Appointment_Month", *DIMS, F.round("predicted_SWT", 4).alias("predicted_SWT"))

@@ -22,12 +22,6 @@ def driver_sums(volumes: DataFrame) -> DataFrame:
     return totals.unpivot(["Product", "Appointment_Month"], list(VARIANTS), "variant", "rgu_values")
 
 
-def lagged_driver(driver: DataFrame, lags: Sequence[int] | None = None) -> DataFrame:
-    """The driver moved forward, once per lag; without ``lags`` the frame brings its own ``lag``."""
-    rows = driver if lags is None else driver.withColumn("lag", F.explode(F.array(*[F.lit(k) for k in lags])))
-    return rows.withColumn("Appointment_Month", F.add_months("Appointment_Month", F.col("lag")))
-
-
 def version_rows(hours: DataFrame, version: str | Column) -> DataFrame:
     """Actual months together with one version's predicted months."""
     chosen = version if isinstance(version, Column) else F.lit(version)
@@ -36,15 +30,18 @@ def version_rows(hours: DataFrame, version: str | Column) -> DataFrame:
     )
 
 
-def scaled_error(rows: DataFrame, lagged: DataFrame) -> DataFrame:
-    """Distance of each month from the driver, in hours.
+def scaled_error(rows: DataFrame, driver: DataFrame) -> DataFrame:
+    """Distance of each month from the driver ``lag`` months earlier, in hours.
 
     ``rows`` carry (Product, variant, lag). Hours and driver are scaled to 0..1 over all months of
     such a run, actual and predicted; a range of zero scales by 1, and a month without a driver
     value has no distance. A run is one product's months, so its window is short.
     """
     run = Window.partitionBy(*_RUN)
-    joined = rows.join(lagged, [*_RUN, "Appointment_Month"], "left")
+    earlier = driver.withColumnRenamed("Appointment_Month", "_driver_month")
+    joined = rows.withColumn("_driver_month", F.add_months("Appointment_Month", -F.col("lag"))).join(
+        earlier, ["Product", "variant", "_driver_month"], "left"
+    )
 
     def scale(name: str) -> tuple[Column, Column]:
         low = F.min(name).over(run)
@@ -79,7 +76,7 @@ def best_settings(
     rows = matching_keys(version_rows(hours, tuning_version), driver, ["Product"])
     settings = F.array(*[F.struct(F.lit(v).alias("variant"), F.lit(k).alias("lag")) for v in VARIANTS for k in lags])
     runs = rows.withColumn("_s", F.explode(settings)).select("*", "_s.variant", "_s.lag").drop("_s")
-    errors = scaled_error(runs, lagged_driver(driver, lags))
+    errors = scaled_error(runs, driver)
     pairs = errors.groupBy(*_RUN, "Appointment_Month").agg(
         F.max(F.when(F.col("SWT_Type") == "Actual", F.col("SWT"))).alias("_actual"),
         F.max(F.when(F.col("SWT_Type") == "Predicted", F.struct("SWT", "_error"))).alias("_p"),
@@ -114,39 +111,31 @@ def apply_settings(
     Months count where the Forecasted variant has a driver value; the Adjusted one is added where
     it has one too.
     """
-    driver = driver_sums(volumes)
-    chosen = settings.select("Product", "variant", "lag", "alpha")
-    runs = version_rows(hours, version).join(chosen, "Product")
-    lagged = lagged_driver(driver.join(chosen.select("Product", "variant", "lag"), ["Product", "variant"]))
-    fixed = corrected_hours(scaled_error(runs, lagged), F.col("alpha")).filter(
-        (F.col("SWT_Type") == "Predicted") & F.col("rgu_values").isNotNull()
-    )
+    stamp = version if isinstance(version, Column) else F.lit(version)
 
-    def variant(name: str) -> DataFrame:
-        return fixed.filter(F.col("variant") == name).select(
-            "Product", "Appointment_Month",
-            F.col("SWT_Corrected").alias(f"SWT_{name}_RGU"),
-            F.col("alpha").alias(f"Alpha_Correction_{name}"),
-            F.col("lag").cast("bigint").alias(f"Lag_Correction_{name}"),
-        )
+    def of(name: str, column: str) -> Column:
+        return F.max(F.when(F.col("variant") == name, F.col(column)))
 
-    def setting(name: str) -> DataFrame:
-        return settings.filter(F.col("variant") == name).select(
-            "Product", F.col("alpha").alias(f"Alpha_Correction_{name}"),
-            F.col("lag").cast("bigint").alias(f"Lag_Correction_{name}"),
-        )
-
-    adjusted = variant("Adjusted").drop("Alpha_Correction_Adjusted", "Lag_Correction_Adjusted")
-    stamp = version if isinstance(version, Column) else F.lit(version)
-    return (
-        variant("Forecasted")
-        .join(adjusted, ["Product", "Appointment_Month"], "left")
-        .join(setting("Adjusted"), "Product", "left")
-        .select(
-            stamp.alias("Forecast_Date"), "Appointment_Month", "Product", "SWT_Forecasted_RGU", "SWT_Adjusted_RGU",
-            "Alpha_Correction_Forecasted", "Lag_Correction_Forecasted", "Alpha_Correction_Adjusted",
-            "Lag_Correction_Adjusted",
-        )
+    wide = settings.groupBy("Product").agg(*[
+        F.struct(F.lit(v).alias("variant"), of(v, "lag").alias("lag"), of(v, "alpha").alias("alpha")).alias(v)
+        for v in VARIANTS
+    ])
+    runs = version_rows(hours, stamp).join(wide, "Product").withColumn("_s", F.explode(F.array(*VARIANTS)))
+    errors = scaled_error(runs.select("*", "_s.*").drop("_s"), driver_sums(volumes))
+    moved = corrected_hours(errors, F.col("alpha")).filter(
+        (F.col("SWT_Type") == "Predicted") & F.col("rgu_values").isNotNull()
+    )
+    months = moved.groupBy("Product", "Appointment_Month").agg(
+        *[of(v, "SWT_Corrected").alias(f"SWT_{v}_RGU") for v in VARIANTS],
+        F.count_if(F.col("variant") == VARIANTS[0]).alias("_listed"),
+        *[F.first(v).alias(v) for v in VARIANTS],
+    )
+    return months.filter(F.col("_listed") > 0).select(
+        stamp.alias("Forecast_Date"), "Appointment_Month", "Product", *[f"SWT_{v}_RGU" for v in VARIANTS],
+        *[c for v in VARIANTS for c in (
+            F.col(f"{v}.alpha").alias(f"Alpha_Correction_{v}"),
+            F.col(f"{v}.lag").cast("bigint").alias(f"Lag_Correction_{v}"),
+        )],
     )
 
 

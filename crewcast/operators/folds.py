@@ -42,3 +42,15 @@ def train_rows(series: DataFrame, day: str, folds: list[Fold]) -> DataFrame:
 def held_out_rows(series: DataFrame, day: str, folds: list[Fold]) -> DataFrame:
     """Each row with the fold that tests on it."""
     return _tagged(series, day, [(f.split_index, f.test_start, f.test_end) for f in folds])
+
+
+def labelled_rows(series: DataFrame, day: str, folds: list[Fold]) -> DataFrame:
+    """Train and test rows of all folds in one pass, told apart by ``dataset_type``."""
+
+    def tag(kind: str, fold: Fold, first: date, last: date) -> Column:
+        label = F.struct(F.lit(kind).alias("dataset_type"), F.lit(fold.split_index).alias("split_index"))
+        return F.when(F.col(day).between(F.lit(first), F.lit(last)), label)
+
+    tags = [tag("train", f, f.train_start, f.train_end) for f in folds]
+    tags += [tag("test", f, f.test_start, f.test_end) for f in folds]
+    return series.select(*series.columns, F.inline(F.array_compact(F.array(*tags))))

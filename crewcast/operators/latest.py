@@ -30,6 +30,13 @@ def latest_rows(rows: DataFrame, entity: Sequence[str], order: str) -> DataFrame
     return rows.join(tops, reduce(lambda a, b: a & b, same), "inner").select(*rows.columns)
 
 
+def latest_counts(rows: DataFrame, entity: str, order: str, name: str) -> DataFrame:
+    """How many rows :func:`latest_rows` would keep per entity, by two aggregations and no join."""
+    ties = rows.groupBy(entity, order).agg(F.count(F.lit(1)).alias(name))
+    newest = F.max(F.struct(F.col(order), F.col(name)))
+    return ties.groupBy(entity).agg(newest[name].alias(name))
+
+
 @dataclass(frozen=True)
 class Latest:
     """One output of :func:`latest_pivot`: which codes feed it, and from which value column.

@@ -12,13 +12,6 @@ from crewcast.operators.panel import fill_periods, period_sums
 SCOPE = ("dataset_type", "split_number")
 
 
-def both_sets(train: DataFrame, test: DataFrame) -> DataFrame:
-    """Train and test rows in one frame, labelled."""
-    return train.withColumn("dataset_type", F.lit("train")).unionByName(
-        test.withColumn("dataset_type", F.lit("test"))
-    )
-
-
 def _scoped(rows: DataFrame) -> DataFrame:
     """Each row under its own split and under ``overall``; partial aggregation absorbs the copy."""
     scopes = F.array(

@@ -13,7 +13,7 @@ from crewcast.functions import (
     any_like, child_or_parent, first_match, flag_to_int, joined_parts, local_date, recode, renamed_key, repaired,
 )
 from crewcast.operators.joins import lookup, resolve_hierarchy
-from crewcast.operators.latest import Latest, latest_pivot, latest_rows, open_rows
+from crewcast.operators.latest import Latest, latest_counts, latest_pivot, latest_rows, open_rows
 
 
 @dataclass(frozen=True)
@@ -253,8 +253,7 @@ def work_rows(up: Upstream, rules: FactRules, start: date, end: date) -> DataFra
         .join(service_names(up.service), "work_order_id", "left")
         .join(work_order_attributes(up.work_order_attribute), "work_order_id", "left")
         .join(copies(open_rows(up.work_order_status), "work_order_id", "_order_rows"), "work_order_id", "left")
-        .join(copies(latest_rows(dispatch, ["work_order_id"], "src_last_updt_ts"), "work_order_id", "_dispatch_rows"),
-              "work_order_id", "left")
+        .join(latest_counts(dispatch, "work_order_id", "src_last_updt_ts", "_dispatch_rows"), "work_order_id", "left")
         .join(copies(open_rows(up.party), "work_order_id", "_party_rows"), "work_order_id", "left")
         .join(component, "work_order_id", "left")
         .join(coarse, "job_id", "left")

@@ -14,6 +14,7 @@ from crewcast.operators.forecast import monthly_global_forecast
 from crewcast.operators.latest import nth_latest_version
 from crewcast.plans.fact import FactRules, Upstream, service_fact
 from crewcast.plans.versions import append_version
+from crewcast.session import shared_folder
 from crewcast.sources import schemas, tables
 
 DIMS = list(fv.SERIES_DIMS)
@@ -80,10 +81,13 @@ def publish_product_names(spark: SparkSession, path: str, names: Mapping[str, st
 
 
 def publish_corrections(fact: DataFrame, versions: DataFrame, volumes: DataFrame, path: str) -> None:
-    """Tune on the sixth newest version, correct the newest."""
-    hours = marketing.product_hours(fact, versions)
-    newest = nth_latest_version(versions, "Forecast_Date", 0).scalar()
-    tuning = nth_latest_version(versions, "Forecast_Date", fv.TUNING_VERSIONS_BACK).scalar()
+    """Tune on the sixth newest version, correct the newest.
+
+    The monthly hours per product are read several times, so they are stored first.
+    """
+    hours = tables.written(marketing.product_hours(fact, versions), shared_folder(fact.sparkSession))
+    newest = nth_latest_version(hours, "Forecast_Date", 0).scalar()
+    tuning = nth_latest_version(hours, "Forecast_Date", fv.TUNING_VERSIONS_BACK).scalar()
     rows = schemas.conform(corrections(hours, volumes, tuning, newest), schemas.CORRECTIONS)
     tables.replace_partitions(rows, path, ["Forecast_Date"])
 

@@ -64,7 +64,7 @@ def run(source: DataFrame, folder: str, test: BackTest = BackTest()) -> dict[str
     averages = forecast.moving_average_forecast(known, test.window, test.horizon)
     seasonal = forecast.seasonal_regression_forecast(known, test.horizon).select(*averages.columns)
     predicted = tables.written(averages.unionByName(seasonal), f"{folder}/forecasts")
-    both = profile.both_sets(train, held_out)
+    both = folds.labelled_rows(series, test.day, test.folds)
     scores = {}
     for model in ("SMA", "SEASONAL_AR"):
         pairs = evaluate.align_by_date(actual, predicted.filter(F.col("model") == model))
