@@ -92,9 +92,9 @@ options AS (
   UNION ALL SELECT series_id, split_index, n, yy, ay, bys, 3, 'lag+season', 4.0, (bb * ay - ab * bys) / (aa * bb - ab * ab),
     (aa * bys - ab * ay) / (aa * bb - ab * ab) FROM fits WHERE aa * bb - ab * ab > 1e-9 * aa * bb),
 best AS (
-  SELECT * FROM options WHERE yy - ca * ay - cb * bys > 1e-12 * yy
+  SELECT * FROM options WHERE yy > 0
   QUALIFY row_number() OVER (PARTITION BY series_id, split_index
-    ORDER BY n * ln(yy - ca * ay - cb * bys) + 2 * k + 2 * k * (k + 1) / (n - k - 1), r) = 1),
+    ORDER BY n * ln(greatest(yy - ca * ay - cb * bys, 1e-12 * yy)) + 2 * k + 2 * k * (k + 1) / (n - k - 1), r) = 1),
 path AS (
   SELECT f.series_id, f.split_index, f.last, f.level, CASE WHEN f.n < 28 THEN 'short' WHEN NOT f.yy > 0 THEN 'flat' ELSE 'ok' END AS status,
     b.orders, b.ca, b.cb, f.m_y - b.ca * f.m_a - b.cb * f.m_b AS shift, list_reverse(f.newest) AS tail, 0 AS step, CAST(NULL AS DOUBLE) AS yhat

@@ -113,13 +113,14 @@ def seasonal_regression_forecast(
     ]
 
     def scored(rank: int, name: str, terms: int, a: Column, b: Column) -> Column:
-        spread = c("yy") - a * c("ay") - b * c("by")
+        # A perfect fit leaves rounding noise only; the floor lets the smallest such model win.
+        spread = F.greatest(c("yy") - a * c("ay") - b * c("by"), 1e-12 * c("yy"))
         k = terms + 1
         score = c("n") * F.log(spread) + 2.0 * k + 2.0 * k * (k + 1) / (c("n") - k - 1)
         fit = F.struct(
             score.alias("score"), F.lit(rank).alias("rank"), F.lit(name).alias("orders"), a.alias("a"), b.alias("b")
         )
-        return F.when(spread > 1e-12 * c("yy"), fit)
+        return F.when(a.isNotNull() & b.isNotNull(), fit)
 
     best = F.array_min(F.array_compact(F.array(*[scored(i, *cand) for i, cand in enumerate(candidates)])))
     status = F.when(c("n") < min_rows, "short").when(~(c("yy") > 0), "flat").otherwise("ok")

@@ -32,7 +32,7 @@ def load_history(up: Upstream, rules: FactRules, start: date, end: date, path: s
 
 
 def history(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(schemas.DAILY_FACT).parquet(path)
+    return tables.read_parquet(spark, path, schemas.DAILY_FACT).drop("Load_Period")
 
 
 def month_panel(fact: DataFrame, as_of: date, first_month: date = fv.CALENDAR_START) -> DataFrame:
@@ -61,7 +61,7 @@ def forecast_version(panel: DataFrame, path: str, stamp: str) -> None:
 
 
 def forecasts(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(schemas.FORECAST).parquet(path)
+    return tables.read_parquet(spark, path, schemas.FORECAST)
 
 
 def publish_cube(
