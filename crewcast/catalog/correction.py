@@ -99,7 +99,7 @@ best AS (
   SELECT Product, variant, lag, alpha, rmse FROM (
     SELECT Product, variant, lag, k / 10.0::DOUBLE AS alpha, sqrt(avg(power(predicted - k / 10.0::DOUBLE * e - actual, 2))) AS rmse
     FROM pairs, (SELECT unnest(generate_series(0, 9)) AS k) GROUP BY ALL)
-  QUALIFY row_number() OVER (PARTITION BY Product, variant ORDER BY rmse, lag, alpha) = 1)"""
+  QUALIFY row_number() OVER (PARTITION BY Product, variant ORDER BY round(rmse, 6), lag, alpha) = 1)"""
 
 
 @query("marketing_calendar", f"WITH {VOLUMES_SQL.strip()} SELECT * FROM volumes")

@@ -91,9 +91,11 @@ def best_settings(
 
     def option(position: int, alpha: float) -> Column:
         square = F.col("_dd") - 2.0 * alpha * F.col("_de") + alpha * alpha * F.col("_ee")
+        rmse = F.sqrt(F.greatest(square, F.lit(0.0)))
+        # Equal errors must not be told apart by rounding noise: alpha 0 is the same for every lag.
         return F.struct(
-            F.sqrt(F.greatest(square, F.lit(0.0))).alias("rmse"), F.col("lag"),
-            F.lit(position).alias("position"), F.lit(float(alpha)).alias("alpha"),
+            F.round(rmse, 6).alias("key"), F.col("lag"), F.lit(position).alias("position"),
+            F.lit(float(alpha)).alias("alpha"), rmse.alias("rmse"),
         )
 
     best = F.array_min(F.array(*[option(i, a) for i, a in enumerate(alphas)]))

@@ -9,6 +9,7 @@ def spark(tmp_path_factory):
         "tests", "local[4]", spark__sql__shuffle__partitions="4", spark__ui__enabled="false",
         spark__ui__showConsoleProgress="false", spark__driver__memory="4g",
         spark__sql__codegen__wholeStage="false",  # compiling costs more than these tiny inputs
+        spark__sql__maxMetadataStringLength="100000",
         spark__checkpoint__dir=str(tmp_path_factory.mktemp("shared")),
     )
     session.sparkContext.setLogLevel("ERROR")
