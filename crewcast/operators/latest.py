@@ -48,30 +48,30 @@ class Latest:
     value: str
 
 
-def latest_pivot(
-    rows: DataFrame, entity: str, code: str, order: str | Column, outputs: Mapping[str, Latest]
-) -> DataFrame:
+def latest_pivot(rows: DataFrame, entity: str, code: str, order: str, outputs: Mapping[str, Latest]) -> DataFrame:
     """One row per entity with the latest value of each code as a column.
 
     Where several rows of an entity and code share the latest order, the greatest value wins. That
     is the maximum of the pair (order, value), so one aggregation with a partial step on the map
     side does the ranking, the tie rule and the pivot; no group is ever brought together first.
+    A value that is the order itself, or the code, needs no pair.
     """
-    order = F.col(order) if isinstance(order, str) else order
     wanted = sorted({c for out in outputs.values() for c in out.codes})
     pairs = sorted({(c, out.value) for out in outputs.values() for c in out.codes})
     slots = {pair: f"_p{i}" for i, pair in enumerate(pairs)}
-    best = (
-        rows.filter(F.col(code).isin(wanted))
-        .groupBy(entity)
-        .agg(*[
-            F.max(F.when(F.col(code) == c, F.struct(order.alias("o"), F.col(v).alias("v")))).alias(slots[(c, v)])
-            for c, v in pairs
-        ])
-    )
+
+    def plain(value: str) -> bool:
+        return value in (order, code)
+
+    def candidate(c: str, value: str) -> Column:
+        pair = F.col(value) if plain(value) else F.struct(F.col(order).alias("o"), F.col(value).alias("v"))
+        return F.max(F.when(F.col(code) == c, pair)).alias(slots[(c, value)])
+
+    best = rows.filter(F.col(code).isin(wanted)).groupBy(entity).agg(*[candidate(*pair) for pair in pairs])
     columns = []
     for name, out in outputs.items():
-        values = [F.col(slots[(c, out.value)])["v"] for c in out.codes]
+        slot = [slots[(c, out.value)] for c in out.codes]
+        values = [F.col(x) if plain(out.value) else F.col(x)["v"] for x in slot]
         columns.append((values[0] if len(values) == 1 else F.greatest(*values)).alias(name))
     return best.select(entity, *columns)
 

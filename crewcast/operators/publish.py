@@ -152,9 +152,8 @@ def display_cube(
 ) -> DataFrame:
     """Every dimension row for every version and month, with history and forecast side by side.
 
-    Months are attached last: a dimension row brings its history as a map from month to sums and a
-    version's forecasts as a list of at most ``horizon`` months, so the joins move dimension rows
-    and not the month grid. A null dimension matches nothing and stays with empty metrics.
+    Months are attached last: a dimension row brings its history and a version's forecasts as maps
+    from month to values, so the joins move dimension rows and not the month grid. A null dimension matches nothing and stays with empty metrics.
     """
     dims = cube_dimensions(fact, lookup)
     sums = (
@@ -166,21 +165,30 @@ def display_cube(
     history = sums.dropna(subset=DIMS).groupBy(*DIMS).agg(
         F.map_from_entries(F.collect_list(F.struct("_month", F.struct("awt", "swt")))).alias("_history")
     )
-    predicted = forecasts.dropna(subset=DIMS).groupBy("Forecast_Date", *DIMS).agg(
-        F.collect_list(F.struct(
-            F.col("Appointment_Month").cast("date").alias("month"), F.col("predicted_SWT.value").alias("value")
-        )).alias("_forecast")
+    month = F.col("Appointment_Month").cast("date").alias("_month")
+    predicted = (
+        forecasts.dropna(subset=DIMS)
+        .groupBy("Forecast_Date", *DIMS, month).agg(F.collect_list("predicted_SWT").alias("_rows"))
+        .groupBy("Forecast_Date", *DIMS)
+        .agg(F.map_from_entries(F.collect_list(F.struct("_month", "_rows"))).alias("_forecast"))
     )
     versions = forecasts.select("Forecast_Date").distinct()
     rows = with_each(dims.join(history, DIMS, "left"), versions).join(predicted, ["Forecast_Date", *DIMS], "left")
     day = F.col("Forecast_Date").cast("date")
     last = add_month_steps(month_of(day), horizon - 1)
-    months = rows.withColumn("Appointment_Month", F.explode(month_sequence(F.lit(first_month), last)))
-    hits = F.filter("_forecast", lambda f: f["month"] == F.col("Appointment_Month"))
-    cell = F.try_element_at("_history", F.col("Appointment_Month"))
-    grid = months.withColumn("_hit", F.explode_outer(hits)).select(
+    cells = F.transform(month_sequence(F.lit(first_month), last), lambda m: F.struct(
+        m.alias("Appointment_Month"), F.try_element_at("_history", m).alias("_past"),
+        F.try_element_at("_forecast", m).alias("_ahead"),
+    ))
+    # Every row grows to a whole calendar here, so the rows are first spread over all tasks; the
+    # maps are read before the months are exploded, so the many month rows do not carry them.
+    tasks = int(fact.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    months = rows.repartition(tasks, "Forecast_Date", *dims.columns).select(
+        "Forecast_Date", *dims.columns, F.inline(cells)
+    )
+    grid = months.select("*", F.explode_outer("_ahead").alias("_hit")).select(
         day.alias("Forecast_Date"), *CUBE_COLUMNS[1:10],
-        cell["awt"].alias("AWT_Historical"), cell["swt"].alias("SWT_Historical"),
+        F.col("_past.awt").alias("AWT_Historical"), F.col("_past.swt").alias("SWT_Historical"),
         F.col("_hit.value").cast("double").alias("SWT_Predicted"),
     )
     planned = projects_by_version(projects, versions, horizon, first_month).select(

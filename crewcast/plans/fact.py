@@ -125,12 +125,9 @@ def assignment_statuses(rows: DataFrame) -> DataFrame:
     """
     outputs = {f"{code}_DT": Latest([code], "actual_status_dt") for code in fv.ASSIGNMENT_STATUSES}
     outputs["CLOSE_DT"] = Latest(fv.CLOSING_STATUSES, "actual_status_dt")
-    outputs["JOB_ASSIGNMENT_STATUS_CD"] = Latest(fv.CLOSING_STATUSES, "_code")
+    outputs["JOB_ASSIGNMENT_STATUS_CD"] = Latest(fv.CLOSING_STATUSES, "job_assignment_status_cd")
     outputs["JOB_ASSIGNMENT_STATUS_RSN"] = Latest(fv.CLOSING_STATUSES, "job_assignment_status_rsn_cd")
-    return latest_pivot(
-        rows.withColumn("_code", F.col("job_assignment_status_cd")), "job_assignment_id",
-        "job_assignment_status_cd", "actual_status_dt", outputs,
-    )
+    return latest_pivot(rows, "job_assignment_id", "job_assignment_status_cd", "actual_status_dt", outputs)
 
 
 def service_names(rows: DataFrame) -> DataFrame:
