@@ -8,7 +8,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, functions as F
 
 from crewcast import fixed_values as fv
-from crewcast.functions import add_month_steps, any_like, month_of, month_sequence, recode, series_identifier
+from crewcast.functions import add_month_steps, month_of, month_sequence, recode, series_identifier
 from crewcast.operators.joins import with_each
 from crewcast.operators.latest import latest_version_flag
 from crewcast.operators.reshape import unpivot_months
