@@ -96,11 +96,11 @@ merged AS (
 filled AS (SELECT *, last_value(r IGNORE NULLS) OVER (PARTITION BY Forecast_Date, uid ORDER BY month
     ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS c FROM merged)
 SELECT f.Forecast_Date, f.month AS appointment_month, t.product, t.job_type AS Work_Order_Action, CAST(COUNT(*) AS BIGINT) AS n,
-  CAST(COUNT(DISTINCT t.district) AS BIGINT) AS districts, round(SUM(f.c), 4) AS efficiency_reduction
+  CAST(COUNT(DISTINCT t.district) AS BIGINT) AS districts, CAST(SUM(CAST(round(f.c, 6) AS DECIMAL(28,6))) AS DOUBLE) AS efficiency_reduction
 FROM filled f JOIN targets t ON f.uid = t.uid GROUP BY ALL""")
 def reductions(t: Tables) -> DataFrame:
     rows = efficiency.efficiency_reductions(rules(t), district_lookup(t), forecast_history(order_facts(t)))
     return rows.groupBy("Forecast_Date", "appointment_month", "product", "Work_Order_Action").agg(
         F.count(F.lit(1)).alias("n"), F.countDistinct("district").alias("districts"),
-        F.round(F.sum("efficiency_reduction"), 4).alias("efficiency_reduction"),
+        F.sum(F.round("efficiency_reduction", 6).cast("decimal(28,6)")).cast("double").alias("efficiency_reduction"),
     )
