@@ -26,15 +26,17 @@ def _ordered(keep: str, value: Column) -> Column:
     return value.asc_nulls_last() if keep == "smallest" else value.desc_nulls_last()
 
 
-def _sorted(rows: DataFrame, text: Callable[[], Column], keep: str) -> DataFrame:
-    """Rows with their place, first identifier and number in the group of equal (text, salt)."""
-    groups = Window.partitionBy("start", "hash", "salt", text())
-    order = groups.orderBy(_ordered(keep, F.col("id")))
-    spread = rows.repartitionByRange("start", "hash", "salt")
+def _sorted(rows: DataFrame, text: Callable[[], Column], keep: str, *salt: str) -> DataFrame:
+    """Rows with content, place, first identifier and number in the group of equal (content, salt).
+
+    The range partitioning already brings a group together, so the window adds neither a shuffle nor a sort.
+    """
+    order = Window.partitionBy("start", "hash", *salt, "content").orderBy(_ordered(keep, F.col("id")))
+    spread = rows.repartitionByRange("start", "hash", *salt).withColumn("content", text())
     return (
         spread.withColumn("place", F.row_number().over(order))
         .withColumn("first_id", F.first("id").over(order))
-        .withColumn("copies", F.count(F.lit(1)).over(groups))
+        .withColumn("copies", F.count(F.lit(1)).over(order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
     )
 
 
@@ -60,22 +62,20 @@ def label_copies(
     hot = stored(rows.groupBy("hash").count().filter(F.col("count") > limit)
                  .select("hash", F.ceil(F.col("count") / limit).cast("int").alias("salts")))
     if hot.isEmpty():
-        done = _sorted(rows.withColumn("salt", F.lit(0)), text, keep)
+        done = _sorted(rows, text, keep)
         keep_id, size, kept = F.col("first_id"), F.col("copies"), F.col("place") == 1
     else:
         salted = rows.join(F.broadcast(hot), "hash", "left")
         salt = F.when(F.col("salts").isNull(), 0).otherwise(F.pmod(F.xxhash64("id", "hash"), F.col("salts")).cast("int"))
         salted = salted.withColumn("salt", salt)
-        local = _sorted(salted.filter("salts IS NOT NULL"), text, keep).filter("place = 1")
-        group = Window.partitionBy("hash", text())
-        merged = local.select(
-            "hash", "salt", F.sha2(text(), 256).alias("sha"),
-            F.first("id").over(group.orderBy(_ordered(keep, F.col("id")))).alias("all_id"),
-            F.row_number().over(group.orderBy(_ordered(keep, F.col("id")), "salt")).alias("all_place"),
-            F.sum("copies").over(group).alias("all_copies"),
-        )
-        merged = stored(merged)
-        done = _sorted(salted, text, keep).withColumn("sha", F.sha2(text(), 256))
+        local = _sorted(salted.filter("salts IS NOT NULL"), text, keep, "salt").filter("place = 1")
+        group = Window.partitionBy("hash", "content")
+        order = group.orderBy(_ordered(keep, F.col("id")), "salt")
+        merged = stored(local.select(
+            "hash", "salt", F.sha2("content", 256).alias("sha"), F.first("id").over(order).alias("all_id"),
+            F.row_number().over(order).alias("all_place"), F.sum("copies").over(group).alias("all_copies"),
+        ))
+        done = _sorted(salted, text, keep, "salt").withColumn("sha", F.sha2("content", 256))
         done = done.join(F.broadcast(merged), ["hash", "salt", "sha"], "left")
         # A null all_place means that the text was not split.
         split = F.col("all_place").isNotNull()
@@ -83,7 +83,7 @@ def label_copies(
         size = F.coalesce("all_copies", "copies")
         kept = (F.col("place") == 1) & (F.coalesce("all_place", F.lit(1)) == 1)
     return done.select("row", keep_id.alias("keep_id"), size.cast("long").alias("group_size"), kept.alias("kept"),
-                       F.sha2(text(), 256).alias("text_sha256"))
+                       F.sha2("content", 256).alias("text_sha256"))
 
 
 def drop_copies(docs: DataFrame, **options) -> DataFrame:
