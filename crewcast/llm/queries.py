@@ -4,12 +4,63 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from crewcast.llm import exact_dedup, sharding
+from crewcast.llm import exact_dedup, packing, secrets, sharding
 from crewcast.llm.registry import ORACLES, QUERIES, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
 
 SHARDS = 40
+SEQUENCE = 1024
+
+
+def pack_documents(docs: DataFrame) -> DataFrame:
+    import public_tokenizers
+
+    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, SEQUENCE, end_id=2)
+
+
+@query("op3_best_fit_packing")
+def op3_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return pack_documents(table(spark, folder, "documents").select("doc_id", "text"))
+
+
+def _spans_sql(rules: tuple[secrets.Rule, ...]) -> str:
+    """Spans of every rule by splitting the text at its matches; offsets are sums of the parts before."""
+    quoted = lambda text: "'" + text.replace("'", "''") + "'"
+    per_kind = " UNION ALL ".join(f"""
+        SELECT doc_id, row_id, {number} AS kind_order, '{r.kind}' AS kind, regexp_extract_all(text, {quoted(r.pattern)}) AS hits,
+            regexp_extract_all(text, {quoted(r.pattern)}, {r.group}) AS tested, string_split_regex(text, {quoted(r.pattern)}) AS gaps, {r.least} AS least
+        FROM texts""" for number, r in enumerate(rules))
+    return f"""
+WITH texts AS (
+    SELECT doc_id, coalesce(text, '') AS text, row_number() OVER () AS row_id FROM documents
+), matched AS ({per_kind}
+), numbered AS (
+    SELECT doc_id, row_id, kind_order, kind, hits, tested, gaps, least, unnest(range(1, len(hits) + 1)) AS n FROM matched
+), placed AS (
+    SELECT row_id, kind_order, kind, list_sum(list_transform(gaps[1:n], lambda g: length(g)))
+        + coalesce(list_sum(list_transform(hits[1:n - 1], lambda h: length(h))), 0) AS start, length(hits[n]) AS size
+    FROM numbered WHERE length(tested[n]) >= least
+), joined AS (
+    SELECT row_id, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access, count(*) FILTER (kind = 'hex') AS n_hex,
+        string_agg(kind || ':' || CAST(start AS BIGINT) || ':' || CAST(start + size AS BIGINT), ',' ORDER BY start, kind_order) AS spans,
+        string_agg(kind || ':' || CAST(start AS BIGINT) || ':' || CAST(start + size AS BIGINT), ',' ORDER BY start, kind_order) FILTER (kind_order < 3) AS base
+    FROM placed GROUP BY row_id
+)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+    sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM texts LEFT JOIN joined USING (row_id)"""
+
+
+@query("op7_secret_scan", _spans_sql(secrets.RULES))
+def op7_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    rules = secrets.RULES
+    found = secrets.scan(table(spark, folder, "documents").select("doc_id", "text"), rules)
+    base = F.concat(*[F.col(f"spans_{r.kind}") for r in secrets.BASE_RULES])
+    everything = F.concat(*[F.col(f"spans_{r.kind}") for r in rules])
+    counts = [F.size(f"spans_{r.kind}").cast("long").alias(f"n_{r.kind}") for r in secrets.BASE_RULES]
+    return found.select("doc_id", *counts, F.sha2(secrets.as_text(base, rules), 256).alias("base_sha256"),
+                        secrets.as_text(everything, rules).alias("spans"))
 
 
 @query("op8_sharding", f"""
