@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from crewcast.llm import exact_dedup, packing, secrets, sharding
+from crewcast.llm import exact_dedup, near_dedup, packing, secrets, sharding
 from crewcast.llm.registry import ORACLES, QUERIES, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -99,3 +99,8 @@ FROM documents WINDOW copies AS (PARTITION BY coalesce(text, ''))""")
 def op9_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return exact_dedup.label_copies(docs, keep="largest").select("row.doc_id", "keep_id", "group_size", "kept", "text_sha256")
+
+
+@query("op5_near_dedup")
+def op5_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return near_dedup.label_groups(table(spark, folder, "documents"), shingle=2, percent=80)
