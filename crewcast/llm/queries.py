@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from crewcast.llm import exact_dedup, near_dedup, packing, secrets, sharding
+from crewcast.llm import exact_dedup, language_id, near_dedup, packing, secrets, sharding, toxicity
 from crewcast.llm.registry import ORACLES, QUERIES, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -19,6 +19,30 @@ def pack_documents(docs: DataFrame) -> DataFrame:
     return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, SEQUENCE, end_id=2)
 
 
+def remainder(divisor: int) -> Column:
+    """crc32 of the document id as text, modulo ``divisor``; the folds that training must not see."""
+    return F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")), F.lit(divisor))
+
+
+def toxicity_model(spark: SparkSession, folder: str) -> toxicity.Model:
+    labels = table(spark, folder, "labels").select("doc_id", "toxic")
+    seen = table(spark, folder, "documents").select("doc_id", "text").filter(remainder(4) != 2)
+    return toxicity.learn(seen.join(labels, "doc_id"))
+
+
+@query("op1_toxicity")
+def op1_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return toxicity.predict(docs, toxicity_model(spark, folder), held_out=remainder(4) == 2)
+
+
+@query("op4_language_id")
+def op4_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text", "lang")
+    model = language_id.learn(docs.filter(remainder(3) != 1))
+    return language_id.predict(docs, model, held_out=remainder(3) == 1)
+
+
 @query("op3_best_fit_packing")
 def op3_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return pack_documents(table(spark, folder, "documents").select("doc_id", "text"))
