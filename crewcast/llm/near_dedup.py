@@ -4,9 +4,9 @@
    values on an exponential scale, cut off at both ends. Registers of two sets merge by taking the maximum.
 2. Texts with equal sets form one class; only its smallest document goes on.
 3. Groups of registers (bands) give bucket keys. Every member of a bucket is compared with the bucket's smallest
-   document; linked documents form components. Only members that this leaves outside the component of that
-   smallest document are then compared with the rest of the bucket. Pairs inside a component need no comparison, so
-   a bucket of near copies costs one comparison each.
+   document; linked documents form components. Pairs inside a component need no comparison, so a bucket of near
+   copies costs one comparison each. Members that this leaves outside the component of the smallest document
+   are compared with the documents of other components in their buckets, block by block inside the tasks.
 4. A pair is estimated from its registers by maximum likelihood, and verified on the full sets if the
    estimate is not far below the threshold.
 
@@ -20,14 +20,19 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from crewcast.llm.components import connected
 from crewcast.llm.storage import stored
 from crewcast.llm.texts import STEP, mix, shingle_sets
 
 
+#: Nodes of one bucket that a task compares with each other.
+BLOCK = 512
+
+
 @dataclass(frozen=True)
 class Sketch:
     """Register scale: values a * b^-k for k up to q; ``bands`` groups of ``rows`` registers."""
@@ -128,17 +133,20 @@ def _likely(pairs: DataFrame, nodes: DataFrame, percent: int, sketch: Sketch, ma
     return both.select("a", "b", "n_a", "n_b", "regs_a", "regs_b").mapInArrow(run, "a long, b long")
 
 
-def _verified(pairs: DataFrame, rows: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """Pairs with 100 * intersection >= percent * union, on the full sets. A pair carries two sets of like size."""
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+def _sets(rows: DataFrame, ids: DataFrame, shingle: int) -> DataFrame:
+    """(id, shingles as bytes) of the documents in ``ids``, stored."""
 
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row, found in shingle_sets(batch.column(1), shingle):
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(row, len(found)), pa.array([s.tobytes() for s in found], pa.binary())], ["id", "shingles"])
 
-    full = stored(rows.join(ids, "id", "left_semi").select("id", "text").mapInArrow(sets, "id long, shingles binary"))
+    return stored(rows.join(ids, "id", "left_semi").select("id", "text").mapInArrow(run, "id long, shingles binary"))
+
+
+def _verified(pairs: DataFrame, full: DataFrame, percent: int) -> DataFrame:
+    """Pairs with 100 * intersection >= percent * union, on the full sets. A pair carries two sets of like size."""
     side = lambda s: full.select(F.col("id").alias(s), F.col("shingles").alias(f"set_{s}"))
     both = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "set_a", "set_b")
 
@@ -156,6 +164,65 @@ def _verified(pairs: DataFrame, rows: DataFrame, shingle: int, percent: int) ->
     return both.mapInArrow(compare, "a long, b long")
 
 
+def _close(light: np.ndarray, sets: list[np.ndarray], sizes: np.ndarray, parts: np.ndarray, percent: int) -> Iterator[tuple[int, int]]:
+    """Pairs (line of ``light``, any line) of different parts whose 32-bit sets may be similar enough.
+
+    Two hashes that fall together can only make a pair look more alike, by at most the lines' own ``spare``.
+    """
+    spare = sizes - np.array([len(s) for s in sets])
+    flat = np.concatenate(sets)
+    _, column, often = np.unique(flat, return_inverse=True, return_counts=True)
+    shared = often[column] > 1
+    line = np.repeat(np.arange(len(sets)), [len(s) for s in sets])[shared]
+    _, column = np.unique(column[shared], return_inverse=True)
+    seen = np.zeros((len(sets), int(column.max()) + 1 if len(column) else 1), np.float32)
+    seen[line, column] = 1
+    common = seen[light] @ seen.T + np.minimum(spare[light][:, None], spare[None, :])
+    union = sizes[light][:, None] + sizes[None, :] - common
+    good = (100 * common >= percent * union) & (parts[light][:, None] != parts[None, :])
+    for i, j in zip(*np.nonzero(good)):
+        yield int(light[i]), int(j)
+
+
+def _across(apart: DataFrame, members: DataFrame, full: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of a node in ``apart`` (key, node) with a node of another component in the same bucket of ``members``.
+
+    Buckets are dealt in blocks of BLOCK nodes and compared inside the tasks on 32-bit shingle hashes; only pairs that may
+    be linked come out. A bucket of up to BLOCK nodes is one task's group; a larger one has a group for
+    each two blocks, so no group grows with the data.
+    """
+
+    def narrow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in batch.column(1)]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array([len(s) for s in sets], pa.int64()),
+                 pa.array([np.unique((s >> np.uint64(32)).astype(np.uint32)).tobytes() for s in sets], pa.binary())], ["node", "n", "short"])
+
+    short = full.mapInArrow(narrow, "node long, n long, short binary")
+    block = lambda count: F.pmod(F.xxhash64("node"), count).cast("int")
+    blocks = lambda rows, name: rows.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).alias(name))
+    counts = blocks(apart, "light").join(blocks(members, "all"), "key")
+    marked = members.join(apart.withColumn("apart", F.lit(True)), ["key", "node"], "left").join(counts, "key").join(short, "node")
+    cells = lambda rows, query, i, j: rows.select("key", "node", "c", "n", "short", F.lit(query).alias("query"), i.alias("i"), j.alias("j"))
+    upto = lambda name: F.explode(F.sequence(F.lit(0), F.col(name).cast("int") - 1))
+    dealt = cells(marked.filter("apart"), True, block(F.col("light")), upto("all")).unionByName(
+        cells(marked, False, upto("light"), block(F.col("all"))))
+
+    def compare(frame: pd.DataFrame) -> pd.DataFrame:
+        frame = frame.sort_values(["query", "node"], ascending=[False, True])
+        pairs = set()
+        if not frame["query"].all() and frame["query"].any():
+            nodes = frame["node"].to_numpy()
+            sets = [np.frombuffer(x, np.uint32) for x in frame["short"]]
+            light = np.flatnonzero(frame["query"].to_numpy())
+            for x, y in _close(light, sets, frame["n"].to_numpy(), frame["c"].to_numpy(), percent):
+                pairs.add((min(nodes[x], nodes[y]), max(nodes[x], nodes[y])))
+        return pd.DataFrame(sorted(pairs), columns=["a", "b"], dtype="int64")
+
+    return dealt.groupBy("key", "i", "j").applyInPandas(compare, "a long, b long").distinct()
+
+
 def label_groups(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text",
                  sketch: Sketch = Sketch(), margin: float = 0.18) -> DataFrame:
     """One row per row of ``docs``: id, n_shingles, component_id, kept.
@@ -176,20 +243,21 @@ def label_groups(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col: s
     placed = nodes.select(F.explode("keys").alias("key"), "node")
     buckets = placed.groupBy("key").agg(F.min("node").alias("a"), F.count("*").alias("members")).filter("members > 1")
     members = stored(placed.join(buckets.select("key", "a"), "key"))
-    links = lambda pairs: stored(_verified(stored(_likely(pairs, nodes, percent, sketch, margin)), rows, shingle, percent))
+    ends = lambda pairs: pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
 
-    first = links(members.filter("node > a").select("a", F.col("node").alias("b")).distinct())
+    likely = stored(_likely(members.filter("node > a").select("a", F.col("node").alias("b")).distinct(), nodes, percent, sketch, margin))
+    first = stored(_verified(likely, _sets(rows, ends(likely), shingle), percent))
     found = connected(first)
     of = lambda name, out: found.select(F.col("id").alias(name), F.col("component").alias(out))
     placed = members.join(of("node", "c"), "node", "left").join(of("a", "c_a"), "a", "left").select(
         "key", "node", F.coalesce("c", "node").alias("c"), F.coalesce("c_a", "a").alias("main"))
-    apart = stored(placed.filter("c <> main"))
+    placed = stored(placed)
+    apart = stored(placed.filter("c <> main").select("key", "node"))
     if not apart.isEmpty():
-        others = placed.select("key", F.col("node").alias("other"), F.col("c").alias("c_other"))
-        # A pair of two such members, and a pair with a member of the main component other than the smallest.
-        crossed = apart.join(others, "key").filter("c <> c_other AND other <> node")
-        pairs = crossed.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
-        found = connected(first.unionByName(links(pairs)))
+        open_rows = placed.join(apart.select("key").distinct(), "key", "left_semi").select("key", "node", "c")
+        full = _sets(rows, open_rows.select(F.col("node").alias("id")).distinct(), shingle)
+        more = _verified(stored(_across(apart, open_rows, full, percent)), full, percent)
+        found = connected(first.unionByName(stored(more)))
 
     labels = seen.join(classes, "digest", "left").select("id", "n", F.when(F.col("id").isNotNull(), F.coalesce("node", "id")).alias("node"))
     labels = labels.join(of("node", "component"), "node", "left")
