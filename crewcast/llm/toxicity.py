@@ -37,8 +37,8 @@ MOST_WORDS = 300_000
 class Settings:
     """Training takes at most this many documents of each class and characters of each document."""
 
-    toxic_docs: int = 1_500
-    clean_docs: int = 2_500
+    toxic_docs: int = 1_000
+    clean_docs: int = 1_500
     sample_chars: int = 20_000
     landmarks: int = 192
     decay: float = 0.6
@@ -82,8 +82,8 @@ def subsequences(words: list[str], settings: Settings) -> Iterator[tuple[np.ndar
             continue
         first, second, third = np.array(steps).T
         decay = settings.decay ** (third - first - 2).astype(float)
-        for begin in range(0, len(group), 20_000):
-            numbers = np.array(group[begin : begin + 20_000])
+        for begin in range(0, len(group), 2_000):
+            numbers = np.array(group[begin : begin + 2_000])
             letters = np.frombuffer("".join([words[i] for i in numbers]).encode("utf-32-le"), np.uint32).reshape(-1, length).astype(np.int64)
             codes = (letters[:, first] << 42) | (letters[:, second] << 21) | letters[:, third]
             order = np.argsort(codes, axis=1)
@@ -122,8 +122,8 @@ class Landmarks:
             place = np.minimum(np.searchsorted(self.codes, code), len(self.codes) - 1)
             hit = self.codes[place] == code
             number, place, weight = number[hit], place[hit], weight[hit]
-            for begin in range(0, len(number), 50_000):
-                part = slice(begin, begin + 50_000)
+            for begin in range(0, len(number), 8_000):
+                part = slice(begin, begin + 8_000)
                 starts = np.flatnonzero(np.r_[True, number[part][1:] != number[part][:-1]])
                 sums = np.add.reduceat(self.weights[place[part]] * weight[part, None], starts)
                 np.add.at(out, number[part][starts], sums)
@@ -155,8 +155,8 @@ class Model:
         if len(self._values) > MOST_WORDS:
             self._values.clear()
         fresh = sorted({w for text in split for s in text for w in s}.difference(self._values))
-        for begin in range(0, len(fresh), 20_000):
-            part = fresh[begin : begin + 20_000]
+        for begin in range(0, len(fresh), 10_000):
+            part = fresh[begin : begin + 10_000]
             self._values.update(zip(part, (self.landmarks.kernel(part) @ self.word_weights).tolist()))
         value = self._values.__getitem__
         for line, text in zip(out, split):
@@ -206,6 +206,18 @@ def stretched(words: list[str], known: set[str]) -> list[str]:
     return out
 
 
+def _near_words(words: list[str], marks: Landmarks) -> tuple[dict[str, int], np.ndarray]:
+    """Kernel lines of the words that are not all but zero, in pieces so that memory stays small."""
+    place, lines = {}, []
+    for begin in range(0, len(words), 10_000):
+        kernel = marks.kernel(words[begin : begin + 10_000]).astype(np.float32)
+        near = np.flatnonzero(kernel.max(1) > 0.01)
+        known = len(place)
+        place.update({words[begin + i]: known + n for n, i in enumerate(near)})
+        lines.append(kernel[near])
+    return place, np.concatenate(lines)
+
+
 def fit(texts: list[str], labels: list[int], settings: Settings = Settings()) -> Model:
     """Model of a bounded sample. With one class only, every score is that class's share, smoothed.
 
@@ -227,32 +239,31 @@ def fit(texts: list[str], labels: list[int], settings: Settings = Settings()) ->
     known = set(words)
     split += [[stretched(s, known) for s in text] for text, label in zip(split, labels) if label]
     positive_text = np.r_[y, np.ones(len(split) - len(y))] == 1
-    vocabulary = sorted({w for text in split for s in text for w in s})
-    place = {w: i for i, w in enumerate(vocabulary)}
-    kernel = marks.kernel(vocabulary).astype(np.float32)
-    owner = np.array([d for d, text in enumerate(split) for _ in text])
-    flat = np.array([place[w] for text in split for s in text for w in s])
-    starts = np.cumsum([0] + [len(s) for text in split for s in text])[:-1]
-    sums = np.concatenate([np.add.reduceat(kernel[flat[a:b]], starts[i : i + 5_000] - a)
-                           for i in range(0, len(starts), 5_000)
-                           for a, b in [(starts[i], starts[i + 5_000] if i + 5_000 < len(starts) else len(flat))]])
+    place, kernel = _near_words(sorted({w for text in split for s in text for w in s}), marks)
+    owner, sums, faint, together = [], [], 0, np.zeros(len(words))
+    for d, text in enumerate(split):
+        for sentence in text:
+            near = kernel[[place[w] for w in sentence if w in place]].sum(0)
+            if positive_text[d] or near.max() >= settings.faint:
+                owner.append(d)
+                sums.append(near)
+            else:
+                faint += 1
+                together += near
+    owner, sums = np.array(owner), np.array([*sums, together / max(1, faint)], np.float32)
+    del kernel, place
     values, vectors = np.linalg.eigh(marks.kernel(words))
     whiten = vectors / np.sqrt(np.maximum(values, 1e-3))
-    positive = positive_text[owner]
-    faint = ~positive & (sums.max(1) < settings.faint)
-    number = np.r_[np.ones((~faint).sum()), float(faint.sum())]
-    together = sums[faint].mean(0) if faint.any() else np.zeros(len(words))
-    features = np.c_[np.vstack([sums[~faint], together]) @ whiten, np.ones(len(number))]
-    positive, owner = np.r_[positive[~faint], False], owner[~faint]
-    signs, chosen, weights = np.where(positive, 1.0, -1.0), np.ones(len(number), bool), np.zeros(features.shape[1])
+    positive, number = np.r_[positive_text[owner], False], np.r_[np.ones(len(owner)), max(1.0, faint)]
+    signs, value = np.where(positive, 1.0, -1.0), sums.max(1)
     for _ in range(settings.rounds + 1):
-        balance = min(20.0, number[~positive].sum() / max(1, (positive & chosen).sum()))
-        cost = np.where(positive, balance, 1.0) * number
-        weights = _machine(features[chosen], signs[chosen], cost[chosen], settings.ridge)
-        value = (features @ weights)[:-1]
         best = np.full(len(split), -np.inf)
-        np.maximum.at(best, owner, value)
-        chosen = np.r_[~positive[:-1] | (value >= best[owner]), True]
+        np.maximum.at(best, owner, value[:-1])
+        chosen = ~positive | np.r_[value[:-1] >= best[owner], True]
+        balance = min(20.0, number[~positive].sum() / max(1, (positive & chosen).sum()))
+        features = np.c_[sums[chosen] @ whiten, np.ones(chosen.sum())]
+        weights = _machine(features, signs[chosen], (np.where(positive, balance, 1.0) * number)[chosen], settings.ridge)
+        value = sums @ (whiten @ weights[:-1]) + weights[-1]
     model = Model(marks, whiten @ weights[:-1], float(weights[-1]), np.zeros(settings.top + 1), settings)
     model.final = _logistic(model.highest(texts), y)
     return model
