@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from crewcast.llm import exact_dedup, language_id, near_dedup, packing, secrets, sharding, toxicity
+from crewcast.llm import decontaminate, exact_dedup, language_id, near_dedup, packing, secrets, sharding, toxicity
 from crewcast.llm.registry import ORACLES, QUERIES, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -25,9 +25,8 @@ def remainder(divisor: int) -> Column:
 
 
 def toxicity_model(spark: SparkSession, folder: str) -> toxicity.Model:
-    labels = table(spark, folder, "labels").select("doc_id", "toxic")
     seen = table(spark, folder, "documents").select("doc_id", "text").filter(remainder(4) != 2)
-    return toxicity.learn(seen.join(labels, "doc_id"))
+    return toxicity.learn(seen, table(spark, folder, "labels").select("doc_id", "toxic"))
 
 
 @query("op1_toxicity")
@@ -128,3 +127,8 @@ def op9_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
 @query("op5_near_dedup")
 def op5_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_dedup.label_groups(table(spark, folder, "documents"), shingle=2, percent=80)
+
+
+@query("op10_benchmark_decontamination")
+def op10_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.find(table(spark, folder, "documents"), table(spark, folder, "benchmark"))

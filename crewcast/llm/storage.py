@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from crewcast.session import shared_folder
 from crewcast.sources.tables import written
@@ -15,3 +15,12 @@ def stored(rows: DataFrame) -> DataFrame:
 
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+#: Rows of a few numbers each that may be broadcast; 16 MB for one number.
+BROADCAST_ROWS = 1_000_000
+
+
+def small(rows: DataFrame) -> DataFrame:
+    """Marked for broadcast if its counted size allows that; joined by shuffle otherwise."""
+    return F.broadcast(rows) if rows.count() <= BROADCAST_ROWS else rows

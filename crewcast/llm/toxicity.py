@@ -269,15 +269,21 @@ def fit(texts: list[str], labels: list[int], settings: Settings = Settings()) ->
     return model
 
 
-def learn(rows: DataFrame, settings: Settings = Settings(), text_col: str = "text", label_col: str = "toxic") -> Model:
-    """Fit on a sample of labelled rows, bounded per class and chosen by the hash of the text; null labels are left out."""
-    text, label = F.col(text_col), F.col(label_col)
+def learn(docs: DataFrame, labels: DataFrame, settings: Settings = Settings(), id_col: str = "doc_id", text_col: str = "text",
+          label_col: str = "toxic") -> Model:
+    """Fit on a sample of labelled documents, bounded per class and chosen by the hash of the text; null labels are left out.
+
+    The sample is drawn on ids and hashes; only the texts in it are moved.
+    """
+    key, text = docs[id_col].alias("id"), docs[text_col]
+    label = labels.filter(labels[label_col].isin(0, 1)).select(labels[id_col].alias("id"), labels[label_col].cast("int").alias("label"))
+    usable = docs.filter((F.length(text) > 0) & (F.length(text) <= settings.sample_chars)).select(key, F.xxhash64(text).alias("hash"))
     most = F.when(F.col("label") == 1, settings.toxic_docs).otherwise(settings.clean_docs)
-    order = Window.partitionBy("label").orderBy("hash", "text")
-    usable = rows.filter(label.isin(0, 1) & (F.length(text) > 0) & (F.length(text) <= settings.sample_chars))
-    sample = usable.select(label.cast("int").alias("label"), text.alias("text"), F.xxhash64(text).alias("hash")).withColumn(
-        "place", F.row_number().over(order)).filter(F.col("place") <= max(settings.toxic_docs, settings.clean_docs)).filter(F.col("place") <= most)
-    found = sorted(sample.collect(), key=lambda r: (r["label"], r["place"]))
+    place = F.row_number().over(Window.partitionBy("label").orderBy("hash", "id"))
+    sample = usable.join(label, "id").withColumn("place", place).filter(F.col("place") <= max(settings.toxic_docs, settings.clean_docs))
+    sample = sample.filter(F.col("place") <= most).dropDuplicates(["id", "hash"])  # at most toxic_docs + clean_docs rows
+    rows = docs.select(key, text.alias("text"), F.xxhash64(text).alias("hash"))
+    found = sorted(rows.join(F.broadcast(sample), ["id", "hash"]).collect(), key=lambda r: (r["label"], r["hash"], r["id"], r["text"]))
     if not found:
         raise ValueError("no labelled rows")
     return fit([r["text"] for r in found], [r["label"] for r in found], settings)
