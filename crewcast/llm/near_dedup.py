@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from crewcast.llm.components import connected
-from crewcast.llm.storage import stored
+from crewcast.llm.storage import small, stored
 from crewcast.llm.texts import STEP, mix, shingle_sets
 
 
@@ -142,7 +142,7 @@ def _sets(rows: DataFrame, ids: DataFrame, shingle: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(row, len(found)), pa.array([s.tobytes() for s in found], pa.binary())], ["id", "shingles"])
 
-    return stored(rows.join(ids, "id", "left_semi").select("id", "text").mapInArrow(run, "id long, shingles binary"))
+    return stored(rows.join(small(stored(ids)), "id", "left_semi").select("id", "text").mapInArrow(run, "id long, shingles binary"))
 
 
 def _verified(pairs: DataFrame, full: DataFrame, percent: int) -> DataFrame:
