@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from crewcast.llm import decontaminate, exact_dedup, language_id, near_dedup, packing, secrets, sharding, toxicity
+from crewcast.llm import decontaminate, exact_dedup, html_text, language_id, near_dedup, packing, quality, secrets, sharding, toxicity
 from crewcast.llm.registry import ORACLES, QUERIES, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -35,6 +35,18 @@ def op1_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.predict(docs, toxicity_model(spark, folder), held_out=remainder(4) == 2)
 
 
+@query("op2_html_extraction")
+def op2_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    return html_text.extract(table(spark, folder, "pages")).withColumn("n_chars", F.length("text").cast("long"))
+
+
+@query("op6_quality_classifier")
+def op6_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    model = quality.learn(docs.filter(remainder(4) != 2), table(spark, folder, "labels").select("doc_id", "quality"))
+    return quality.predict(docs, model, held_out=remainder(4) == 2)
+
+
 @query("op4_language_id")
 def op4_language_id(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text", "lang")

@@ -21,7 +21,9 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
+
+from crewcast.llm.samples import labelled
 
 SPACED = re.compile(r"(?<!\w)(?:[^\W\d_][ .\-_*]{1,2}){2,}[^\W\d_](?!\w)")
 BETWEEN = re.compile(r"[ .\-_*]+")
@@ -271,22 +273,16 @@ def fit(texts: list[str], labels: list[int], settings: Settings = Settings()) ->
 
 def learn(docs: DataFrame, labels: DataFrame, settings: Settings = Settings(), id_col: str = "doc_id", text_col: str = "text",
           label_col: str = "toxic") -> Model:
-    """Fit on a sample of labelled documents, bounded per class and chosen by the hash of the text; null labels are left out.
-
-    The sample is drawn on ids and hashes; only the texts in it are moved.
-    """
-    key, text = docs[id_col].alias("id"), docs[text_col]
-    label = labels.filter(labels[label_col].isin(0, 1)).select(labels[id_col].alias("id"), labels[label_col].cast("int").alias("label"))
-    usable = docs.filter((F.length(text) > 0) & (F.length(text) <= settings.sample_chars)).select(key, F.xxhash64(text).alias("hash"))
-    most = F.when(F.col("label") == 1, settings.toxic_docs).otherwise(settings.clean_docs)
-    place = F.row_number().over(Window.partitionBy("label").orderBy("hash", "id"))
-    sample = usable.join(label, "id").withColumn("place", place).filter(F.col("place") <= max(settings.toxic_docs, settings.clean_docs))
-    sample = sample.filter(F.col("place") <= most).dropDuplicates(["id", "hash"])  # at most toxic_docs + clean_docs rows
-    rows = docs.select(key, text.alias("text"), F.xxhash64(text).alias("hash"))
-    found = sorted(rows.join(F.broadcast(sample), ["id", "hash"]).collect(), key=lambda r: (r["label"], r["hash"], r["id"], r["text"]))
+    """Fit on a bounded sample of labelled documents; labels other than 0 and 1 are left out."""
+    marked = labels.filter(labels[label_col].isin(0, 1))
+    taken, found = Counter(), []
+    for label, text in labelled(docs, marked, max(settings.toxic_docs, settings.clean_docs), settings.sample_chars, id_col, text_col, label_col):
+        taken[label] += 1
+        if taken[label] <= (settings.toxic_docs if label else settings.clean_docs):
+            found.append((label, text))
     if not found:
         raise ValueError("no labelled rows")
-    return fit([r["text"] for r in found], [r["label"] for r in found], settings)
+    return fit([t for _, t in found], [y for y, _ in found], settings)
 
 
 def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", **more: Column) -> DataFrame:
