@@ -39,10 +39,10 @@ MOST_WORDS = 300_000
 class Settings:
     """Training takes at most this many documents of each class and characters of each document."""
 
-    toxic_docs: int = 1_000
+    toxic_docs: int = 500
     clean_docs: int = 1_500
     sample_chars: int = 20_000
-    landmarks: int = 192
+    landmarks: int = 160
     decay: float = 0.6
     span: int = 5
     power: int = 3
@@ -184,13 +184,13 @@ def _machine(features: np.ndarray, signs: np.ndarray, cost: np.ndarray, ridge: f
     return weights
 
 
-def _logistic(values: np.ndarray, labels: np.ndarray) -> np.ndarray:
+def _logistic(values: np.ndarray, labels: np.ndarray, number: np.ndarray) -> np.ndarray:
     rows = np.c_[values, np.ones(len(values))]
     found, ridge = np.zeros(rows.shape[1]), np.eye(rows.shape[1])
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(rows @ found, -50, 50)))
-        slope = (rows * (p * (1 - p))[:, None]).T @ rows + ridge
-        step = np.linalg.solve(slope, rows.T @ (labels - p) - found)
+        slope = (rows * (number * p * (1 - p))[:, None]).T @ rows + ridge
+        step = np.linalg.solve(slope, rows.T @ (number * (labels - p)) - found)
         found = found + step
         if np.abs(step).max() < 1e-9:
             break
@@ -220,10 +220,11 @@ def _near_words(words: list[str], marks: Landmarks) -> tuple[dict[str, int], np.
     return place, np.concatenate(lines)
 
 
-def fit(texts: list[str], labels: list[int], settings: Settings = Settings()) -> Model:
+def fit(texts: list[str], labels: list[int], settings: Settings = Settings(), toxic_share: float | None = None) -> Model:
     """Model of a bounded sample. With one class only, every score is that class's share, smoothed.
 
-    Toxic documents are also learned with a letter inserted into each landmark word.
+    Toxic documents are also learned with a letter inserted into each landmark word. ``toxic_share`` is that of all
+    labelled documents, if the sample has another; scores are chances at that share.
     """
     y = np.array(labels, float)
     share = np.log((y.sum() + 1) / (len(y) - y.sum() + 1))
@@ -267,7 +268,8 @@ def fit(texts: list[str], labels: list[int], settings: Settings = Settings()) ->
         weights = _machine(features, signs[chosen], (np.where(positive, balance, 1.0) * number)[chosen], settings.ridge)
         value = sums @ (whiten @ weights[:-1]) + weights[-1]
     model = Model(marks, whiten @ weights[:-1], float(weights[-1]), np.zeros(settings.top + 1), settings)
-    model.final = _logistic(model.highest(texts), y)
+    share = y.mean() if toxic_share is None else toxic_share
+    model.final = _logistic(model.highest(texts), y, np.where(y == 1, share / y.mean(), (1 - share) / (1 - y.mean())))
     return model
 
 
@@ -282,7 +284,8 @@ def learn(docs: DataFrame, labels: DataFrame, settings: Settings = Settings(), i
             found.append((label, text))
     if not found:
         raise ValueError("no labelled rows")
-    return fit([t for _, t in found], [y for y, _ in found], settings)
+    share = marked.agg(F.avg(F.col(label_col).cast("double"))).first()[0]
+    return fit([t for _, t in found], [y for y, _ in found], settings, share)
 
 
 def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", **more: Column) -> DataFrame:
