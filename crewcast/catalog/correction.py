@@ -21,15 +21,14 @@ TUNING, NEWEST = VERSION_STAMPS[-6], VERSION_STAMPS[-1]
 
 
 def volume_sheet(t: Tables) -> DataFrame:
-    """Order counts per month, product and type; one product misses a year."""
+    """Order counts per month, product and type."""
     rows = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey")).select(
         F.year("o_orderdate").cast("bigint").alias("Year"), F.month("o_orderdate").cast("bigint").alias("Month"),
         recode(F.col("c_mktsegment"), SEGMENT_PRODUCTS).alias("Product"),
         F.when(F.col("o_orderstatus") == "F", "Gross Adds").otherwise("Net Adds").alias("RGU_Type"),
         (F.col("o_custkey") % 3).alias("_more"),
     )
-    kept = rows.filter((F.col("Product") != "POTS") | (F.col("Year") != 1997))
-    return kept.groupBy("Year", "Month", "Product", "RGU_Type").agg(
+    return rows.groupBy("Year", "Month", "Product", "RGU_Type").agg(
         F.count(F.lit(1)).alias("Original_Actual"), (F.count(F.lit(1)) + F.sum("_more")).alias("Adjusted_Actual")
     )
 
@@ -49,7 +48,7 @@ sheet AS (
     CAST(COUNT(*) AS BIGINT) AS Original_Actual, CAST(COUNT(*) + SUM(o_custkey % 3) AS BIGINT) AS Adjusted_Actual
   FROM (SELECT *, CASE c_mktsegment WHEN 'BUILDING' THEN 'HSIA' WHEN 'MACHINERY' THEN 'SD WAN' WHEN 'AUTOMOBILE' THEN 'POTS'
       WHEN 'HOUSEHOLD' THEN 'CPS' ELSE 'MANAGED LAN' END AS Product FROM orders JOIN customer ON o_custkey = c_custkey)
-  WHERE Product <> 'POTS' OR year(o_orderdate) <> 1997 GROUP BY ALL),
+  GROUP BY ALL),
 volumes AS (
   SELECT make_date(b.Year, b.Month, 1) AS Appointment_Month, b.Product,
     CASE WHEN make_date(b.Year, b.Month, 1) <= DATE '2000-07-01' THEN coalesce(lag(a.Adjusted_Actual) OVER (

@@ -244,14 +244,13 @@ def last_year(t: Tables) -> DataFrame:
 @query("weekly_sum", f"""
 WITH {DAILY_SQL.strip()}, {LAST_YEAR_SQL.strip()},
 sums AS (SELECT CAST(Appointment_Day + ((8 - isodow(Appointment_Day)) % 7)::INT AS DATE) AS week, SUM(SWT) AS s
-  FROM last_year WHERE month(Appointment_Day) <> 4 GROUP BY 1)
+  FROM last_year GROUP BY 1)
 SELECT w.week, CAST(coalesce(s, 0) AS DOUBLE) AS SWT
 FROM (SELECT CAST(unnest(generate_series((SELECT min(week) FROM sums), (SELECT max(week) FROM sums), INTERVAL 7 DAY)) AS DATE) AS week) w
 LEFT JOIN sums USING (week)""")
 def weekly(t: Tables) -> DataFrame:
-    """Weeks ending on Monday; April is left out so that some weeks are empty."""
-    rows = profile.last_year(newest_fold(t), DAY).filter(F.month(DAY) != 4)
-    return profile.weekly_sums(rows, DAY, "SWT").select("week", *doubles("SWT"))
+    """Weeks ending on Monday."""
+    return profile.weekly_sums(profile.last_year(newest_fold(t), DAY), DAY, "SWT").select("week", *doubles("SWT"))
 
 
 @query("log_target", f"""

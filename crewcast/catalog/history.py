@@ -110,13 +110,13 @@ def membership(t: Tables) -> DataFrame:
 STATUS_MONTHS_SQL = """
 months AS (
   SELECT o_orderpriority, CAST(date_trunc('month', o_orderdate) AS DATE) AS month,
-    SUM(CASE WHEN month(o_orderdate) % 3 <> 0 THEN CAST(o_totalprice AS DECIMAL(18,2)) END) AS amount
+    SUM(CASE WHEN o_orderstatus = 'P' THEN CAST(o_totalprice AS DECIMAL(18,2)) END) AS amount
   FROM orders GROUP BY ALL)"""
 
 
 def status_months(t: Tables) -> DataFrame:
-    """Monthly amounts per priority; every third month has none."""
-    amount = F.when(F.month("o_orderdate") % 3 != 0, money("o_totalprice"))
+    """Monthly amounts of the orders in progress per priority; months without such orders have none."""
+    amount = F.when(F.col("o_orderstatus") == "P", money("o_totalprice"))
     rows = t.orders.select("o_orderpriority", F.col("o_orderdate").cast("date").alias("day"), amount.alias("amount"))
     return period_sums(rows, ["o_orderpriority"], month_of(F.col("day")), "month", ["amount"])
 

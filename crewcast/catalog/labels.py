@@ -58,14 +58,14 @@ def rule_table(t: Tables) -> DataFrame:
 
 
 @query("composite_key_lookup", """
-WITH keys AS (SELECT p_type, p_brand, min(p_name) AS label FROM part WHERE p_size < 20 GROUP BY ALL)
+WITH keys AS (SELECT p_type, p_brand, min(p_name) AS label FROM part GROUP BY ALL)
 SELECT coalesce(k.label, 'OTHER') AS product, CAST(COUNT(*) AS BIGINT) AS n,
   CAST(SUM(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS amount
 FROM lineitem JOIN part p ON l_partkey = p_partkey LEFT JOIN keys k
   ON nullif(p.p_type, 'LARGE') = k.p_type AND p.p_brand = k.p_brand GROUP BY 1""")
 def composite(t: Tables) -> DataFrame:
     """Label by type and brand from a mapping table; a null half of the key never matches."""
-    keys = t.part.filter(F.col("p_size") < 20).groupBy("p_type", "p_brand").agg(F.min("p_name").alias("label"))
+    keys = t.part.groupBy("p_type", "p_brand").agg(F.min("p_name").alias("label"))
     rows = t.lineitem.join(t.part, F.col("l_partkey") == F.col("p_partkey")).select(
         F.nullif(F.col("p_type"), F.lit("LARGE")).alias("type"), F.col("p_brand").alias("brand"),
         F.col("l_extendedprice").cast("decimal(18,2)").alias("amount"),

@@ -19,14 +19,14 @@ from crewcast.sources import schemas, tables
 
 @query("versioned_forecast_append", f"""
 WITH {ORDER_FACTS_SQL.strip()}, {FORECAST_SQL.strip()}
-SELECT v.stamp AS Forecast_Date, Product, CAST(COUNT(*) AS BIGINT) AS n, round(SUM(predicted_SWT.value), 4) AS SWT
-FROM forecast, (VALUES ('2000-08-01 06:00:00'), ('2000-09-01 06:00:00')) v(stamp) WHERE Forecast_Date = '{VERSION_STAMPS[0]}' GROUP BY ALL""")
+SELECT Forecast_Date, Product, CAST(COUNT(*) AS BIGINT) AS n, round(SUM(predicted_SWT.value), 4) AS SWT
+FROM forecast GROUP BY ALL""")
 def append(t: Tables) -> DataFrame:
-    """Two versions are stamped and added; the second run of the later one changes nothing."""
+    """Every version is stamped and added; a second run of the last one changes nothing."""
     path = t.new_folder()
-    rows = forecast_history(order_facts(t)).filter(F.col("Forecast_Date") == VERSION_STAMPS[0]).drop("Forecast_Date")
-    for stamp in ("2000-08-01 06:00:00", "2000-09-01 06:00:00", "2000-09-01 06:00:00"):
-        append_version(rows, path, stamp)
+    versions = t.stored(forecast_history(order_facts(t)))
+    for stamp in [*VERSION_STAMPS, VERSION_STAMPS[-1]]:
+        append_version(versions.filter(F.col("Forecast_Date") == stamp).drop("Forecast_Date"), path, stamp)
     schema = "Forecast_Date string, Product string, predicted_SWT struct<value: double>"
     history = tables.read_parquet(t.spark, path, schema)
     return history.groupBy("Forecast_Date", "Product").agg(
@@ -45,7 +45,7 @@ def mapping(t: Tables) -> DataFrame:
     stored = tables.read_parquet(t.spark, path, schemas.PRODUCT_NAMES)
     product = recode(F.col("p_type"), {"ECONOMY": "BUSINESS CONNECT", "SMALL": "SDS WIFI", "STANDARD": "MPAAS"})
     counts = t.part.groupBy("p_type", product.alias("product")).agg(F.count(F.lit(1)).alias("n"))
-    named = counts.join(stored, F.col("product") == F.col("FWDS_product_name"), "left")
+    named = counts.join(stored, F.col("product") == F.col("work_order_product_name"), "left")
     return named.select("p_type", F.col("RGU_product_name").alias("unit_name"), "n")
 
 
@@ -82,7 +82,7 @@ SELECT CAST(month(o_orderdate) AS BIGINT) AS Month, CAST(year(o_orderdate) AS BI
   CASE WHEN o_orderstatus = 'F' THEN 'Gross Adds' ELSE 'Net Adds' END AS RGU_Type, CAST(COUNT(*) AS BIGINT) AS Original_Actual,
   CAST(COUNT(*) + SUM(o_custkey % 3) AS BIGINT) AS Adjusted_Actual, CAST(NULL AS VARCHAR) AS Notes
 FROM orders JOIN customer ON o_custkey = c_custkey
-WHERE c_mktsegment <> 'AUTOMOBILE' OR year(o_orderdate) <> 1997 GROUP BY ALL""")
+GROUP BY ALL""")
 def sheet(t: Tables) -> DataFrame:
     """A sheet with a header row, written as CSV and read back under its declared schema."""
     path = t.new_folder()

@@ -9,7 +9,8 @@ from crewcast.operators.efficiency import efficiency_report
 from crewcast.operators.reshape import pivot_labels, unpivot_months
 from crewcast.sources.schemas import month_range
 
-MONTHS = month_range(1998, 1, 12)
+#: From the first to the last month of the line items.
+MONTHS = month_range(1995, 1, 84)
 
 
 def month_case(name: str, label: str = "l_shipdate") -> str:
@@ -27,7 +28,7 @@ wide AS (
 
 
 def wide_months(t: Tables) -> DataFrame:
-    """Amount per part type and brand with one column per month of 1998."""
+    """Amount per part type and brand with one column per month."""
     rows = t.lineitem.join(t.part, F.col("l_partkey") == F.col("p_partkey"))
     amounts = [F.sum(F.when(F.expr(month_case(m)), money("l_extendedprice"))).cast("double").alias(m) for m in MONTHS]
     return rows.groupBy("p_type", "p_brand").agg(*amounts).withColumn("notes", F.nullif(F.col("p_type"), F.lit("LARGE")))
@@ -73,12 +74,12 @@ def pivoted(t: Tables) -> DataFrame:
 
 @query("efficiency_long", f"""
 WITH {WIDE_SQL.strip()}, {UNPIVOT_SQL.strip()}
-SELECT p_brand AS Program_Name, p_type AS Initiative_Name, notes AS Owner, DATE '1998-01-01' AS Start_Date, p_type AS Products_Impacted,
+SELECT p_brand AS Program_Name, p_type AS Initiative_Name, notes AS Owner, DATE '1995-01-01' AS Start_Date, p_type AS Products_Impacted,
   'All' AS Job_Types_Impacted, 'All' AS Region_Impacted, 'hours' AS Type_of_Reduction, strftime(month, '%Y-%m') AS Month, amount AS Value
 FROM long""")
 def report(t: Tables) -> DataFrame:
     rules = wide_months(t).selectExpr(
-        "p_brand AS Program_Name", "p_type AS Initiative_Name", "notes AS Owner", "date'1998-01-01' AS Start_Date",
+        "p_brand AS Program_Name", "p_type AS Initiative_Name", "notes AS Owner", "date'1995-01-01' AS Start_Date",
         "p_type AS Products_Impacted", "'All' AS Job_Types_Impacted", "'All' AS Region_Impacted",
         "'hours' AS Type_of_Reduction", *MONTHS,
     )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 
 def resolve_hierarchy(members: DataFrame, default_company: str) -> DataFrame:
@@ -36,12 +36,12 @@ def lookup(
     """Add ``dimension.value`` as ``name`` where all keys are equal; ``on`` maps row to dimension columns.
 
     The dimension is not hinted: Spark broadcasts it when its measured size allows and shuffles
-    both sides otherwise. A key that the dimension lists twice repeats the row.
+    both sides otherwise. Of a key that the dimension lists twice the smallest value holds, so no row is repeated.
     """
     keys = {left: f"_dim_{i}" for i, left in enumerate(on)}
     side = dimension.select(
         *[F.col(on[left]).alias(k) for left, k in keys.items()], F.col(value).alias("_dim_value")
-    )
+    ).groupBy(*keys.values()).agg(F.min("_dim_value").alias("_dim_value"))
     condition = reduce(lambda a, b: a & b, [F.col(left) == F.col(k) for left, k in keys.items()])
     found = F.col("_dim_value") if default is None else F.coalesce("_dim_value", F.lit(default))
     return rows.join(side, condition, "left").withColumn(name, found).drop(*keys.values(), "_dim_value")
@@ -72,15 +72,16 @@ def two_key_group(
     )
 
 
-def with_each(rows: DataFrame, others: DataFrame, spread: int = 8) -> DataFrame:
+def with_each(rows: DataFrame, others: DataFrame) -> DataFrame:
     """Each row once per row of ``others``, for outputs that are defined as such a grid.
 
-    ``others`` is split over ``spread`` numbered parts and every row is repeated once per part, so
-    the pairing is an ordinary equi-join: it needs no broadcast, and either side may be large.
+    Every row of the large side ``rows`` has one of as many numbers as there are shuffle partitions, and the small side
+    ``others`` is repeated once per number, so the pairing is an ordinary equi-join that moves each large row once.
     """
-    parts = F.sequence(F.lit(0), F.lit(spread - 1))
-    left = rows.withColumn("_part", F.explode(parts))
-    right = others.withColumn("_part", F.pmod(F.xxhash64(*others.columns), F.lit(spread)).cast("int"))
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    plain = [f.name for f in rows.schema if not isinstance(f.dataType, T.MapType)]
+    left = rows.withColumn("_part", F.pmod(F.xxhash64(*plain), F.lit(parts)).cast("int"))
+    right = others.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
     return left.join(right, "_part").drop("_part")
 
 

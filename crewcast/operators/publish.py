@@ -73,7 +73,7 @@ def export_rows(display: DataFrame) -> DataFrame:
         "Series_Identifier", "Appointment_Month", "Year", "Month", F.col("Region_Type").alias("Region Type"),
         "District", "Product", F.col("Work_Order_Action").alias("Job Type"), F.col("Work_Force").alias("Workforce"),
         "Technology", "SWT", "SWT_Type",
-    ).orderBy(F.col("Appointment_Month").desc())
+    ).orderBy(F.col("Appointment_Month").desc(), "Series_Identifier")
 
 
 def district_regions(lookup: DataFrame) -> DataFrame:
@@ -180,12 +180,8 @@ def display_cube(
         m.alias("Appointment_Month"), F.try_element_at("_history", m).alias("_past"),
         F.try_element_at("_forecast", m).alias("_ahead"),
     ))
-    # Every row grows to a whole calendar here, so the rows are first spread over all tasks; the
-    # maps are read before the months are exploded, so the many month rows do not carry them.
-    tasks = int(fact.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    months = rows.repartition(tasks, "Forecast_Date", *dims.columns).select(
-        "Forecast_Date", *dims.columns, F.inline(cells)
-    )
+    # The maps are read before the months are exploded, so the many month rows do not carry them.
+    months = rows.select("Forecast_Date", *dims.columns, F.inline(cells))
     grid = months.select("*", F.explode_outer("_ahead").alias("_hit")).select(
         day.alias("Forecast_Date"), *CUBE_COLUMNS[1:10],
         F.col("_past.awt").alias("AWT_Historical"), F.col("_past.swt").alias("SWT_Historical"),

@@ -246,7 +246,7 @@ def work_rows(up: Upstream, rules: FactRules, start: date, end: date) -> DataFra
         .join(status, "job_assignment_id")
         .join(processing_states(up.processing_state).select("job_id", "IS_ASSIST"), "job_id", "left")
         .filter((flag_to_int(F.col("IS_ASSIST")) == 0) | (F.col("orig_system_id") == fv.ASSIST_SOURCE_SYSTEM))
-        .join(people, "team_member_id", "left")
+        .join(people, "team_member_id")  # without a worker's company no row is kept, so no row needs one to be missing
         .join(service_names(up.service), "work_order_id", "left")
         .join(work_order_attributes(up.work_order_attribute), "work_order_id", "left")
         .join(copies(open_rows(up.work_order_status), "work_order_id", "_order_rows"), "work_order_id", "left")

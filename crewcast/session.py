@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -39,12 +38,8 @@ def build_session(app_name: str = "crewcast", master: str | None = None, **extra
 def shared_folder(spark: SparkSession) -> str:
     """A new sub-folder of the cluster's shared folder, ``spark.checkpoint.dir``.
 
-    Only a local session may fall back on this machine's temporary folder: on a cluster no other
-    node could read it, so an unset folder is an error there.
+    Where it is unset, a folder in the warehouse is taken, which all nodes reach as well.
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder every node can reach")
-        base = tempfile.gettempdir()
+    base = base or spark.conf.get("spark.sql.warehouse.dir")
     return f"{base.rstrip('/')}/crewcast-{uuid.uuid4().hex}"

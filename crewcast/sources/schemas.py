@@ -59,7 +59,7 @@ CORRECTIONS = _ddl("""
     Forecast_Date string, Appointment_Month date, Product string, SWT_Forecasted_RGU double,
     SWT_Adjusted_RGU double, Alpha_Correction_Forecasted double, Lag_Correction_Forecasted bigint,
     Alpha_Correction_Adjusted double, Lag_Correction_Adjusted bigint""")
-PRODUCT_NAMES = _ddl("FWDS_product_name string, RGU_product_name string")
+PRODUCT_NAMES = _ddl("work_order_product_name string, RGU_product_name string")
 
 _TYPES = {
     "STRING": "string", "DATE": "date", "TIMESTAMP": "timestamp", "DATETIME": "timestamp_ntz",
