@@ -66,20 +66,20 @@ targets AS (
 
 @query("scope_expand", f"""
 WITH {RULES_SQL.strip()}
-SELECT Products_Impacted, district, CAST(COUNT(*) AS BIGINT) AS n FROM covered GROUP BY ALL""")
+SELECT r.Owner, c.Products_Impacted, c.Job_Types_Impacted, c.district FROM covered c JOIN rules r USING (uid)""")
 def scopes(t: Tables) -> DataFrame:
     keyed = efficiency.with_rule_key(rules(t))
-    covered = efficiency.rule_districts(keyed, efficiency.known_districts(district_lookup(t)))
-    return covered.groupBy("Products_Impacted", "district").agg(F.count(F.lit(1)).alias("n"))
+    covered = efficiency.rule_districts(keyed, efficiency.known_districts(district_lookup(t))).select("efficiency_uid", "district")
+    return covered.join(keyed, "efficiency_uid").select("Owner", "Products_Impacted", "Job_Types_Impacted", "district")
 
 
 @query("family_explode", f"""
 WITH {RULES_SQL.strip()}
-SELECT product, job_type, district, CAST(COUNT(*) AS BIGINT) AS n FROM targets GROUP BY ALL""")
+SELECT r.Owner, r.Products_Impacted, t.product, t.job_type, t.district FROM targets t JOIN rules r USING (uid)""")
 def families(t: Tables) -> DataFrame:
     keyed = efficiency.with_rule_key(rules(t))
-    targets = efficiency.rule_targets(keyed, efficiency.known_districts(district_lookup(t)))
-    return targets.groupBy("product", "job_type", "district").agg(F.count(F.lit(1)).alias("n"))
+    targets = efficiency.rule_targets(keyed, efficiency.known_districts(district_lookup(t))).select("efficiency_uid", "product", "job_type", "district")
+    return targets.join(keyed, "efficiency_uid").select("Owner", "Products_Impacted", "product", "job_type", "district")
 
 
 @query("efficiency_reduction", f"""
@@ -95,12 +95,8 @@ merged AS (
   WHERE l.month >= date_trunc('month', CAST(t.Forecast_Date AS TIMESTAMP))),
 filled AS (SELECT *, last_value(r IGNORE NULLS) OVER (PARTITION BY Forecast_Date, uid ORDER BY month
     ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS c FROM merged)
-SELECT f.Forecast_Date, f.month AS appointment_month, t.product, t.job_type AS Work_Order_Action, CAST(COUNT(*) AS BIGINT) AS n,
-  CAST(COUNT(DISTINCT t.district) AS BIGINT) AS districts, CAST(SUM(CAST(round(f.c, 6) AS DECIMAL(28,6))) AS DOUBLE) AS efficiency_reduction
-FROM filled f JOIN targets t ON f.uid = t.uid GROUP BY ALL""")
+SELECT f.Forecast_Date, f.month AS appointment_month, t.product, t.job_type AS Work_Order_Action, t.district, round(f.c, 6) AS efficiency_reduction
+FROM filled f JOIN targets t ON f.uid = t.uid""")
 def reductions(t: Tables) -> DataFrame:
     rows = efficiency.efficiency_reductions(rules(t), district_lookup(t), forecast_history(order_facts(t)))
-    return rows.groupBy("Forecast_Date", "appointment_month", "product", "Work_Order_Action").agg(
-        F.count(F.lit(1)).alias("n"), F.countDistinct("district").alias("districts"),
-        F.sum(F.round("efficiency_reduction", 6).cast("decimal(28,6)")).cast("double").alias("efficiency_reduction"),
-    )
+    return rows.withColumn("efficiency_reduction", F.round("efficiency_reduction", 6))
