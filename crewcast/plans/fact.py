@@ -12,7 +12,7 @@ from crewcast import fixed_values as fv
 from crewcast.functions import (
     any_like, child_or_parent, first_match, flag_to_int, joined_parts, local_date, recode, renamed_key, repaired,
 )
-from crewcast.operators.joins import lookup, resolve_hierarchy
+from crewcast.operators.joins import lookup, matching_keys, resolve_hierarchy
 from crewcast.operators.latest import Latest, latest_counts, latest_pivot, latest_rows, open_rows
 
 
@@ -204,56 +204,67 @@ def work_rows(up: Upstream, rules: FactRules, start: date, end: date) -> DataFra
     """One row per work order, component, job, assignment and location tie, with the values to add up.
 
     Tables that only repeat rows (open work order statuses, job statuses, dispatch rows, parties)
-    are counted per key first and enter as the factor ``copies``.
+    are counted per key first and enter as the factor ``copies``. Histories are cut to the work orders, jobs and
+    assignments of the period before they are aggregated, by the same key, and the main rows are joined key by
+    key: everything of the work order, then of the job, then of the assignment and its worker.
     """
     def copies(rows: DataFrame, key: str, name: str) -> DataFrame:
         return rows.groupBy(key).agg(F.count(F.lit(1)).alias(name))
 
-    dispatch = open_rows(up.location).filter(F.col("work_order_location_usage_cd") == fv.DISPATCH_USAGE).select(
-        "work_order_id", "src_last_updt_ts"
-    )
     instants = ["appointment_start_datetime", "early_start_time"]
     job = up.job.filter(near_period(F.col(instants[0]), start, end) | near_period(F.col(instants[1]), start, end)).select(
         "job_id", "work_order_id", *instants,
         F.col("estimated_duration").alias("job_estimate"), F.col("job_type_cd").alias("job_job_type"),
     )
+
+    def of_order(rows: DataFrame) -> DataFrame:
+        return matching_keys(rows, job, ["work_order_id"])
+
+    def of_job(rows: DataFrame) -> DataFrame:
+        return matching_keys(rows, job, ["job_id"])
+
+    location = of_order(up.location)
+    assignment = open_rows(of_job(up.assignment)).select("job_id", "job_assignment_id", "team_member_id")
+    dispatch = open_rows(location).filter(F.col("work_order_location_usage_cd") == fv.DISPATCH_USAGE).select(
+        "work_order_id", "src_last_updt_ts"
+    )
     order = up.work_order.filter(F.col("work_order_category_cd").isin(*rules.categories)).select(
         "work_order_id", "orig_system_id", F.col("work_order_classification_cd").alias("classification"),
         F.col("work_order_action_cd").alias("order_action"),
     )
-    component = up.component.select(
+    component = of_order(up.component).select(
         "work_order_id", F.col("work_order_component_id").alias("component_id"),
         F.col("estimated_duration_amt").alias("component_estimate"),
         F.col("work_order_action_cd").alias("component_action"), F.col("job_type_cd").alias("component_job_type"),
         F.col("product_category_cd").alias("component_product"), F.col("technology_cd").alias("component_technology"),
     )
-    status = assignment_statuses(up.assignment_status).filter(F.col("JOB_ASSIGNMENT_STATUS_CD") != fv.REJECTED).select(
+    status = assignment_statuses(matching_keys(up.assignment_status, assignment, ["job_assignment_id"])).filter(F.col("JOB_ASSIGNMENT_STATUS_CD") != fv.REJECTED).select(
         "job_assignment_id", F.col("JOB_ASSIGNMENT_STATUS_CD").alias("assignment_status")
     )
-    alive = copies(open_rows(up.job_status).filter(F.col("job_status_cd") != fv.CANCELLED), "job_id", "_status_rows")
+    alive = copies(open_rows(of_job(up.job_status)).filter(F.col("job_status_cd") != fv.CANCELLED), "job_id", "_status_rows")
     district = F.col("district_name")
-    fine, coarse = booked_hours(up.time_entry)
+    fine, coarse = booked_hours(of_job(up.time_entry))
     people = resolve_hierarchy(up.team_member, rules.own_company).select(
         "team_member_id", "MGR_TID", "TECHNICIAN", "COMPANY"
     )
     rows = (
         job.join(order, "work_order_id")
-        .join(navigation_location(up.location, up.districts, rules), "work_order_id")
+        .join(navigation_location(location, up.districts, rules), "work_order_id")
         .filter(in_local_period([F.col(c) for c in instants], F.col("zone"), start, end))
         .filter(any_like(district, rules.district_patterns) | district.isin(*rules.districts))
+        .join(service_names(of_order(up.service)), "work_order_id", "left")
+        .join(work_order_attributes(of_order(up.work_order_attribute)), "work_order_id", "left")
+        .join(copies(open_rows(of_order(up.work_order_status)), "work_order_id", "_order_rows"), "work_order_id", "left")
+        .join(latest_counts(dispatch, "work_order_id", "src_last_updt_ts", "_dispatch_rows"), "work_order_id", "left")
+        .join(copies(open_rows(of_order(up.party)), "work_order_id", "_party_rows"), "work_order_id", "left")
         .join(alive, "job_id")
-        .join(open_rows(up.assignment).select("job_id", "job_assignment_id", "team_member_id"), "job_id")
-        .join(status, "job_assignment_id")
-        .join(processing_states(up.processing_state).select("job_id", "IS_ASSIST"), "job_id", "left")
+        .join(processing_states(of_job(up.processing_state)).select("job_id", "IS_ASSIST"), "job_id", "left")
         .filter((flag_to_int(F.col("IS_ASSIST")) == 0) | (F.col("orig_system_id") == fv.ASSIST_SOURCE_SYSTEM))
-        .join(people, "team_member_id")  # without a worker's company no row is kept, so no row needs one to be missing
-        .join(service_names(up.service), "work_order_id", "left")
-        .join(work_order_attributes(up.work_order_attribute), "work_order_id", "left")
-        .join(copies(open_rows(up.work_order_status), "work_order_id", "_order_rows"), "work_order_id", "left")
-        .join(latest_counts(dispatch, "work_order_id", "src_last_updt_ts", "_dispatch_rows"), "work_order_id", "left")
-        .join(copies(open_rows(up.party), "work_order_id", "_party_rows"), "work_order_id", "left")
-        .join(component, "work_order_id", "left")
         .join(coarse, "job_id", "left")
+        .join(assignment, "job_id")
+        .join(status, "job_assignment_id")
+        .join(people, "team_member_id")  # a row without a worker's company is dropped below
+        .join(component, "work_order_id", "left")
         .join(fine.withColumnRenamed("work_order_component_id", "component_id"), ["job_id", "component_id"], "left")
     )
     one = F.lit(1)
