@@ -80,7 +80,8 @@ def seasonal_regression_forecast(
     lagged = train.filter(c("y").isNotNull()).select(
         *GROUP, "ds", c("y").cast("double").alias("y")
     ).select(
-        *GROUP, "ds", "y", F.lag("y", 1).over(by_day).alias("a"), F.lag("y", season).over(by_day).alias("b")
+        *GROUP, "ds", "y", F.lag("y", 1).over(by_day).alias("a"), F.lag("y", season).over(by_day).alias("b"),
+        F.array(*[F.lag("y", i).over(by_day) for i in range(season - 1, 0, -1)], "y").alias("recent"),
     )
     used = c("b").isNotNull()
 
@@ -94,7 +95,7 @@ def seasonal_regression_forecast(
         F.max("ds").alias("_last"),
         F.avg("y").alias("level"),
         F.count("b").cast("double").alias("n"),
-        F.slice(F.sort_array(F.collect_list(F.struct("ds", "y")))["y"], -season, season).alias("tail"),
+        F.max_by("recent", "ds").alias("tail"),
         mean("y"), mean("a"), mean("b"),
         *[covariance(*pair) for pair in ("yy", "aa", "bb", "ab", "ay", "by")],
     )
