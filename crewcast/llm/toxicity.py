@@ -275,7 +275,10 @@ def fit(texts: list[str], labels: list[int], settings: Settings = Settings(), to
 
 def learn(docs: DataFrame, labels: DataFrame, settings: Settings = Settings(), id_col: str = "doc_id", text_col: str = "text",
           label_col: str = "toxic") -> Model:
-    """Fit on a bounded sample of labelled documents; labels other than 0 and 1 are left out."""
+    """Fit on a bounded sample of labelled documents; labels other than 0 and 1 are left out.
+
+    Without any labelled text nothing is known to be toxic: every score is all but 0, and nothing is rejected.
+    """
     marked = labels.filter(labels[label_col].isin(0, 1))
     taken, found = Counter(), []
     for label, text in labelled(docs, marked, max(settings.toxic_docs, settings.clean_docs), settings.sample_chars, id_col, text_col, label_col):
@@ -283,7 +286,7 @@ def learn(docs: DataFrame, labels: DataFrame, settings: Settings = Settings(), i
         if taken[label] <= (settings.toxic_docs if label else settings.clean_docs):
             found.append((label, text))
     if not found:
-        raise ValueError("no labelled rows")
+        return Model(None, np.zeros(0), 0.0, np.r_[np.zeros(settings.top), -50.0], settings)
     share = marked.agg(F.avg(F.col(label_col).cast("double"))).first()[0]
     return fit([t for _, t in found], [y for y, _ in found], settings, share)
 

@@ -323,3 +323,22 @@ def test_ordinal_grades(odd, nothing):
     assert quality.predict(nothing, model).collect() == []
     only = quality.fit([3, 3], ["a", "b"])
     assert {r["expected_grade"] for r in quality.predict(odd, only).collect()} == {3.0}
+
+
+def test_models_without_labels(frame, odd, nothing):
+    unlabelled = frame([], "doc_id long, toxic int, quality int")
+    for docs in (odd, nothing):
+        model = toxicity.learn(docs, unlabelled)
+        assert toxicity.drop_toxic(odd, model).count() == len(odd_rows())
+        assert {r["predicted"] for r in toxicity.predict(odd, model).collect()} == {0}
+        grades = quality.predict(odd, quality.learn(docs, unlabelled)).collect()
+        assert len(grades) == len(odd_rows()) and {r["expected_grade"] for r in grades} == {0.0}
+    assert language_id.learn(frame([], "doc_id long, text string, lang string")).predict("some words")[0] == "und"
+
+
+def test_pipeline_on_empty_tables(spark, tmp_path):
+    import corpus_pipeline
+
+    for name in ("documents", "labels", "benchmark"):
+        spark.read.parquet(f"/root/testdata/sf0.001/{name}.parquet").limit(0).write.parquet(f"{tmp_path}/{name}.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
