@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from crewcast.catalog.base import Tables, money, query
 from crewcast.catalog.inputs import (
-    DIMS, FORECAST_SQL, ORDER_FACTS_SQL, SEGMENT_PRODUCTS, VERSION_STAMPS, forecast_history, order_facts,
+    DIMS, FORECAST_SQL, ORDER_FACTS_SQL, PANEL_SQL, SEGMENT_PRODUCTS, VERSION_STAMPS, forecast_history, order_facts,
 )
 from crewcast.catalog.correction import volume_sheet
 from crewcast import fixed_values as fv
@@ -104,8 +104,61 @@ def coerced(t: Tables) -> DataFrame:
     return stored.groupBy(month_of(F.col("day")).alias("month")).agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("global_monthly_forecast")
+LAGS = range(1, fv.MONTHLY_CONTEXT + 1)
+FEATURES = ["1", *[f"lag_{k}" for k in LAGS], *[f"CAST(month(m) = {n} AS INTEGER)" for n in range(2, 13)], *[f"effect_{i}" for i in range(len(DIMS))]]
+WIDTH = len(FEATURES)
+
+
+def _weight(feature: int) -> str:
+    return f"w[{feature + 1}]"
+
+
+def _monthly_forecast_sql() -> str:
+    """The same normal equations, eliminated by a recursion over lists, and a recursion over the months ahead."""
+    effects = "".join(f"""
+effects_{i} AS (SELECT {d}, CAST((CAST(SUM(y) AS DOUBLE) + 10 * mean) / (COUNT(*) + 10) - mean AS DECIMAL(18,2)) AS effect_{i}
+  FROM training, overall GROUP BY {d}, mean),""" for i, d in enumerate(DIMS))
+    product = lambda i, j: f"SUM(CAST({FEATURES[min(i, j)]} AS DOUBLE) * CAST({FEATURES[max(i, j)] if max(i, j) < WIDTH else 'y'} AS DOUBLE))"
+    table = ", ".join("[" + ", ".join(product(i, j) for j in range(WIDTH + 1)) + "]" for i in range(WIDTH))
+    level = " + ".join([_weight(0), *[f"CAST(effect_{i} AS DOUBLE) * {_weight(WIDTH - len(DIMS) + i)}" for i in range(len(DIMS))]])
+    season = "CASE month(m + to_months(step)) WHEN 1 THEN 0.0 " + " ".join(f"WHEN {n} THEN {_weight(len(LAGS) + n - 1)}" for n in range(2, 13)) + " END"
+    past = " + ".join(f"state[{len(LAGS) + 1 - k}] * {_weight(k)}" for k in LAGS)
+    return f"""
+WITH RECURSIVE {ORDER_FACTS_SQL.strip()}, {PANEL_SQL.strip()},
+valued AS (
+  SELECT Series_Identifier AS id, Appointment_Month AS m, CAST(SWT AS DECIMAL(18,2)) AS y, {', '.join(f"coalesce({d}, 'None') AS {d}" for d in DIMS)} FROM panel),
+training AS MATERIALIZED (
+  SELECT * FROM (
+    SELECT *, {', '.join(f'lag(y, {k}) OVER series AS lag_{k}' for k in LAGS)}, lead(m) OVER series IS NULL AS newest
+    FROM valued WINDOW series AS (PARTITION BY id ORDER BY m))
+  WHERE lag_{LAGS[-1]} IS NOT NULL),
+overall AS (SELECT CAST(SUM(y) AS DOUBLE) / COUNT(*) AS mean FROM training),{effects}
+described AS MATERIALIZED (SELECT * FROM training {' '.join(f'JOIN effects_{i} USING ({d})' for i, d in enumerate(DIMS))}),
+sums AS (SELECT [{table}] AS a FROM described),
+steps AS (
+  SELECT 1 AS k, a, list_transform(range(1, {WIDTH + 1}), lambda i: a[i][i]) AS own FROM sums
+  UNION ALL
+  SELECT k + 1, list_transform(range(1, {WIDTH + 1}), lambda i: CASE
+      WHEN i <> k AND a[k][k] > 1e-10 * own[k] THEN list_transform(range(1, {WIDTH + 2}), lambda j: a[i][j] - a[i][k] * (a[k][j] / a[k][k]))
+      WHEN i <> k THEN a[i]
+      WHEN a[k][k] > 1e-10 * own[k] THEN list_transform(a[k], lambda x: x / a[k][k])
+      ELSE list_transform(a[k], lambda x: 0.0::DOUBLE) END), own
+  FROM steps WHERE k <= {WIDTH}),
+weights AS (SELECT list_transform(a, lambda line: line[{WIDTH + 1}]) AS w FROM steps WHERE k = {WIDTH + 1}),
+ahead AS (
+  SELECT 1 AS step, id, m, {', '.join(DIMS)}, w, {level} AS level,
+    [{', '.join(f'CAST(lag_{k} AS DOUBLE)' for k in reversed(LAGS[:-1]))}, CAST(y AS DOUBLE)] AS state, CAST(NULL AS DOUBLE) AS value
+  FROM described, weights WHERE newest
+  UNION ALL
+  SELECT step + 1, id, m, {', '.join(DIMS)}, w, level, list_append(state[2:], value), value
+  FROM (SELECT * REPLACE (level + {season} + {past} AS value) FROM ahead WHERE step <= {fv.MONTHLY_HORIZON}))
+SELECT id AS Series_Identifier, CAST(m + to_months(step - 1) AS DATE) AS Appointment_Month, {', '.join(DIMS)}, 'ok' AS status, round(value, 1) AS predicted_SWT
+FROM ahead WHERE step > 1"""
+
+
+@query("global_monthly_forecast", _monthly_forecast_sql())
 def global_forecast(t: Tables) -> DataFrame:
     """One least-squares model over all monthly series, 18 months ahead."""
-    rows = monthly_global_forecast(t.stored(panel(t)), DIMS, "Series_Identifier", "Appointment_Month", "SWT")
-    return rows.select("Series_Identifier", "Appointment_Month", *DIMS, F.round("predicted_SWT", 4).alias("predicted_SWT"))
+    months = panel(t).withColumn("SWT", money("SWT"))
+    rows = monthly_global_forecast(months, DIMS, "Series_Identifier", "Appointment_Month", "SWT")
+    return rows.select("Series_Identifier", "Appointment_Month", *DIMS, "status", F.round("predicted_SWT", 1).alias("predicted_SWT"))

@@ -7,9 +7,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from crewcast.fixed_values import MONTHLY_CONTEXT, MONTHLY_HORIZON
+from crewcast.session import shared_folder
+from crewcast.sources.tables import written
 
 GROUP = ("series_id", "split_index")
 
@@ -140,6 +142,26 @@ def seasonal_regression_forecast(
     return _forecast_rows(fits.withColumn("_path", path), "SEASONAL_AR", ("orders", "status"))
 
 
+#: A feature whose remaining sum of squares is at most this share of its own is explained by those before it.
+COLLINEAR = 1e-10
+#: Rows by which an attribute value's mean is pulled to the overall mean.
+SMOOTHING = 10
+
+
+def solved(sums: list[list[float]], right: list[float]) -> list[float]:
+    """Least-squares weights from sums of products, by elimination in the order of the features; a collinear one gets 0."""
+    own = [sums[i][i] for i in range(len(right))]
+    table = [[*row, r] for row, r in zip(sums, right)]
+    for k, size in enumerate(own):
+        pivot = table[k][k]
+        if pivot > COLLINEAR * size:
+            line = [x / pivot for x in table[k]]
+            table = [line if i == k else [x - row[k] * y for x, y in zip(row, line)] for i, row in enumerate(table)]
+        else:
+            table[k] = [0.0] * len(table[k])
+    return [row[-1] for row in table]
+
+
 def monthly_global_forecast(
     panel: DataFrame,
     attributes: Sequence[str],
@@ -148,57 +170,68 @@ def monthly_global_forecast(
     target: str,
     horizon: int = MONTHLY_HORIZON,
     context: int = MONTHLY_CONTEXT,
-    penalty: float = 1e-6,
 ) -> DataFrame:
     """One least-squares model over all series: last ``context`` months, season and attributes.
 
-    Squared error is pooled over all series. Attributes enter as smoothed target means, so a wide
-    attribute costs no more than a narrow one. Fitting is one aggregation over the training rows;
-    the few coefficients come back to the driver, and every series is then unrolled ``horizon``
-    months ahead in one expression. ``panel`` must be dense.
+    Squared error is pooled over all series. An attribute enters as the smoothed deviation of its value's mean, joined
+    by value, so a wide attribute costs no more than a narrow one. Fitting is one aggregation of products of features;
+    only those sums, whose number does not depend on the data, reach the driver. Effects of a decimal target are
+    rounded to its scale. Every series is then unrolled ``horizon`` months in one expression. A series without ``context`` full months
+    before its last one continues at its mean with the status ``short``. ``panel`` must be dense.
     """
-    from pyspark.ml import Pipeline
-    from pyspark.ml.feature import StringIndexer, TargetEncoder, VectorAssembler
-    from pyspark.ml.regression import LinearRegression
-
-    by_month = Window.partitionBy(identifier).orderBy(month)
-    value = F.col(target).cast("double")
-    lags = [f"lag_{k}" for k in range(1, context + 1)]
-    seasons = [f"month_{m}" for m in range(2, 13)]
+    spark, kind = panel.sparkSession, panel.schema[target].dataType
+    number = kind.simpleString() if isinstance(kind, T.DecimalType) else "double"
+    by_month = Window.partitionBy("id").orderBy("month")
+    names = [f"attribute_{i}" for i in range(len(attributes))]
     rows = panel.select(
-        identifier, month, *[F.coalesce(a, F.lit("None")).alias(a) for a in attributes], value.alias("label"),
-        *[F.lag(value, k).over(by_month).alias(n) for k, n in enumerate(lags, 1)],
-        *[(F.month(month) == m).cast("double").alias(n) for m, n in enumerate(seasons, 2)],
-        F.lead(month).over(by_month).isNull().alias("newest"),
+        F.col(identifier).alias("id"), F.col(month).alias("month"), F.col(target).cast(number).alias("label"),
+        *[F.coalesce(F.col(a), F.lit("None")).alias(n) for a, n in zip(attributes, names)],
     )
-    indexed, encoded = [f"{a}_index" for a in attributes], [f"{a}_mean" for a in attributes]
-    encoder = Pipeline(stages=[
-        StringIndexer(inputCols=list(attributes), outputCols=indexed, handleInvalid="keep"),
-        TargetEncoder(inputCols=indexed, outputCols=encoded, labelCol="label", targetType="continuous",
-                      smoothing=10.0, handleInvalid="keep"),
-        VectorAssembler(inputCols=[*lags, *seasons, *encoded], outputCol="features"),
-    ])
-    training = rows.filter(F.col(lags[-1]).isNotNull())
-    prepared = encoder.fit(training)
-    model = LinearRegression(regParam=penalty, solver="normal").fit(prepared.transform(training))
-    weights = [float(w) for w in model.coefficients]
-    lag_weights, rest = weights[:context], weights[context:]
-    season_weights = F.array(F.lit(0.0), *[F.lit(w) for w in rest[: len(seasons)]])
-    level = F.lit(float(model.intercept))
-    for name, weight in zip(encoded, rest[len(seasons):]):
-        level = level + F.col(name) * F.lit(weight)
+    lags = [f"lag_{k}" for k in range(1, context + 1)]
+    rows = rows.select("*", *[F.lag("label", k).over(by_month).cast("double").alias(n) for k, n in enumerate(lags, 1)],
+                       F.lead("month").over(by_month).isNull().alias("newest"),
+                       F.avg(F.col("label").cast("double")).over(Window.partitionBy("id")).alias("level"))
+    whole = F.col("label").isNotNull()
+    for n in lags:
+        whole = whole & F.col(n).isNotNull()
+    kept = rows.withColumn("whole", whole).filter("whole OR newest")
+    kept = written(kept, shared_folder(spark))
+    training = kept.filter("whole")
+
+    mean = training.agg(F.sum("label").cast("double") / F.count("label")).scalar()
+    effects = []
+    for i, n in enumerate(names):
+        smooth = (F.sum("label").cast("double") + SMOOTHING * mean) / (F.count("label") + SMOOTHING) - mean
+        effect = training.groupBy(n).agg(smooth.cast(number).cast("double").alias(f"effect_{i}"))
+        kept = kept.join(effect, n, "left")
+        effects.append(f"effect_{i}")
+    kept = kept.withColumn("label", F.col("label").cast("double")).select(
+        "*", F.lit(1.0).alias("one"), *[(F.month("month") == m).cast("double").alias(f"season_{m}") for m in range(2, 13)])
+    features = ["one", *lags, *[f"season_{m}" for m in range(2, 13)], *effects]
+    pairs = [(a, b) for i, a in enumerate(features) for b in [*features[i:], "label"]]
+    found = kept.filter("whole").agg(*[F.expr(f"sum({a} * {b})").alias(f"{a}:{b}") for a, b in pairs]).first()
+    sums = {pair: float(found[f"{pair[0]}:{pair[1]}"] or 0) for pair in pairs}
+    weights = dict(zip(features, solved(
+        [[sums[(a, b) if (a, b) in sums else (b, a)] for b in features] for a in features], [sums[(a, "label")] for a in features])))
+
+    level = F.lit(weights["one"])
+    for n in effects:
+        level = level + F.col(n) * F.lit(weights[n])
+    season = F.array(F.lit(0.0), *[F.lit(weights[f"season_{m}"]) for m in range(2, 13)])
 
     def advance(state: Column, step: Column) -> Column:
-        ahead = level + F.element_at(season_weights, F.month(F.add_months(month, step)))
-        for back, weight in enumerate(lag_weights, 1):
-            ahead = ahead + F.element_at(state, -back) * F.lit(weight)
+        ahead = level + F.element_at(season, F.month(F.add_months("month", step)))
+        for back, n in enumerate(lags, 1):
+            ahead = ahead + F.element_at(state, -back) * F.lit(weights[n])
         return F.concat(state, F.array(ahead))
 
-    newest = prepared.transform(training.filter("newest"))
-    known = F.array(*[F.col(n) for n in reversed(lags[:-1])], F.col("label"))
+    known = F.array(*reversed(lags[:-1]), "label")
     path = F.slice(F.aggregate(F.sequence(F.lit(1), F.lit(horizon)), known, advance), context + 1, horizon)
-    ahead = newest.select(identifier, month, *attributes, F.posexplode(path).alias("_pos", f"predicted_{target}"))
-    return ahead.withColumn(month, F.add_months(month, F.col("_pos") + 1)).drop("_pos")
+    path = F.when(F.col("whole"), path).otherwise(F.array_repeat("level", horizon))
+    ahead = kept.filter("newest").select(
+        F.col("id").alias(identifier), "month", *[F.col(n).alias(a) for n, a in zip(names, attributes)],
+        F.when(F.col("whole"), "ok").otherwise("short").alias("status"), F.posexplode(path).alias("_pos", f"predicted_{target}"))
+    return ahead.withColumn("month", F.add_months("month", F.col("_pos") + 1)).drop("_pos").withColumnRenamed("month", month)
 
 
 def forecast_counts(train: DataFrame, forecasts: DataFrame) -> DataFrame:

@@ -253,21 +253,24 @@ def test_seasonal_regression_short_and_flat(frame):
 
 
 def test_global_forecast_recovers_a_shared_rule(frame):
-    """Series that follow y = 0.5 * last + 0.5 * last but one are continued exactly."""
+    """Swinging series that follow one rule of two months are continued exactly; a short one stays at its mean."""
     rows, truth = [], {}
     for k in range(6):
         y = [10.0 * k + 3, 25.0 - k]
-        while len(y) < 42:
-            y.append(0.5 * y[-1] + 0.5 * y[-2] + ((len(y) * 7 + k * 3) % 5 if len(y) < 30 else 0.0))
-        for i, v in enumerate(y):
-            rows.append((f"s{k}", date(2020 + i // 12, i % 12 + 1, 1), "d", v))
-        truth[f"s{k}"] = y
+        while len(y) < 45:
+            y.append(1.2 * y[-1] - y[-2] + 4.0)
+        rows += [(f"s{k}", date(2020 + i // 12, i % 12 + 1, 1), "d" if k else None, v) for i, v in enumerate(y[:42])]
+        truth |= {(f"s{k}", date(2023, 7 + i, 1)): v for i, v in enumerate(y[42:])}
+    rows += [("brief", date(2023, m, 1), "e", float(m)) for m in (4, 5, 6)]
     df = frame(rows, "id string, m date, District string, y double")
-    out = forecast.monthly_global_forecast(df, ["District"], "id", "m", "y", horizon=3, context=4)
-    got = {(r.id, r.m): r.predicted_y for r in out.collect()}
-    assert len(got) == 18 and {m for _, m in got} == {date(2023, 7, 1), date(2023, 8, 1), date(2023, 9, 1)}
-    assert all(math.isfinite(v) for v in got.values())
-    assert abs(got[("s1", date(2023, 7, 1))] - (truth["s1"][-1] + truth["s1"][-2]) / 2) < 5
+    out = forecast.monthly_global_forecast(df, ["District"], "id", "m", "y", horizon=3, context=4).collect()
+    assert {(r.id, r.m): r.predicted_y for r in out if r.status == "ok"} == pytest.approx(truth, abs=1e-6)
+    assert [(r.id, r.predicted_y, r.status) for r in out if r.id == "brief"] == [("brief", 5.0, "short")] * 3
+    assert forecast.monthly_global_forecast(df.limit(0), ["District"], "id", "m", "y").collect() == []
+
+
+def test_collinear_features_get_no_weight():
+    assert forecast.solved([[2.0, 4.0, 0.0], [4.0, 8.0, 0.0], [0.0, 0.0, 0.0]], [6.0, 12.0, 0.0]) == [3.0, 0.0, 0.0]
 
 
 def test_forecast_counts(frame):
