@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from crewcast.llm.samples import labelled
-from crewcast.llm.texts import IS_SPACE, STEP, chunks, mix, words
+from crewcast.llm.texts import STEP, chunks, mix, spans, words
 
 
 @dataclass(frozen=True)
@@ -37,10 +37,10 @@ def features(column: pa.Array, bits: int) -> Iterator[tuple[int, np.ndarray, np.
     for row, data, offsets in chunks(column):
         hashes, bounds = words(data, offsets)
         owner = np.repeat(np.arange(len(offsets) - 1), np.diff(bounds))
-        ink = ~IS_SPACE[data]
-        ends = np.flatnonzero(ink & ~np.r_[ink[1:], False]) if len(data) else np.zeros(0, np.int64)
-        ends = ends if len(ends) == len(hashes) else np.zeros(len(hashes), np.int64)  # a word that runs over a text's end
-        tails = sum(data[np.maximum(ends - i, 0)].astype(np.uint64) << np.uint64(8 * i) for i in range(3)) if len(data) else hashes
+        starts, ends = spans(data, offsets)
+        tails = np.zeros(len(hashes), np.uint64)
+        for i in range(3):  # a shorter word has zeros in front
+            tails |= np.where(ends - i > starts, data[np.maximum(ends - 1 - i, 0)], 0).astype(np.uint64) << np.uint64(8 * i)
         again = np.zeros(len(hashes), bool)
         again[1:] = (hashes[1:] == hashes[:-1]) & (owner[1:] == owner[:-1])
         kinds = [hashes, mix(tails * STEP + np.uint64(1)), np.where(again, np.uint64(7), np.uint64(8)) * STEP]

@@ -59,10 +59,10 @@ def chunks(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         row = last
 
 
-def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(hash of every word, index of the first word of every text and of the end)."""
+def spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(first byte, byte after the last) of every word; no word runs over the end of a text."""
     if not len(data):
-        return np.zeros(0, np.uint64), np.zeros(len(offsets), np.int64)
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
     ink = ~IS_SPACE[data]
     first = ink.copy()
     first[1:] &= ~ink[:-1]
@@ -72,7 +72,14 @@ def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     first[inner] = ink[inner]
     inner = inner[inner > 0]
     last[inner - 1] = ink[inner - 1]
-    starts, ends = np.flatnonzero(first), np.flatnonzero(last) + 1
+    return np.flatnonzero(first), np.flatnonzero(last) + 1
+
+
+def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(hash of every word, index of the first word of every text and of the end)."""
+    if not len(data):
+        return np.zeros(0, np.uint64), np.zeros(len(offsets), np.int64)
+    starts, ends = spans(data, offsets)
     sums = np.zeros(len(data) + 1, np.uint64)
     np.cumsum((FOLD[data].astype(np.uint64) + np.uint64(1)) * _power(BASE, len(data)), out=sums[1:])
     hashes = mix((sums[ends] - sums[starts]) * _power(BASE_INVERSE, len(data))[starts])

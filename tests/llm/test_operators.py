@@ -325,6 +325,27 @@ def test_ordinal_grades(odd, nothing):
     assert {r["expected_grade"] for r in quality.predict(odd, only).collect()} == {3.0}
 
 
+def test_word_endings_are_those_of_each_text_alone():
+    texts_ = [sentence(i, 9_000) for i in range(60)] + ["a", "b a", "", None, " x", "äb", "c"]
+    column = pa.array(texts_)
+    assert len(list(texts.chunks(column))) > 1
+    apart = [[x[1:] for x in quality.features(pa.array([t], pa.string()), 16)] for t in texts_]
+    row_feature_value = [(row + t, f, v) for row, text, feature, value in quality.features(column, 16) for t, f, v in zip(text, feature, value)]
+    assert row_feature_value == [(row, f, v) for row, parts in enumerate(apart) for _, feature, value in parts for f, v in zip(feature, value)]
+
+    def invented(seed: int, count: int, tail: str) -> str:
+        letters = random.Random(seed)
+        return " ".join("".join(letters.choices("bcdfghjklm", k=9)) + tail for _ in range(count))
+
+    graded = [invented(i, 3_000, "ing" if i % 2 else "eds") for i in range(80)]
+    assert len(list(texts.chunks(pa.array(graded)))) > 1
+    model = quality.fit([i % 2 for i in range(80)], graded)
+    unseen = [invented(1_000 + i, 30, "ing" if i % 2 else "eds") for i in range(40)]
+    scores = np.concatenate([s for _, _, s in model.scores(pa.array(unseen))])
+    assert scores[1::2].min() > scores[::2].max()
+    assert scores.tolist() == [float(s[0]) for text in unseen for _, _, s in model.scores(pa.array([text]))]
+
+
 def test_models_without_labels(frame, odd, nothing):
     unlabelled = frame([], "doc_id long, toxic int, quality int")
     for docs in (odd, nothing):
