@@ -81,14 +81,16 @@ class Model:
 def learn(rows: DataFrame, settings: Settings = Settings(), text_col: str = "text", lang_col: str = "lang") -> Model:
     """Dictionaries from labelled rows; rows without a language or without text are left out.
 
-    The sample is bounded per language and chosen by the hash of the text. Rows are cut to it before they are moved.
+    The sample is bounded per language and chosen by the hash of the text. Copies are one row before places are counted;
+    places are counted on hashes, and only the texts in the sample are moved.
     """
     text, language = F.col(text_col), F.col(lang_col)
     usable = rows.filter(language.isNotNull() & (F.length(text) > 0) & (F.length(text) <= settings.sample_chars))
-    order = Window.partitionBy("lang").orderBy("hash", "text")
-    sample = usable.select(language.alias("lang"), text.alias("text"), F.xxhash64(text).alias("hash")).withColumn(
-        "place", F.row_number().over(order)).filter(F.col("place") <= settings.sample_docs)
-    sizes = Counter({r["lang"]: r["count"] for r in usable.groupBy(language.alias("lang")).count().limit(settings.most_languages + 1).collect()})
+    usable = usable.select(language.alias("lang"), text.alias("text"), F.xxhash64(text).alias("hash"))
+    place = F.row_number().over(Window.partitionBy("lang").orderBy("hash"))
+    chosen = usable.select("lang", "hash").distinct().withColumn("place", place).filter(F.col("place") <= settings.sample_docs)
+    sample = usable.join(F.broadcast(chosen), ["lang", "hash"]).groupBy("lang", "place").agg(F.min("text").alias("text"))
+    sizes = Counter({r["lang"]: r["count"] for r in usable.groupBy("lang").count().limit(settings.most_languages + 1).collect()})
     if len(sizes) > settings.most_languages:
         raise ValueError(f"more than {settings.most_languages} languages")
     texts: dict[str, list[str]] = {}

@@ -9,7 +9,7 @@ import pyarrow as pa
 import pytest
 from hypothesis import given, settings, strategies as st
 
-from crewcast.llm import components, decontaminate, exact_dedup, html_text, language_id, near_dedup, packing, quality, secrets, sharding, texts, toxicity
+from crewcast.llm import components, decontaminate, exact_dedup, html_text, language_id, near_dedup, packing, quality, samples, secrets, sharding, texts, toxicity
 
 WORDS = [a + b for a in "ba de fi go lu".split() for b in "ran sel tik mon pur wex".split()]
 SCHEMA = "doc_id long, text string, id string, hash int, row int"
@@ -325,6 +325,19 @@ def test_ordinal_grades(odd, nothing):
     assert {r["expected_grade"] for r in quality.predict(odd, only).collect()} == {3.0}
 
 
+def test_copies_take_one_place_of_a_sample(spark, frame):
+    distinct = [sentence(i, 20) for i in range(30)]
+    hashes = {r["text"]: r["hash"] for r in frame([(t,) for t in distinct], "text string").selectExpr("text", "xxhash64(text) AS hash").collect()}
+    order = sorted(distinct, key=hashes.get)
+    column = [t for n, t in enumerate(order) for _ in range(50 if n in (0, 3) else 1)]
+    docs = frame([(i, t, "aa") for i, t in enumerate(column)] + [(0, column[0], "aa")] * 40, "doc_id long, text string, lang string")
+    labels = frame([(i, i % 2 if column[i] == order[0] else 0) for i in range(len(column))] + [(0, 0)] * 3, "doc_id long, label int")
+    found = samples.labelled(docs, labels, 10, 1_000, "doc_id", "text", "label")
+    assert found == [(0, t) for t in order[:10]] + [(1, order[0])]
+    model = language_id.learn(docs, language_id.Settings(sample_docs=10))
+    assert model.contents["aa"].decode() == " " + " ".join(map(language_id.reduced, order[:10]))
+
+
 def test_word_endings_are_those_of_each_text_alone():
     texts_ = [sentence(i, 9_000) for i in range(60)] + ["a", "b a", "", None, " x", "äb", "c"]
     column = pa.array(texts_)
