@@ -265,6 +265,18 @@ def test_benchmark_passages(frame, odd, nothing):
     assert decontaminate.drop_leaks(odd, benchmark.limit(0)).count() == len(odd_rows())
 
 
+def test_edited_passages_whose_prints_are_far_apart(frame):
+    seeds = [38, 190, 227, 309]  # 32 of 40 shingles are common, and 16 to 19 bits differ
+    docs = []
+    for n in seeds:
+        words = sentence(5000 + n, 40).split()
+        words[:2], words[-2:] = ["other", "words"], ["last", "ones"]
+        docs.append((n, " ".join([sentence(7000 + n, 30), *words, sentence(9000 + n, 40)])))
+    items = [(n, sentence(5000 + n, 40)) for n in seeds]
+    found = decontaminate.find(frame(docs, "doc_id long, text string"), frame(items * 2 + [(None, items[0][1]), (seeds[1], "other text")], "item_id long, text string"))
+    assert sorted((r["doc_id"], r["item_id"] or 0, r["similarity"]) for r in found.collect()) == sorted([(n, n, 0.8) for n in seeds] + [(seeds[0], 0, 0.8)])
+
+
 PAGES = {
     "<p>A<p>B <b>c<i>d</b> e": "A\n\nB cd e",
     "<ul><li>x<li>y<ol start=3><li>q<li>r</ol></ul>": "- x\n- y\n  3. q\n  4. r",
