@@ -2,13 +2,17 @@
 
 Texts are lower-cased words of letters and digits; a passage is compared by its shingles of five words, as often as
 they occur. For every item size, windows of that many shingles are taken from a document, each with a 64-bit
-SimHash. Fingerprints are cut into four blocks: two of them within ``radius`` bits agree in some block up to a quarter of
-that, so items are indexed under all block values that near, and a lookup by block finds every item within the
-radius. What it finds is verified by the exact similarity, the sum of the smaller weights over that of the larger.
+SimHash. Fingerprints are cut into four blocks of 16 bits: two of them within ``radius`` bits agree in some block up to
+a quarter of that. Half of a block's differing bits are flipped on each side: two blocks within 4 bits share a value that
+is within 2 of both. Items are indexed under all block values within 2 bits, windows ask for all within 2, so that every
+pair within the radius meets, and the index holds 548 rows an item. Of the values two blocks share only the one with the
+window's lowest differing bits counts, and of the blocks the first, so a pair comes out once. What is found is verified
+by the exact similarity, the sum of the smaller weights over that of the larger.
 
 Windows are only taken where they can matter. A window that reaches the threshold for an item can be moved
 forward to its first shingle of that item without losing a common one, and holds a least number of benchmark shingles.
-So windows start at a shingle of some item of their size and are left out if they hold fewer.
+So windows start at a shingle of some item of their size and are left out if they hold fewer; which item a window is
+compared with is for the fingerprints to say.
 """
 
 from __future__ import annotations
@@ -17,7 +21,7 @@ from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from crewcast.llm.storage import small, stored
+from crewcast.llm.storage import partitions, small, stored
 
 SHINGLE = 5
 BLOCK_BITS = 16
@@ -59,9 +63,19 @@ def _blocks(fingerprint: Column) -> Column:
 
 
 def _masks(most: int) -> list[int]:
+    """All block masks of up to ``most`` bits."""
     return [sum(1 << b for b in bits) for n in range(most + 1) for bits in combinations(range(BLOCK_BITS), n)]
 
 
+def _lowest(value: Column, count: int) -> Column:
+    """The lowest ``count`` set bits of a number."""
+    found, rest = F.lit(0).cast("long"), value
+    for _ in range(count):
+        bit = rest.bitwiseAND(-rest)
+        found, rest = found.bitwiseOR(bit), rest.bitwiseXOR(bit)
+    return found
+
+
 def with_counted(rows: DataFrame, hashes: str, name: str) -> DataFrame:
     """One number per occurrence: a hash and how many equal ones came before it."""
     ordered = F.col("_ordered")
@@ -103,21 +117,29 @@ def find(docs: DataFrame, benchmark: DataFrame, percent: int = 80, radius: int =
         return F.transform(F.filter(row, enough), lambda i: F.get(F.col("places"), i))
 
     open_starts = places.select("key", "size", starts(F.sequence(F.lit(0), F.size("places") - 1)).alias("starts"))
-    open_starts = stored(open_starts).filter(F.size("starts") > 0)
-    windows = with_shingles(rows.join(small(open_starts), "key"), "text", "held").select("id", "size", "held", F.explode_outer("starts").alias("start"))
-    windows = windows.select("id", "size", "start", F.slice("held", F.col("start") + 1, F.col("size")).alias("window")).withColumn("print", simhash(F.col("window")))
-
-    masks = F.array(*[F.lit(m).cast("long") for m in _masks(radius // BLOCKS)])
+    open_starts = stored(open_starts.filter(F.size("starts") > 0))
+    windows = with_shingles(rows.join(small(open_starts), "key"), "text", "held").select("id", "key", "size", "held", F.explode_outer("starts").alias("start"))
+    windows = windows.select("id", "key", "size", "start", F.slice("held", F.col("start") + 1, F.col("size")).alias("window"))
+    windows = stored(windows.withColumn("print", simhash(F.col("window"))))
+
+    # Bits that differ in a block: up to ``here`` are flipped on the window's side and up to ``there`` on the item's.
+    most = radius // BLOCKS
+    here, there = most // 2, most - most // 2
+    flipped = lambda count: F.explode(F.array(*[F.lit(m).cast("long") for m in _masks(count)]))
     index = items.select("item_key", "size", F.col("print").alias("item_print"), F.explode(_blocks(F.col("print"))).alias("at"))
-    index = index.select("item_key", "size", "item_print", "at.block", F.col("at.value").alias("item_value"), F.explode(masks).alias("mask"))
-    index = index.select("item_key", "size", "item_print", "block", F.col("item_value").bitwiseXOR(F.col("mask")).alias("value"))
-    asked = windows.select("id", "size", "start", "window", "print", F.explode(_blocks(F.col("print"))).alias("at"))
-    asked = asked.select("id", "size", "start", "window", "print", "at.block", "at.value")
+    index = index.select("item_key", "size", "item_print", "at.block", F.col("at.value").alias("item_value"), flipped(there).alias("mask"))
+    index = stored(index.select("item_key", "size", "item_print", "block", F.col("item_value").bitwiseXOR(F.col("mask")).alias("value")))
+    # Few bytes become 548 rows each, so they are dealt out before that.
+    asked = windows.select("key", "size", "start", "print").repartition(partitions(docs.sparkSession), "key", "start").distinct().select("key", "size", "start", "print", F.explode(_blocks(F.col("print"))).alias("at"))
+    asked = asked.select("key", "size", "start", "print", "at.block", F.col("at.value").alias("own"), flipped(here).alias("flip"))
+    asked = asked.withColumn("value", F.col("own").bitwiseXOR(F.col("flip")))
     apart = F.col("print").bitwiseXOR(F.col("item_print"))
-    close = F.filter(_blocks(apart), lambda b: F.bit_count(b["value"]) <= radius // BLOCKS)
-    near = asked.join(index, ["size", "block", "value"]).filter(F.bit_count(apart) <= radius)
-    near = near.filter(F.get(close, F.lit(0))["block"] == F.col("block"))  # a pair that meets in several blocks is verified once
-    near = near.select("id", "start", "size", "window", "item_key").join(small(items.select("item_key", "item", "counted")), "item_key")
+    bits = F.call_function("shiftrightunsigned", apart, F.col("block") * BLOCK_BITS).bitwiseAND(F.lit(2**BLOCK_BITS - 1).cast("long"))
+    close = F.filter(_blocks(apart), lambda b: F.bit_count(b["value"]) <= most)
+    near = asked.join(small(index), ["size", "block", "value"]).filter((F.bit_count(apart) <= radius) & (F.col("flip") == _lowest(bits, here)))
+    near = near.filter(F.get(close, F.lit(0))["block"] == F.col("block")).select("key", "size", "start", "item_key")
+    near = small(stored(near)).join(windows, ["key", "size", "start"])
+    near = near.join(small(items.select("item_key", "item", "counted")), "item_key")
 
     near = with_counted(near, "window", "found")
     common = F.size(F.array_intersect("found", "counted"))

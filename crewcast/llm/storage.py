@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from crewcast.session import shared_folder
 from crewcast.sources.tables import written
@@ -17,10 +17,23 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-#: Rows of a few numbers each that may be broadcast; 16 MB for one number.
-BROADCAST_ROWS = 1_000_000
+#: Estimated bytes that may be broadcast.
+BROADCAST_BYTES = 32_000_000
+
+
+def _bytes(name: str, kind: T.DataType) -> Column:
+    """Estimated size of a value: 8 bytes a number and 16 a container, besides what it holds."""
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        return F.lit(16) + F.coalesce(F.octet_length(name), F.lit(0))
+    if isinstance(kind, T.ArrayType):
+        if isinstance(kind.elementType, T.NumericType):
+            return F.lit(16) + 8 * F.greatest(F.size(name), F.lit(0))
+        return F.lit(16) + F.coalesce(F.octet_length(F.to_json(F.struct(name))), F.lit(0))
+    return F.lit(16 if isinstance(kind, T.NumericType) else 64)
 
 
 def small(rows: DataFrame) -> DataFrame:
-    """Marked for broadcast if its counted size allows that; joined by shuffle otherwise."""
-    return F.broadcast(rows) if rows.count() <= BROADCAST_ROWS else rows
+    """Marked for broadcast if its measured bytes allow that; joined by shuffle otherwise. ``rows`` should be stored."""
+    each = sum((_bytes(f.name, f.dataType) for f in rows.schema.fields), F.lit(0))
+    total = rows.agg(F.sum(each.cast("long"))).first()[0] or 0
+    return F.broadcast(rows) if total <= BROADCAST_BYTES else rows
