@@ -1,15 +1,17 @@
 """Toxicity with a subsequence string kernel, Nystroem landmarks and a linear support vector machine.
 
 Two words are compared by the three-letter subsequences they share, weighted by 0.6 for every letter skipped. An insult
-with inserted letters keeps most of them. The kernel of two sentences is the sum over their word pairs of the cube of
-the normalised word kernel; a cube keeps unrelated words near zero. Marks between letters are removed, and
-letters that stand apart are joined ("i d i o t").
-
-Landmarks are words of the training sentences that are more frequent in toxic documents. The kernel against them,
-whitened by its value among them, gives a sentence's features; a squared-hinge machine is trained on sentences, where
-of each toxic document only the sentence that scores highest counts as toxic, over a few rounds. A document's score is
-a logistic function of its three highest sentences. In features the machine is linear, so a word has one value,
-and tasks look values up for the distinct words of a batch.
+with inserted letters keeps most of them. The kernel of two sentences is the sum over the pairs of their distinct words of
+the cube of the normalised word kernel; a cube keeps unrelated words near zero. Marks between letters are removed, and
+letters that stand apart are joined ("i d i o t"). A word whose subsequences shared with any landmark have a norm below
+``least`` counts as unrelated, kernel 0.
+
+Landmarks are words of the training sentences, or beginnings of words, that are more frequent in toxic documents: an
+insult with many endings is one landmark. The kernel against them, whitened by its value among them, gives a
+sentence's features; a squared-hinge machine is trained on sentences, where of each toxic document only the sentence
+that scores highest counts as toxic, over a few rounds. A document's score is a logistic function of its three highest
+sentences. In features the machine is linear, so a word has one value, and tasks look values up for the distinct
+tokens of a batch.
 """
 
 from __future__ import annotations
@@ -31,8 +33,8 @@ NO_LETTER = re.compile(r"[\W\d_]+")
 SENTENCE_END = re.compile(r"[.!?\n]+")
 #: A longer word is read in overlapping parts of this size.
 LONGEST = 24
-#: A worker forgets word values when it knows this many.
-MOST_WORDS = 300_000
+#: Tokens whose values a worker keeps in each of two generations; the older one goes when the younger is full.
+MOST_TOKENS = 250_000
 
 
 @dataclass(frozen=True)
@@ -46,6 +48,12 @@ class Settings:
     decay: float = 0.6
     span: int = 5
     power: int = 3
+    #: Words that share less with the landmarks have kernel 0; a word and a landmark that share it all have 1.
+    least: float = 0.3
+    #: A landmark occurs in this many times as many toxic documents as its share of all, counted with a prior of one document.
+    lift: float = 2.0
+    #: Beginnings of words, from this many letters, are landmarks too.
+    stem: int = 4
     rounds: int = 3
     ridge: float = 1.0
     #: Training sentences whose kernel with every landmark is below this are one row with their number as weight.
@@ -55,22 +63,24 @@ class Settings:
     threshold: float = 0.3
 
 
-def sentences(text: str | None) -> list[list[str]]:
-    """Words of each sentence in lower case, without marks; words of one or two letters are left out."""
+def cleaned(token: str) -> list[str]:
+    """Words of a token in lower case, without marks; one or two letters are no word."""
+    word = token if token.isalpha() else NO_LETTER.sub("", token)
+    if len(word) > LONGEST:
+        return [word[i : i + LONGEST] for i in range(0, len(word) - LONGEST // 2, LONGEST // 2)]
+    return [word] if len(word) > 2 else []
+
+
+def tokens(text: str | None) -> list[set[str]]:
+    """Distinct tokens of each sentence in lower case."""
     low = SPACED.sub(lambda m: BETWEEN.sub("", m.group()), (text or "").lower())
-    found = []
-    for sentence in SENTENCE_END.split(low):
-        kept = []
-        for word in sentence.split():
-            if not word.isalpha():
-                word = NO_LETTER.sub("", word)
-            if len(word) > LONGEST:
-                kept += [word[i : i + LONGEST] for i in range(0, len(word) - LONGEST // 2, LONGEST // 2)]
-            elif len(word) > 2:
-                kept.append(word)
-        if kept:
-            found.append(kept)
-    return found
+    return [set(s.split()) for s in SENTENCE_END.split(low)]
+
+
+def sentences(text: str | None) -> list[list[str]]:
+    """Distinct words of each sentence that has some, in order."""
+    found = [sorted({w for token in s for w in cleaned(token)}) for s in tokens(text)]
+    return [s for s in found if s]
 
 
 def subsequences(words: list[str], settings: Settings) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
@@ -107,28 +117,39 @@ class Landmarks:
 
     words: list[str]
     settings: Settings
+    #: Distinct codes in order; the landmarks that hold code i are owner[starts[i] : starts[i + 1]].
     codes: np.ndarray = field(init=False)
-    weights: np.ndarray = field(init=False)
+    starts: np.ndarray = field(init=False)
+    owner: np.ndarray = field(init=False)
+    weight: np.ndarray = field(init=False)
 
     def __post_init__(self):
         parts = list(subsequences(self.words, self.settings))
         number, code, weight = (np.concatenate(x) for x in zip(*parts))
-        self.codes = np.unique(code)
-        self.weights = np.zeros((len(self.codes), len(self.words)))
-        self.weights[np.searchsorted(self.codes, code), number] = weight
+        order = np.argsort(code, kind="stable")
+        self.codes, first = np.unique(code[order], return_index=True)
+        self.starts, self.owner, self.weight = np.r_[first, len(code)], number[order], weight[order]
 
     def kernel(self, words: list[str]) -> np.ndarray:
         """Power of the normalised kernel, one line per word."""
-        out = np.zeros((len(words), len(self.words)))
+        size = len(self.words)
+        out = np.zeros((len(words), size))
         for number, code, weight in subsequences(words, self.settings):
             place = np.minimum(np.searchsorted(self.codes, code), len(self.codes) - 1)
             hit = self.codes[place] == code
             number, place, weight = number[hit], place[hit], weight[hit]
-            for begin in range(0, len(number), 8_000):
-                part = slice(begin, begin + 8_000)
-                starts = np.flatnonzero(np.r_[True, number[part][1:] != number[part][:-1]])
-                sums = np.add.reduceat(self.weights[place[part]] * weight[part, None], starts)
-                np.add.at(out, number[part][starts], sums)
+            norm = np.bincount(number, weight * weight, minlength=len(words))
+            hit = norm[number] >= self.settings.least**2
+            number, place, weight = number[hit], place[hit], weight[hit]
+            if not len(number):
+                continue
+            # Each shared subsequence counts once for every landmark that holds it.
+            often = self.starts[place + 1] - self.starts[place]
+            entry = np.arange(often.sum()) + np.repeat(self.starts[place] - np.cumsum(often) + often, often)
+            near, line = np.unique(number, return_inverse=True)
+            cell = np.repeat(line * size, often) + self.owner[entry]
+            sums = np.bincount(cell, np.repeat(weight, often) * self.weight[entry], minlength=len(near) * size)
+            out[near] += sums.reshape(-1, size)  # a word's subsequences stand together, so each word comes once
         return out**self.settings.power
 
 
@@ -142,27 +163,39 @@ class Model:
     #: Weights of the highest sentences in order, then a constant.
     final: np.ndarray
     settings: Settings
-    _values: dict[str, float] = field(default_factory=dict, repr=False)
+    _young: dict[str, float] = field(default_factory=dict, repr=False)
+    _old: dict[str, float] = field(default_factory=dict, repr=False)
 
     def __getstate__(self):
-        return {**self.__dict__, "_values": {}}
+        return {**self.__dict__, "_young": {}, "_old": {}}
+
+    def _learn(self, batch: set[str]) -> None:
+        """Values of a batch's tokens; a token without words has none (nan)."""
+        if len(self._young) > MOST_TOKENS:
+            self._young, self._old = {}, self._young
+        fresh = batch.difference(self._young)
+        known = fresh.intersection(self._old)
+        self._young.update((t, self._old[t]) for t in known)
+        parts = {t: cleaned(t) for t in fresh - known}
+        words = sorted({w for split in parts.values() for w in split})
+        value: dict[str, float] = {}
+        for begin in range(0, len(words), 10_000):
+            part = words[begin : begin + 10_000]
+            value.update(zip(part, (self.landmarks.kernel(part) @ self.word_weights).tolist()))
+        self._young.update((t, sum(value[w] for w in split) if split else np.nan) for t, split in parts.items())
 
     def highest(self, texts: Iterable[str | None]) -> np.ndarray:
         """The highest sentence values of each text, highest first; where sentences lack, the bias."""
-        split = [sentences(t) for t in texts]
+        split = [tokens(t) for t in texts]
         top = self.settings.top
         out = np.full((len(split), top), self.bias)
         if self.landmarks is None:
             return out
-        if len(self._values) > MOST_WORDS:
-            self._values.clear()
-        fresh = sorted({w for text in split for s in text for w in s}.difference(self._values))
-        for begin in range(0, len(fresh), 10_000):
-            part = fresh[begin : begin + 10_000]
-            self._values.update(zip(part, (self.landmarks.kernel(part) @ self.word_weights).tolist()))
-        value = self._values.__getitem__
+        self._learn({t for text in split for s in text for t in s})
+        value = self._young.__getitem__
         for line, text in zip(out, split):
-            best = sorted((sum(map(value, s)) for s in text), reverse=True)[:top]
+            sums = [sum(held) for held in ([v for v in map(value, s) if v == v] for s in text) if held]
+            best = sorted(sums, reverse=True)[:top]
             line[: len(best)] += best
         return out
 
@@ -220,6 +253,30 @@ def _near_words(words: list[str], marks: Landmarks) -> tuple[dict[str, int], np.
     return place, np.concatenate(lines)
 
 
+def chosen_landmarks(split: list[list[list[str]]], labels: list[int], settings: Settings) -> list[str]:
+    """Words and beginnings of words with the largest gain in toxic over clean documents; none begins another."""
+    seen = [Counter(), Counter()]
+    for text, label in zip(split, labels):
+        words = {w for s in text for w in s}
+        seen[label].update({w[:n] for w in words for n in range(min(settings.stem, len(w)), len(w) + 1)})
+    toxic, every = max(1, sum(labels)), max(1, len(labels))
+    clean = max(1, every - toxic)
+    gain = {}
+    for word, n in seen[1].items():
+        other = seen[0][word]
+        if n >= 2 and n >= settings.lift * (n + other + 1) * toxic / every:
+            gain[word] = (n / toxic - other / clean) / np.sqrt((n + other) / every)
+    chosen: dict[str, None] = {}
+    begun: set[str] = set()
+    for word in sorted(gain, key=lambda w: (-gain[w], -len(w), w)):
+        if word not in begun and not any(word[:n] in chosen for n in range(1, len(word))):
+            chosen[word] = None
+            begun.update(word[:n] for n in range(1, len(word) + 1))
+            if len(chosen) == settings.landmarks:
+                break
+    return list(chosen)
+
+
 def fit(texts: list[str], labels: list[int], settings: Settings = Settings(), toxic_share: float | None = None) -> Model:
     """Model of a bounded sample. With one class only, every score is that class's share, smoothed.
 
@@ -230,13 +287,8 @@ def fit(texts: list[str], labels: list[int], settings: Settings = Settings(), to
     share = np.log((y.sum() + 1) / (len(y) - y.sum() + 1))
     constant = lambda: Model(None, np.zeros(0), 0.0, np.r_[np.zeros(settings.top), share], settings)
     split = [sentences(t) for t in texts]
-    seen = [Counter(), Counter()]
-    for text, label in zip(split, labels):
-        seen[label].update({w for s in text for w in s})
-    clean, toxic = max(1, int((y == 0).sum())), max(1, int(y.sum()))
-    gain = {w: (n / toxic - seen[0][w] / clean) / np.sqrt((n + seen[0][w]) / len(y)) for w, n in seen[1].items() if n >= 2}
-    words = sorted((w for w in gain if gain[w] > 0), key=lambda w: (-gain[w], w))[: settings.landmarks]
-    if not words or not seen[0]:
+    words = chosen_landmarks(split, labels, settings)
+    if not words or y.all():
         return constant()
     marks = Landmarks(words, settings)
     known = set(words)
