@@ -9,7 +9,6 @@
 
 from __future__ import annotations
 
-import base64
 import re
 import zlib
 from array import array
@@ -34,38 +33,41 @@ PLAIN = re.compile(r"[\x00-ɏ]*\Z")
 
 
 class Ids(dict):
-    """Little-endian uint32 ids of a text. Words of Latin texts are looked up, others are encoded as a whole.
+    """Little-endian uint32 ids of a text, by the tokenizer of a file. Words of Latin texts are looked up once.
 
-    ``ranks_path`` is a rank file of a byte-level BPE; special token strings are ordinary text.
+    The file's tokenizer splits a text into words before it encodes them, so a text's ids are those of its words. Texts
+    with other letters, and texts that hold one of the tokenizer's added tokens, go to it whole.
     """
 
-    def __init__(self, ranks_path: str, pattern: str):
-        import tiktoken
+    def __init__(self, path: str):
+        from tokenizers import Tokenizer
 
-        with open(ranks_path, "rb") as lines:
-            ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
-        self.encode = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+        tokenizer = Tokenizer.from_file(path)
+        added = [token.content for token in tokenizer.get_added_tokens_decoder().values()]
+        self.added = re.compile("|".join(map(re.escape, added)) or r"(?!)")
+        self.encode = lambda text: array("I", tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
     def __missing__(self, word: str) -> bytes:
         if len(self) >= MOST_WORDS:
             self.clear()
-        ids = array("I", self.encode(word)).tobytes()
+        ids = self.encode(word)
         if len(word) < 40:
             self[word] = ids
         return ids
 
     def of(self, text: str) -> bytes:
-        return b"".join(map(self.__getitem__, WORD.findall(text))) if PLAIN.match(text) else array("I", self.encode(text)).tobytes()
+        if PLAIN.match(text) and not self.added.search(text):
+            return b"".join(map(self.__getitem__, WORD.findall(text)))
+        return self.encode(text)
 
 
-_loaded: dict[tuple[str, str], Ids] = {}
+_loaded: dict[str, Ids] = {}
 
 
-def tokens_of(ranks_path: str, pattern: str) -> Ids:
-    key = (ranks_path, pattern)
-    if key not in _loaded:
-        _loaded[key] = Ids(*key)
-    return _loaded[key]
+def tokens_of(path: str) -> Ids:
+    if path not in _loaded:
+        _loaded[path] = Ids(path)
+    return _loaded[path]
 
 
 def cut(count: int, capacity: int) -> list[tuple[int, int]]:
@@ -75,13 +77,13 @@ def cut(count: int, capacity: int) -> list[tuple[int, int]]:
     return [(s, first if first and s == 0 else capacity) for s in starts]
 
 
-def pieces(docs: DataFrame, ranks_path: str, pattern: str, capacity: int = 1024, end_id: int = 2, id_col: str = "doc_id",
+def pieces(docs: DataFrame, path: str, capacity: int = 1024, end_id: int = 2, id_col: str = "doc_id",
            text_col: str = "text", keep_ids: bool = False) -> DataFrame:
     """One row per piece: id, piece, start, length, ids_crc32 and, if asked for, the ids. A null text is empty."""
     end = array("I", [end_id]).tobytes()
 
     def tokenise(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        ids = tokens_of(ranks_path, pattern)
+        ids = tokens_of(path)
         for frame in frames:
             rows = []
             for key, text in zip(frame["id"], frame["text"]):
@@ -187,14 +189,14 @@ class Places:
         return firsts[run] + number - starts[run], offsets[run]
 
 
-def pack(docs: DataFrame, ranks_path: str, pattern: str, capacity: int = 1024, end_id: int = 2, id_col: str = "doc_id",
+def pack(docs: DataFrame, path: str, capacity: int = 1024, end_id: int = 2, id_col: str = "doc_id",
          text_col: str = "text", keep_ids: bool = False) -> DataFrame:
     """One row per piece with its sequence_id and offset; sequences are gapless and hold at most ``capacity`` ids.
 
     A document is its ids and then ``end_id``; only documents longer than ``capacity`` are cut. A null or empty
     text is the end id alone. Rows with one id are packed each for itself. An empty table gives no rows.
     """
-    rows = stored(pieces(docs, ranks_path, pattern, capacity, end_id, id_col, text_col, keep_ids))
+    rows = stored(pieces(docs, path, capacity, end_id, id_col, text_col, keep_ids))
     counts = {r["length"]: r["count"] for r in rows.groupBy("length").count().collect()}  # at most ``capacity`` rows
     places = Places(plan(counts, capacity))
 

@@ -16,7 +16,7 @@ SEQUENCE = 1024
 def pack_documents(docs: DataFrame) -> DataFrame:
     import public_tokenizers
 
-    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, SEQUENCE, end_id=2)
+    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"), SEQUENCE, end_id=2)
 
 
 def remainder(divisor: int) -> Column:
