@@ -31,6 +31,8 @@ from crewcast.llm.texts import STEP, mix, shingle_sets
 
 #: Nodes of one bucket that a task compares with each other.
 BLOCK = 512
+#: Shingle hashes that are compared at once there.
+COLUMNS = 4_096
 
 
 @dataclass(frozen=True)
@@ -171,13 +173,21 @@ def _close(light: np.ndarray, sets: list[np.ndarray], sizes: np.ndarray, parts:
     """
     spare = sizes - np.array([len(s) for s in sets])
     flat = np.concatenate(sets)
-    _, column, often = np.unique(flat, return_inverse=True, return_counts=True)
-    shared = often[column] > 1
-    line = np.repeat(np.arange(len(sets)), [len(s) for s in sets])[shared]
+    line = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    order = np.argsort(flat, kind="stable")
+    flat, line = flat[order], line[order]
+    first = np.r_[True, flat[1:] != flat[:-1]] if len(flat) else np.zeros(0, bool)
+    column = np.cumsum(first) - 1
+    shared = np.bincount(column, minlength=1)[column] > 1 if len(flat) else first
+    line = line[shared]
     _, column = np.unique(column[shared], return_inverse=True)
-    seen = np.zeros((len(sets), int(column.max()) + 1 if len(column) else 1), np.float32)
-    seen[line, column] = 1
-    common = seen[light] @ seen.T + np.minimum(spare[light][:, None], spare[None, :])
+    # Shared hashes are taken some at a time, so that no matrix grows with the length of the texts.
+    common = np.minimum(spare[light][:, None], spare[None, :]).astype(np.float32)
+    for begin in range(0, int(column[-1]) + 1 if len(column) else 0, COLUMNS):
+        part = slice(*np.searchsorted(column, [begin, begin + COLUMNS]))
+        seen = np.zeros((len(sets), COLUMNS), np.float32)
+        seen[line[part], column[part] - begin] = 1
+        common += seen[light] @ seen.T
     union = sizes[light][:, None] + sizes[None, :] - common
     good = (100 * common >= percent * union) & (parts[light][:, None] != parts[None, :])
     for i, j in zip(*np.nonzero(good)):
