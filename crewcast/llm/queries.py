@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from crewcast.llm import decontaminate, exact_dedup, html_text, language_id, near_dedup, packing, quality, secrets, sharding, toxicity
+from crewcast.llm import (decontaminate, exact_dedup, hard_negatives, html_text, language_id, near_dedup, neighbours, packing, quality, secrets, sharding,
+                          toxicity, whitening)
 from crewcast.llm.registry import ORACLES, QUERIES, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -145,3 +146,45 @@ def op5_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
 @query("op10_benchmark_decontamination")
 def op10_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.find(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+def every_hundredth(key: Column) -> Column:
+    """The stated query set of the searches over ``embeddings``."""
+    return F.pmod(key, F.lit(100)) == 0
+
+
+@query("op11_hard_negatives", """
+WITH whole AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+        list_transform(embedding, lambda c: floor(256 * CAST(c AS DOUBLE))) AS x
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0
+), scored AS (
+    SELECT a.vec_id AS anchor_id, b.vec_id AS other, a.label = b.label AS same, CAST(list_inner_product(a.x, b.x) AS BIGINT) AS score
+    FROM whole a JOIN whole b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id
+), positives AS (
+    SELECT anchor_id, other AS positive_id, score AS positive_score FROM scored WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= 5
+)
+SELECT anchor_id, positive_id, CAST(row_number() OVER best AS INTEGER) AS rank, other AS negative_id, positive_score, score AS negative_score
+FROM positives JOIN scored USING (anchor_id)
+WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+WINDOW best AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other)
+QUALIFY row_number() OVER best <= 10""")
+def op11_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    rows = table(spark, folder, "embeddings")
+    label = F.when(F.pmod("vec_id", F.lit(7)) == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    whole = F.transform("embedding", lambda c: F.floor(256 * c.cast("double")))
+    return hard_negatives.mine(rows.select("vec_id", label.alias("label"), whole.alias("embedding")), every_hundredth)
+
+
+@query("op12_embedding_whitening")
+def op12_embedding_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    rows = whitening.whiten(table(spark, folder, "embeddings"), entry=lambda c: F.floor(1024 * c) + 100_000)
+    return rows.withColumnRenamed("id", "vec_id")
+
+
+@query("op13_nearest_neighbours")
+def op13_nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    return neighbours.search(table(spark, folder, "embeddings"), every_hundredth)

@@ -3,6 +3,7 @@
 import random
 import re
 from collections import Counter
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -138,23 +139,30 @@ def test_exact_complements_fill_sequences():
     assert sum(t for _, t in packing.plan({40: 2, 30: 2, 20: 2, 10: 2}, 100)) == 2
 
 
-@settings(max_examples=100, deadline=None)
-@given(st.text(max_size=200))
-def test_word_lookup_gives_the_tokenizers_ids(text):
+SPECIAL = "<|endoftext|>"
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.one_of(st.text(max_size=40), st.sampled_from([SPECIAL, SPECIAL[:7], " ", "it's", "x  y"])), max_size=8))
+def test_word_lookup_gives_the_tokenizers_ids(parts):
     import public_tokenizers
+    from tokenizers import Tokenizer
 
-    ids = packing.tokens_of(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
-    assert np.frombuffer(ids.of(text), "<u4").tolist() == ids.encode(text)
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    text = "".join(parts)
+    assert np.frombuffer(packing.tokens_of(path).of(text), "<u4").tolist() == Tokenizer.from_file(path).encode(text, add_special_tokens=False).ids
 
 
-def test_packing_odd_rows(odd, nothing):
+def test_packing_odd_rows(odd, nothing, frame):
     import public_tokenizers
 
-    where = (public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
-    rows = packing.pack(odd, *where, keep_ids=True).collect()
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    rows = packing.pack(odd, path, keep_ids=True).collect()
     assert sum(r["piece"] == 0 for r in rows) == len(odd_rows()) and all(r["length"] == len(r["ids"]) for r in rows)
     assert {(r["length"], tuple(r["ids"])) for r in rows if r["doc_id"] == 1} == {(1, (2,))}
-    assert packing.pack(nothing, *where).collect() == []
+    assert packing.pack(nothing, path).collect() == []
+    special = packing.pack(frame([(1, f"x {SPECIAL} y", "x", 1, 1)], SCHEMA), path, keep_ids=True).collect()
+    assert [tuple(r["ids"]) for r in special] == [(87, 220, 50256, 331, 2)]
 
 
 def plain_sets(text: str, size: int) -> frozenset:
@@ -323,6 +331,43 @@ def test_toxicity_of_inserted_letters_and_odd_rows(frame, odd, nothing):
     assert 0 < toxicity.fit(["a b c"], [0]).score(["x", None, ""])[0] < 1
 
 
+def plain_kernel(a: str, b: str, s: toxicity.Settings) -> float:
+    """Normalised kernel by listing all subsequences of three letters."""
+    def listed(word: str) -> Counter:
+        found = Counter()
+        for i, j, k in combinations(range(len(word)), 3):
+            if k - i <= s.span:
+                found[word[i] + word[j] + word[k]] += s.decay ** (k - i - 2)
+        return found
+    x, y = listed(a), listed(b)
+    size = lambda c: sum(v * v for v in c.values()) ** 0.5
+    return sum(v * y[c] for c, v in x.items()) / (size(x) * size(y)) if x and y else 0.0
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.text("abcé", min_size=3, max_size=9), min_size=1, max_size=6, unique=True), st.lists(st.text("abcéz", max_size=12), max_size=8, unique=True))
+def test_kernel_is_that_of_listed_subsequences(landmarks, words):
+    s = toxicity.Settings(least=0.0)
+    found = toxicity.Landmarks(landmarks, s).kernel(words) if words else np.zeros((0, len(landmarks)))
+    want = np.array([[plain_kernel(w, m, s) ** s.power for m in landmarks] for w in words]).reshape(found.shape)
+    assert np.allclose(found, want)
+    weak = toxicity.Landmarks(landmarks, toxicity.Settings(least=0.5)).kernel(words) if words else found
+    assert (np.isclose(weak, want) | ((weak == 0) & (want <= 0.5**s.power + 1e-9))).all()
+
+
+def test_values_do_not_depend_on_the_batch(monkeypatch):
+    monkeypatch.setattr(toxicity, "MOST_TOKENS", 20)
+    clean, bad = [sentence(i, 30) for i in range(60)], [f"{sentence(1000 + i, 8)} grumblewort {sentence(2000 + i, 8)}" for i in range(20)]
+    model = toxicity.fit(clean + bad, [0] * 60 + [1] * 20)
+    together = model.score(clean + bad)
+    assert np.allclose(together, [model.score([t])[0] for t in clean + bad])
+
+
+def test_an_insult_with_many_endings_is_one_landmark():
+    split = [[[f"grumble{e}"]] for e in "abcdef"] + [[[f"gram{e}"]] for e in "abcdefghijklmnopqr"]
+    assert toxicity.chosen_landmarks(split, [1] * 6 + [0] * 18, toxicity.Settings()) == ["grumble"]
+
+
 def test_ordinal_grades(odd, nothing):
     texts_ = [sentence(i, 20) + " bad" * (2 - i % 3) + " good" * (i % 3) for i in range(90)]
     model = quality.fit([i % 3 for i in range(90)], texts_)
