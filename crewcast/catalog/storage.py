@@ -2,19 +2,24 @@
 
 from __future__ import annotations
 
+from datetime import date
+from functools import reduce
+
 from pyspark.sql import DataFrame, functions as F
 
 from crewcast.catalog.base import Tables, money, query
 from crewcast.catalog.inputs import (
-    DIMS, FORECAST_SQL, ORDER_FACTS_SQL, PANEL_SQL, SEGMENT_PRODUCTS, VERSION_STAMPS, forecast_history, order_facts,
+    AS_OF, DIMS, FIRST_MONTH, FORECAST_SQL, ORDER_FACTS_SQL, PANEL_SQL, SEGMENT_PRODUCTS, VERSION_STAMPS, district_lookup, forecast_history, order_facts,
 )
 from crewcast.catalog.correction import volume_sheet
 from crewcast import fixed_values as fv
 from crewcast.catalog.series import panel
 from crewcast.functions import month_of, recode
 from crewcast.operators.forecast import monthly_global_forecast
+from crewcast.plans import monthly
 from crewcast.plans.versions import append_version
 from crewcast.sources import schemas, tables
+from crewcast.sources.versioned import VersionedTable
 
 
 @query("versioned_forecast_append", f"""
@@ -38,11 +43,11 @@ def append(t: Tables) -> DataFrame:
 SELECT p_type, CASE p_type WHEN 'ECONOMY' THEN 'Business Connect' WHEN 'SMALL' THEN 'Wi-Fi (Meraki)' WHEN 'STANDARD' THEN 'SD-WAN (MPasS)' END AS unit_name,
   CAST(COUNT(*) AS BIGINT) AS n FROM part GROUP BY ALL""")
 def mapping(t: Tables) -> DataFrame:
-    """The name mapping is refreshed twice, read back and applied to the parts."""
-    path = t.new_folder()
+    """The name mapping is refreshed twice; readers follow its newest commit."""
+    table = VersionedTable(t.spark, t.new_folder(), schemas.PRODUCT_NAMES)
     for names in ({"HSIA": "old name"}, fv.PRODUCT_NAMES):
-        tables.refresh(t.spark.createDataFrame(list(names.items()), schemas.PRODUCT_NAMES), path)
-    stored = tables.read_parquet(t.spark, path, schemas.PRODUCT_NAMES)
+        table.replace(t.spark.createDataFrame(list(names.items()), schemas.PRODUCT_NAMES))
+    stored = table.read()
     product = recode(F.col("p_type"), {"ECONOMY": "BUSINESS CONNECT", "SMALL": "SDS WIFI", "STANDARD": "MPAAS"})
     counts = t.part.groupBy("p_type", product.alias("product")).agg(F.count(F.lit(1)).alias("n"))
     named = counts.join(stored, F.col("product") == F.col("work_order_product_name"), "left")
@@ -77,6 +82,71 @@ def reload(t: Tables) -> DataFrame:
     return stored.groupBy("period").agg(F.count(F.lit(1)).alias("n"), F.sum("SWT").cast("double").alias("SWT"))
 
 
+@query("overlapping_load", f"""
+WITH {ORDER_FACTS_SQL.strip()}
+SELECT Product, CAST(year(Appointment_Timestamp) AS INTEGER) AS period, CAST(COUNT(*) AS BIGINT) AS n, CAST(SUM(SWT) AS DOUBLE) AS SWT
+FROM fact WHERE NOT (Appointment_Timestamp >= DATE '1997-03-10' AND Appointment_Timestamp < DATE '1997-08-20') GROUP BY ALL""")
+def overlapping_load(t: Tables) -> DataFrame:
+    """Facts loaded in periods that overlap, one inside another and one without rows: each day belongs to its last load."""
+    fact = order_facts(t).select("Appointment_Timestamp", "Product", "SWT")
+    table = VersionedTable(t.spark, t.new_folder(), "Appointment_Timestamp date, Product string, SWT decimal(18,2)", "Appointment_Timestamp")
+    wrong = fact.withColumn("SWT", F.col("SWT") * 2)
+    table.load(wrong, date(1990, 1, 1), date(1996, 2, 15))
+    table.load(fact, date(1995, 6, 1), date(2003, 1, 1))
+    table.load(fact, date(1990, 1, 1), date(1995, 6, 1))
+    table.load(wrong, date(1998, 1, 10), date(1998, 4, 20))
+    table.load(fact, date(1998, 1, 1), date(1998, 6, 1))
+    table.load(fact.limit(0), date(1997, 3, 10), date(1997, 8, 20))
+    rows = table.read()
+    return rows.groupBy("Product", F.year("Appointment_Timestamp").alias("period")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum("SWT").cast("double").alias("SWT"))
+
+
+@query("resumed_run", f"""
+WITH {ORDER_FACTS_SQL.strip()}, {PANEL_SQL.strip()}
+SELECT 'load' AS step, CAST(COUNT(*) AS BIGINT) AS n, CAST(SUM(SWT) AS DOUBLE) AS hours, 1 AS computed FROM fact
+UNION ALL SELECT 'panel', COUNT(*), CAST(SUM(SWT) AS DOUBLE), 1 FROM panel
+UNION ALL SELECT 'forecast', 18 * COUNT(DISTINCT Series_Identifier), NULL, 1 FROM panel
+UNION ALL SELECT 'cube', COUNT(*), CAST(SUM(history) AS DOUBLE), 1 FROM (
+  SELECT m.month, sum(d.SWT) FILTER (d.month = m.month AND m.month <= DATE '2001-06-01') AS history
+  FROM (SELECT CAST(unnest(generate_series(DATE '1995-01-01', DATE '2002-12-01', INTERVAL 1 MONTH)) AS DATE) AS month) m,
+    (SELECT District, Product, Technology, Work_Order_Action, Work_Force, Product_Grp, Work_Order_Action_Grp,
+       CAST(date_trunc('month', Appointment_Timestamp) AS DATE) AS month,
+       CASE WHEN COUNT(*) FILTER (District IS NULL OR Product IS NULL OR Technology IS NULL OR Work_Order_Action IS NULL OR Work_Force IS NULL) = 0
+         THEN SUM(SWT) END AS SWT
+     FROM fact
+     WHERE Work_Order_Action_Grp NOT IN ('EXCLUDE', 'PROJECT (EXCLUDE)', 'OTHER') AND Work_Force NOT IN ('QX', 'Go Sales') AND Product_Grp <> 'OTHER'
+     GROUP BY ALL) d
+  GROUP BY m.month, District, Product, Technology, Work_Order_Action, Work_Force, Product_Grp, Work_Order_Action_Grp)""")
+def resumed_run(t: Tables) -> DataFrame:
+    """The monthly job breaks off after its forecast and is run again: what was committed is read, the cube is computed."""
+    folder, made = t.new_folder(), []
+    fact = order_facts(t)
+    projects = t.spark.createDataFrame([], schemas.SPECIAL_PROJECTS)
+    lookup = schemas.conform(district_lookup(t), schemas.DISTRICTS)
+    job = dict(period=(date(1990, 1, 1), date(2003, 1, 1)), lookup=lookup, projects=projects, as_of=AS_OF, stamp="2001-07-15 06:00:00", folder=folder,
+               name="2001-07", first_month=FIRST_MONTH)
+
+    class Broken(Exception):
+        pass
+
+    def broken(*_):
+        raise Broken
+
+    try:
+        monthly.refresh_month(t.spark, lambda: fact, **{**job, "before": {"cube": broken}, "made": made})
+    except Broken:
+        pass
+    monthly.refresh_month(t.spark, broken, **{**job, "made": made})
+    # Each step was computed once, over both runs.
+    steps = {"load": (monthly.history_table(t.spark, f"{folder}/history").read(), "SWT"), "panel": (monthly.panel_table(t.spark, f"{folder}/panel").read(), "SWT"),
+             "forecast": (monthly.published(t.spark, f"{folder}/forecast", schemas.FORECAST), None),
+             "cube": (monthly.published(t.spark, f"{folder}/cube", schemas.DISPLAY), "SWT_Historical")}
+    parts = [rows.agg(F.lit(step).alias("step"), F.count(F.lit(1)).alias("n"), (F.sum(money(hours)) if hours else F.lit(None)).cast("double").alias("hours"),
+                      F.lit(made.count((step, True))).alias("computed")) for step, (rows, hours) in steps.items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
 @query("declared_sheet_scan", """
 SELECT CAST(month(o_orderdate) AS BIGINT) AS Month, CAST(year(o_orderdate) AS BIGINT) AS Year, c_mktsegment AS Product,
   CASE WHEN o_orderstatus = 'F' THEN 'Gross Adds' ELSE 'Net Adds' END AS RGU_Type, CAST(COUNT(*) AS BIGINT) AS Original_Actual,

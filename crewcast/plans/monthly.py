@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -13,26 +13,32 @@ from crewcast.operators.correction import corrections
 from crewcast.operators.forecast import monthly_global_forecast
 from crewcast.operators.latest import nth_latest_version
 from crewcast.plans.fact import FactRules, Upstream, service_fact
-from crewcast.plans.versions import append_version
+from crewcast.plans.runs import Run
+from crewcast.plans.versions import append_version, stamped
 from crewcast.session import shared_folder
 from crewcast.sources import schemas, tables
+from crewcast.sources.versioned import VersionedTable
 
 DIMS = list(fv.SERIES_DIMS)
 
 
-def load_history(up: Upstream, rules: FactRules, start: date, end: date, path: str) -> None:
-    """Add the fact of one period to the history.
+def history_table(spark: SparkSession, path: str) -> VersionedTable:
+    return VersionedTable(spark, path, schemas.DAILY_FACT, "Appointment_Timestamp")
 
-    The period is the partition: loading it again replaces its own rows and no others. Two periods
-    may both hold a job whose appointment and early start fall into different ones.
+
+def load_history(up: Upstream, rules: FactRules, start: date, end: date, path: str) -> int:
+    """Load the fact of the local days [start, end) into the history; returns the version.
+
+    A load owns its days: it replaces what earlier loads hold for them, also where it has no rows, and periods may overlap.
+    The fact's period test accepts a job by its appointment or its early start. A job whose appointment lies outside
+    is a row of another day and belongs to the load that owns that day, so no job counts twice.
     """
     rows = schemas.conform(service_fact(up, rules, start, end), schemas.DAILY_FACT)
-    period = F.lit(f"{start:%Y-%m-%d}_{end:%Y-%m-%d}")
-    tables.replace_partitions(rows.withColumn("Load_Period", period), path, ["Load_Period"])
+    return history_table(rows.sparkSession, path).load(rows, start, end)
 
 
 def history(spark: SparkSession, path: str) -> DataFrame:
-    return tables.read_parquet(spark, path, schemas.DAILY_FACT).drop("Load_Period")
+    return history_table(spark, path).read()
 
 
 def month_panel(fact: DataFrame, as_of: date, first_month: date = fv.CALENDAR_START) -> DataFrame:
@@ -49,49 +55,91 @@ def load_prediction_input(panel: DataFrame, start: date, end: date, path: str, h
     tables.replace_partitions(conformed, path, ["Load_Period"])
 
 
-def forecast_version(panel: DataFrame, path: str, stamp: str) -> None:
-    """Forecast all series and add the result to the forecast history as version ``stamp``."""
+def predicted(panel: DataFrame) -> DataFrame:
+    """Forecast of all series of a panel in the shape of the forecast history, without its stamp."""
     rows = monthly_global_forecast(panel, DIMS, "Series_Identifier", "Appointment_Month", "SWT")
     shaped = rows.withColumns({
         "Appointment_Month": F.date_format("Appointment_Month", "yyyy-MM-dd"), "SWT_Type": F.lit("predicted"),
         "predicted_SWT": F.struct(F.col("predicted_SWT").alias("value")),
     })
-    schema = schemas.FORECAST
-    append_version(schemas.conform(shaped, schema).drop("Forecast_Date"), path, stamp)
+    return schemas.conform(shaped, schemas.FORECAST).drop("Forecast_Date")
+
+
+def forecast_version(panel: DataFrame, path: str, stamp: str) -> None:
+    """Forecast all series and add the result to the forecast history as version ``stamp``."""
+    append_version(predicted(panel), path, stamp)
 
 
 def forecasts(spark: SparkSession, path: str) -> DataFrame:
     return tables.read_parquet(spark, path, schemas.FORECAST)
 
 
+def published(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """Rows of a published table: of its last complete refresh."""
+    return VersionedTable(spark, path, schema).read()
+
+
 def publish_cube(
     fact: DataFrame, versions: DataFrame, lookup: DataFrame, projects: DataFrame, as_of: date, path: str
-) -> None:
+) -> int:
     planned = publish.special_project_hours(projects, lookup)
     cube = publish.display_cube(fact, versions, lookup, planned, as_of)
-    tables.refresh(schemas.conform(cube, schemas.DISPLAY), path)
+    return VersionedTable(fact.sparkSession, path, schemas.DISPLAY).replace(schemas.conform(cube, schemas.DISPLAY))
 
 
-def publish_volumes(sheet: DataFrame, as_of: date, path: str) -> None:
-    tables.refresh(schemas.conform(marketing.volume_calendar(sheet, as_of), schemas.VOLUMES), path)
+def publish_volumes(sheet: DataFrame, as_of: date, path: str) -> int:
+    rows = schemas.conform(marketing.volume_calendar(sheet, as_of), schemas.VOLUMES)
+    return VersionedTable(sheet.sparkSession, path, schemas.VOLUMES).replace(rows)
 
 
-def publish_product_names(spark: SparkSession, path: str, names: Mapping[str, str] = fv.PRODUCT_NAMES) -> None:
-    tables.refresh(spark.createDataFrame(list(names.items()), schemas.PRODUCT_NAMES).coalesce(1), path)
+def publish_product_names(spark: SparkSession, path: str, names: Mapping[str, str] = fv.PRODUCT_NAMES) -> int:
+    rows = spark.createDataFrame(list(names.items()), schemas.PRODUCT_NAMES).coalesce(1)
+    return VersionedTable(spark, path, schemas.PRODUCT_NAMES).replace(rows)
 
 
 def publish_corrections(fact: DataFrame, versions: DataFrame, volumes: DataFrame, path: str) -> None:
-    """Tune on the sixth newest version, correct the newest.
+    """Tune on the sixth newest version, correct the newest. Fewer versions are an error.
 
     The monthly hours per product are read several times, so they are stored first.
     """
     hours = tables.written(marketing.product_hours(fact, versions), shared_folder(fact.sparkSession))
     newest = nth_latest_version(hours, "Forecast_Date", 0).scalar()
     tuning = nth_latest_version(hours, "Forecast_Date", fv.TUNING_VERSIONS_BACK).scalar()
+    if nth_latest_version(hours, "Forecast_Date", fv.TUNING_VERSIONS_BACK).isEmpty():
+        raise ValueError(f"corrections are tuned on the forecast {fv.TUNING_VERSIONS_BACK} versions before the newest; there are fewer")
     rows = schemas.conform(corrections(hours, volumes, tuning, newest), schemas.CORRECTIONS)
     tables.replace_partitions(rows, path, ["Forecast_Date"])
 
 
+def panel_table(spark: SparkSession, path: str) -> VersionedTable:
+    return VersionedTable(spark, path, schemas.PANEL)
+
+
+def refresh_month(
+    spark: SparkSession, fact: Callable[[], DataFrame], period: tuple[date, date], lookup: DataFrame, projects: DataFrame, as_of: date,
+    stamp: str, folder: str, name: str, first_month: date = fv.CALENDAR_START, before: Mapping[str, Callable[[], None]] | None = None,
+    made: list | None = None
+) -> None:
+    """The whole monthly job below ``folder``: load the period, panel, forecast version, display cube.
+
+    Run it again under the same name after a lost driver: steps that were committed are read, the others computed.
+    ``before`` are calls made ahead of a step that is computed; ``made`` receives (step, whether it was computed).
+    """
+    run = Run(spark, name, before or {}, made if made is not None else [])
+    loaded = run.step("load", history_table(spark, f"{folder}/history"), lambda: schemas.conform(fact(), schemas.DAILY_FACT), period=period)
+    panel = run.step("panel", panel_table(spark, f"{folder}/panel"), lambda: month_panel(loaded, as_of, first_month), {"as_of": as_of})
+    versions = VersionedTable(spark, f"{folder}/forecast", schemas.FORECAST)
+
+    def with_forecast() -> DataFrame:
+        others = versions.read().filter(~F.col("Forecast_Date").eqNullSafe(F.lit(stamp)))
+        return others.unionByName(schemas.conform(stamped(predicted(panel), stamp), schemas.FORECAST))
+
+    forecast = run.step("forecast", versions, with_forecast, {"stamp": stamp, "as_of": as_of})
+    planned = publish.special_project_hours(projects, lookup)
+    run.step("cube", VersionedTable(spark, f"{folder}/cube", schemas.DISPLAY), lambda: schemas.conform(
+        publish.display_cube(loaded, forecast, lookup, planned, as_of, first_month), schemas.DISPLAY), {"stamp": stamp, "as_of": as_of})
+
+
 def register_views(fact: DataFrame, versions: DataFrame, rules: DataFrame, lookup: DataFrame, as_of: date) -> None:
     """Named relations over the stored tables for SQL users."""
     panel = month_panel(fact, as_of)

@@ -27,6 +27,9 @@ DAILY_FACT = _ddl("""
     Product_Category string, Technology string, Work_Order_Action string, Work_Order_Action_Grp string,
     District string, Province string, Product_Key string, Product string, Product_Grp string,
     SWT decimal(38,9), AWT decimal(38,9), JobCount bigint, WorkOrderCount bigint""")
+PANEL = _ddl("""
+    Appointment_Month date, Series_Identifier string, District string, Product string, Technology string,
+    Work_Order_Action string, Work_Force string, SWT decimal(38,9), AWT decimal(38,9)""")
 PREDICTION_INPUT = _ddl("""
     Series_Identifier string, Appointment_Month date, District string, Product string, Technology string,
     Work_Order_Action string, Work_Force string, SWT decimal(38,9), SWT_Type string""")

@@ -1,15 +1,18 @@
 """Sources, sinks and whole jobs: stored tables read back, and repeated runs."""
 
+from dataclasses import replace
 from datetime import date, timedelta
 from decimal import Decimal
 
 import pytest
+from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from crewcast import fixed_values as fv
 from crewcast.plans import monthly, short_term
 from crewcast.session import shared_folder
 from crewcast.sources import schemas, tables
+from crewcast.sources.versioned import Conflict, Segment, VersionedTable
 from tests.test_fact import RULES, upstream
 
 FORECAST_DIMS = ("District", "Product", "Technology", "Work_Order_Action", "Work_Force")
@@ -33,7 +36,7 @@ def test_schema_from_json(spark):
 def test_declared_schemas_parse(spark):
     names = [n for n in dir(schemas) if n.isupper() and not n.startswith("_") and isinstance(getattr(schemas, n), str)]
     widths = {n: len(spark.createDataFrame([], getattr(schemas, n)).columns) for n in names}
-    assert widths == {"CORRECTIONS": 9, "DAILY_FACT": 17, "DISPLAY": 13, "DISTRICTS": 8, "EFFICIENCIES": 34, "FORECAST": 12,
+    assert widths == {"CORRECTIONS": 9, "DAILY_FACT": 17, "DISPLAY": 13, "DISTRICTS": 8, "EFFICIENCIES": 34, "FORECAST": 12, "PANEL": 9,
                       "PREDICTION_INPUT": 9, "PRODUCT_NAMES": 2, "SPECIAL_PROJECTS": 28, "VOLUMES": 5, "VOLUME_SHEET": 7}
 
 
@@ -124,21 +127,21 @@ def test_monthly_jobs_from_history_to_published_tables(spark, fact, frame, tmp_p
     blank = (None,) * 10
     projects = spark.createDataFrame([("n", "p", "HSIA", "Install", None, "FFB - Yukon", None, None, None, "ok") + (None,) * 17 + (5.0,)], schemas.SPECIAL_PROJECTS)
     monthly.publish_cube(fact, versions, lookup, projects, date(2026, 1, 10), f"{folder}/cube")
-    cube = tables.read_parquet(spark, f"{folder}/cube", schemas.DISPLAY)
+    cube = monthly.published(spark, f"{folder}/cube", schemas.DISPLAY)
     months = sum(12 * 3 + m + 17 for m in range(6, 12)) + 48 + 18
     assert cube.filter("Work_Order_Action_Grp = 'Install'").count() == 6 * months
     assert cube.filter("Work_Order_Action_Grp = 'PROJECT'").count() == 6  # December 1 is too early for the last version
 
     sheet = frame([(i % 12 + 1, 2022 + i // 12, p, "Gross Adds", 40 + i % 12, 41 + i % 12, None) for i in range(60) for p in ("HSIA", "POTS")], schemas.VOLUME_SHEET)
     monthly.publish_volumes(sheet, date(2026, 1, 10), f"{folder}/volumes")
-    volumes = tables.read_parquet(spark, f"{folder}/volumes", schemas.VOLUMES)
+    volumes = monthly.published(spark, f"{folder}/volumes", schemas.VOLUMES)
     for _ in range(2):
         monthly.publish_corrections(fact, versions, volumes, f"{folder}/corrections")
     fixed = tables.read_parquet(spark, f"{folder}/corrections", schemas.CORRECTIONS)
     assert fixed.count() == 2 * 13 and {r[0] for r in fixed.select("Forecast_Date").distinct().collect()} == {stamps[-1]}
 
     monthly.publish_product_names(spark, f"{folder}/names")
-    assert tables.read_parquet(spark, f"{folder}/names", schemas.PRODUCT_NAMES).count() == 14
+    assert monthly.published(spark, f"{folder}/names", schemas.PRODUCT_NAMES).count() == 14
 
     rules = spark.createDataFrame([("p", "i", None, "o", None, None, "HSIA", "Install", "Tier 1", "10 %") + (0.1,) * 24], schemas.EFFICIENCIES)
     monthly.register_views(fact, versions, rules, lookup, date(2026, 1, 20))
@@ -174,3 +177,99 @@ def test_dense_daily_source_fills_gaps(spark):
     dense = short_term.daily_source(fact, dense=True)
     assert [r.SWT for r in dense.orderBy("Appointment_Day").collect()] == [1.0, 0.0, 0.0, 4.0]
     assert dense.first().Region_Type == fv.DISTRICT_TIERS["FFB - Calgary"]
+
+
+NAMES = "k string, v int"
+
+
+def test_a_refresh_that_dies_half_way_changes_nothing(spark, frame, tmp_path, values):
+    table = VersionedTable(spark, str(tmp_path / "t"), NAMES)
+    assert table.read().collect() == [] and table.last() is None
+    table.replace(frame([("a", 1)], NAMES))
+
+    def dies(*_):
+        raise RuntimeError("lost")
+
+    bad = frame([("b", 2)], NAMES).select("k", F.assert_true(F.col("k") == "a", "lost").cast("int").alias("v"))
+    with pytest.raises(Exception, match="lost"):
+        table.replace(bad)  # while data is written
+    commit = table._commit
+    table._commit = dies
+    with pytest.raises(RuntimeError):
+        table.replace(frame([("c", 3)], NAMES))  # between data and commit
+    table._commit = commit
+    assert values(table.read()) == [("a", 1)] and len(table._names("data")) >= 2
+    assert table.replace(table.read().unionByName(frame([("d", 4)], NAMES))) == 2  # reads what it replaces
+    assert values(table.read()) == [("a", 1), ("d", 4)] and values(table.read(1)) == [("a", 1)]
+    gone = table.vacuum(keep=1)
+    assert len(gone) >= 2 and values(table.read()) == [("a", 1), ("d", 4)] and len(table._names("data")) == 1
+    with pytest.raises(ValueError):
+        table.read(9)
+
+
+def test_two_writers_of_one_version(spark, frame, tmp_path, values):
+    first, second = (VersionedTable(spark, str(tmp_path / "t"), NAMES) for _ in range(2))
+    rows = frame([("a", 1)], NAMES)
+    stale = first.last
+    first.last = lambda version=None: None if version is None else stale(version)
+    second.replace(rows)
+    told = 0
+    for k in range(4):  # the smaller token holds, whoever came first
+        try:
+            first.replace(frame([("b", k)], NAMES))
+        except Conflict:
+            told += 1
+    tokens = spark.read.schema("version bigint, token string").json(f"{first.path}/commits").filter("version = 1").orderBy("token").collect()
+    assert len(tokens) == 5 and stale()["token"] == tokens[0]["token"] and told >= 1 and second.read().count() == 1
+
+
+periods = st.lists(st.tuples(st.integers(0, 60), st.integers(1, 40)), min_size=1, max_size=6)
+
+
+@settings(max_examples=200, deadline=None)
+@given(periods)
+def test_every_day_belongs_to_the_last_load_that_covers_it(loads):
+    day = lambda n: date(2024, 1, 1) + timedelta(days=n)
+    segments, owner = [], {}
+    for k, (first, length) in enumerate(loads):
+        segments = [p for s in segments for p in s.without(day(first), day(first + length))] + [Segment(str(k), day(first), day(first + length))]
+        owner.update({n: str(k) for n in range(first, first + length)})
+    for n in range(110):
+        held = [s.load for s in segments if s.first <= day(n) < s.until]
+        assert held == ([owner[n]] if n in owner else [])
+    assert all(s.first < s.until for s in segments)
+
+
+def test_overlapping_and_emptied_loads(spark, frame, tmp_path, values):
+    schema = "day date, v int"
+    table = VersionedTable(spark, str(tmp_path / "t"), schema, "day")
+    days = lambda a, b, v: frame([(date(2024, 1, 1) + timedelta(days=n), v) for n in range(a, b)] + [(None, v)], schema)
+    at = lambda n: date(2024, 1, 1) + timedelta(days=n)
+    table.load(days(0, 60, 1), at(0), at(60))
+    table.load(days(20, 90, 2), at(30), at(90))  # ten days more than it owns
+    table.load(days(0, 0, 3), at(40), at(45))
+    want = [(at(n), 1) for n in range(30)] + [(at(n), 2) for n in range(30, 90) if not 40 <= n < 45]
+    assert values(table.read()) == sorted(want, key=repr)
+    scan = table.read().filter(F.col("day") < at(20))._jdf.queryExecution().executedPlan().toString()
+    assert "load_month" in scan and "PartitionFilters: [" in scan
+    before = table.last()["version"]
+    table.compact()
+    assert values(table.read()) == sorted(want, key=repr) and len(table.last()["segments"]) == 1
+    assert values(table.read(before)) == sorted(want, key=repr)
+    with pytest.raises(ValueError):
+        VersionedTable(spark, str(tmp_path / "u"), schema).load(days(0, 1, 1), at(0), at(1))
+
+
+def test_an_emptied_period_of_the_history_is_empty(spark, frame, tmp_path):
+    path = str(tmp_path / "history")
+    up = upstream(frame)
+    monthly.load_history(up, RULES, date(2024, 3, 1), date(2024, 4, 1), path)
+    had = monthly.history(spark, path).count()
+    monthly.load_history(replace(up, job=up.job.limit(0)), RULES, date(2024, 3, 1), date(2024, 4, 1), path)
+    assert had > 0 and monthly.history(spark, path).count() == 0
+
+
+def test_corrections_need_enough_versions(spark, fact, frame, tmp_path):
+    versions = spark.createDataFrame([], schemas.FORECAST)
+    with pytest.raises(ValueError, match="versions before"):
+        monthly.publish_corrections(fact, versions, spark.createDataFrame([], schemas.VOLUMES), str(tmp_path / "c"))
