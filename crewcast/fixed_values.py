@@ -8,6 +8,9 @@ from datetime import date
 
 # --- Fixed values: validity and calendars
 OPEN_END_DATE = date(9999, 12, 31)
+#: Folders of stored histories: a timestamp column's name in them, followed by the unit that they cover.
+FOLDERS = {"effective_end_ts": "effective", "appointment_start_datetime": "appointment", "early_start_time": "early"}
+FOLDER_UNITS = ("month", "year")
 CALENDAR_START = date(2022, 1, 1)
 FIRST_TRAIN_END = date(2024, 3, 31)
 DAILY_CUTOFF = date(2025, 3, 31)

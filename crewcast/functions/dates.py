@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, functions as F
 
+from crewcast.fixed_values import FOLDER_UNITS, FOLDERS
+
 
 def month_of(day: Column) -> Column:
     """First day of the month, as a DATE."""
@@ -42,3 +46,12 @@ def local_datetime(instant: Column, zone: Column) -> Column:
 
 def local_date(instant: Column, zone: Column) -> Column:
     return local_datetime(instant, zone).cast("date")
+
+
+def folder_of(columns: Sequence[str], name: str) -> tuple[str, str] | None:
+    """(folder column, its unit) of a timestamp column, if ``columns`` are those of a stored history that is cut by it."""
+    for unit in FOLDER_UNITS:
+        folder = f"{FOLDERS.get(name)}_{unit}"
+        if folder in columns:
+            return folder, unit
+    return None

@@ -9,24 +9,29 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from crewcast.fixed_values import OPEN_END_DATE
+from crewcast.functions import folder_of
 
 
 def open_rows(history: DataFrame, end_column: str = "effective_end_ts") -> DataFrame:
-    """Rows whose validity has not ended."""
-    return history.filter(F.col(end_column) == F.lit(OPEN_END_DATE).cast(history.schema[end_column].dataType))
+    """Rows whose validity has not ended. A stored history is read from the folder of its open rows alone."""
+    rows = history.filter(F.col(end_column) == F.lit(OPEN_END_DATE).cast(history.schema[end_column].dataType))
+    folder = folder_of(history.columns, end_column)
+    return rows.filter(F.col(folder[0]) == F.trunc(F.lit(OPEN_END_DATE).cast("date"), folder[1])) if folder else rows
 
 
-def latest_rows(rows: DataFrame, entity: Sequence[str], order: str) -> DataFrame:
+def latest_rows(rows: DataFrame, entity: Sequence[str], order: str, named: bool = False) -> DataFrame:
     """Every row that carries the greatest ``order`` of its entity; ties all stay.
 
     The maxima come from a partially aggregated group-by, and the rows are matched on entity *and*
     order value, so the rows of one very frequent entity spread over the partitions instead of
-    meeting in one window.
+    meeting in one window. With ``named`` every row has an entity: plain equality then lets a history that is bucketed by
+    the entity be matched where it lies.
     """
     tops = rows.groupBy(*entity).agg(F.max(order).alias("_top")).select(
         *[F.col(k).alias(f"_{k}") for k in entity], "_top"
     )
-    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in entity] + [F.col(order).eqNullSafe(F.col("_top"))]
+    same = [F.col(k) == F.col(f"_{k}") if named else F.col(k).eqNullSafe(F.col(f"_{k}")) for k in entity]
+    same.append(F.col(order).eqNullSafe(F.col("_top")))
     return rows.join(tops, reduce(lambda a, b: a & b, same), "inner").select(*rows.columns)
 
 

@@ -5,12 +5,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 from datetime import date, timedelta
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from crewcast import fixed_values as fv
 from crewcast.functions import (
-    any_like, child_or_parent, first_match, flag_to_int, joined_parts, local_date, recode, renamed_key, repaired,
+    any_like, child_or_parent, first_match, flag_to_int, folder_of, joined_parts, local_date, recode, renamed_key, repaired,
 )
 from crewcast.operators.joins import lookup, matching_keys, resolve_hierarchy
 from crewcast.operators.latest import Latest, latest_counts, latest_pivot, latest_rows, open_rows
@@ -63,7 +64,7 @@ def navigation_location(location: DataFrame, districts: DataFrame, rules: FactRu
     )
     rows = open_rows(location).filter((F.col("work_order_location_usage_cd") == fv.NAVIGATION_USAGE) & wanted)
     names = districts.select("service_area_clli", "migration", "district", "district_old")
-    latest = latest_rows(rows, ["work_order_id"], "src_last_updt_ts").drop("district_nm")
+    latest = latest_rows(rows.filter(F.col("work_order_id").isNotNull()), ["work_order_id"], "src_last_updt_ts", named=True).drop("district_nm")
     return latest.join(names, F.col("service_area_clli_cd") == F.col("service_area_clli"), "left").select(
         "work_order_id",
         F.col("province_cd").alias("province"),
@@ -153,6 +154,17 @@ def near_period(day: Column, start: date, end: date) -> Column:
     )
 
 
+def period_jobs(job: DataFrame, instants: Sequence[str], start: date, end: date) -> DataFrame:
+    """Jobs near the period by one of their instants; of stored jobs only the folders around it are opened."""
+    near = [near_period(F.col(c), start, end) for c in instants]
+    for i, c in enumerate(instants):
+        folder = folder_of(job.columns, c)
+        if folder:
+            first = F.trunc(F.lit(start - timedelta(days=1)), folder[1])
+            near[i] = near[i] & (F.col(folder[0]) >= first) & (F.col(folder[0]) <= F.lit(end + timedelta(days=1)))
+    return job.filter(reduce(lambda a, b: a | b, near))
+
+
 def in_local_period(instants: Sequence[Column], zone: Column, start: date, end: date) -> Column:
     """True when one of the instants falls on a local day in [start, end)."""
     hits = None
@@ -212,7 +224,7 @@ def work_rows(up: Upstream, rules: FactRules, start: date, end: date) -> DataFra
         return rows.groupBy(key).agg(F.count(F.lit(1)).alias(name))
 
     instants = ["appointment_start_datetime", "early_start_time"]
-    job = up.job.filter(near_period(F.col(instants[0]), start, end) | near_period(F.col(instants[1]), start, end)).select(
+    job = period_jobs(up.job, instants, start, end).select(
         "job_id", "work_order_id", *instants,
         F.col("estimated_duration").alias("job_estimate"), F.col("job_type_cd").alias("job_job_type"),
     )

@@ -15,6 +15,9 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Split it even between joins on the same key, at the price of one more shuffle.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Rows that lie by one key are not moved to be joined or summed by that key and others.
+    "spark.sql.requireAllClusterKeysForCoPartition": "false",
+    "spark.sql.requireAllClusterKeysForDistribution": "false",
     # Small dimensions are broadcast only after AQE has measured them.
     "spark.sql.autoBroadcastJoinThreshold": "10MB",
     # A re-run of a month replaces that month instead of counting it twice.

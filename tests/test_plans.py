@@ -3,6 +3,7 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from crewcast.catalog import QUERIES
 
@@ -63,3 +64,55 @@ def test_period_bound_reaches_the_scan(spark, tmp_path):
     jobs = spark.read.parquet(path).filter(near_period(F.col("ts"), date(2024, 1, 1), date(2024, 2, 1)))
     text = plan(jobs)
     assert "GreaterThanOrEqual(ts,2023-12-31" in text and "LessThan(ts,2024-02-02" in text
+
+
+def test_stored_histories_are_read_by_folder_and_joined_where_they_lie(spark):
+    from datetime import date
+
+    from crewcast.catalog.base import Tables
+    from crewcast.catalog.facts import RULES, Views
+    from crewcast.plans.fact import service_fact
+    from crewcast.session import shared_folder
+    from crewcast.sources import histories
+
+    views = Views(Tables(spark, FOLDER)).all()
+    stored = histories.store_all(views, "plan_test", shared_folder(spark), 4, "year")
+    before = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    try:
+        # The district sheet is the only table that may still be broadcast.
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "20kb")
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        loose, lying = (plan(service_fact(up, RULES, date(1996, 1, 1), date(1996, 2, 1))) for up in (views, stored))
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    moved = lambda text: len(re.findall(r"(?<!Reused)Exchange hashpartitioning\(work_order_id", text))
+    assert moved(loose) > 8
+    assert moved(lying) <= 2  # the period's rows, never a history
+    filters = set(re.findall(r"PartitionFilters: \[([^\]]*)\]", lying))
+    assert any("effective_year" in f and "9999-01-01" in f for f in filters)
+    assert any("appointment_year" in f and "early_year" in f for f in filters)
+    # Under an exchange by work order there is no scan of a history, but what came through earlier joins.
+    assert len(re.findall("Bucketed: true", lying)) >= 10
+    for name in histories.LAYOUTS:
+        spark.sql(f"DROP TABLE plan_test_{name}")
+
+
+def test_a_load_of_stored_histories_opens_few_files(spark):
+    from datetime import date
+
+    from crewcast.catalog.base import Tables
+    from crewcast.catalog.facts import Views
+    from crewcast.plans.fact import period_jobs
+    from crewcast.session import shared_folder
+    from crewcast.sources import histories
+
+    jobs = Views(Tables(spark, FOLDER)).job
+    stored = histories.store(jobs, "few_files", shared_folder(spark), histories.LAYOUTS["job"], 2)
+    instants = ["appointment_start_datetime", "early_start_time"]
+    near = [period_jobs(rows, instants, date(1996, 1, 1), date(1996, 2, 1)).select("job_id") for rows in (jobs, stored)]
+    assert near[0].count() == near[1].count() > 0 and near[0].exceptAll(near[1]).isEmpty()
+    opened = period_jobs(stored, instants, date(1996, 1, 1), date(1996, 2, 1))
+    files = len(opened.select(F.input_file_name()).distinct().collect())
+    assert 0 < files < 0.1 * stored.select(F.input_file_name()).distinct().count()
+    spark.sql("DROP TABLE few_files")
