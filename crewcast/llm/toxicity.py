@@ -203,14 +203,24 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(self.highest(texts) @ self.final[:-1] + self.final[-1], -50, 50)))
 
 
+#: Sentences that a step of the fit takes at once.
+PIECE = 8_192
+
+
 def _machine(features: np.ndarray, signs: np.ndarray, cost: np.ndarray, ridge: float) -> np.ndarray:
-    """Squared-hinge machine by Newton steps on the rows inside the margin."""
-    weights = np.zeros(features.shape[1])
+    """Squared-hinge machine by Newton steps on the rows inside the margin, summed some rows at a time."""
+    size = features.shape[1]
+    weights = np.zeros(size)
     for _ in range(20):
-        inside = signs * (features @ weights) < 1
-        rows = features[inside]
-        scaled = rows * cost[inside, None]
-        after = np.linalg.solve(scaled.T @ rows + ridge * np.eye(features.shape[1]), scaled.T @ signs[inside])
+        square, right = ridge * np.eye(size), np.zeros(size)
+        for begin in range(0, len(features), PIECE):
+            part = slice(begin, begin + PIECE)
+            rows = features[part].astype(float)
+            inside = signs[part] * (rows @ weights) < 1
+            rows, weight = rows[inside], cost[part][inside]
+            square += (rows * weight[:, None]).T @ rows
+            right += rows.T @ (weight * signs[part][inside])
+        after = np.linalg.solve(square, right)
         if np.allclose(after, weights, atol=1e-7):
             break
         weights = after
@@ -255,16 +265,24 @@ def _near_words(words: list[str], marks: Landmarks) -> tuple[dict[str, int], np.
 
 def chosen_landmarks(split: list[list[list[str]]], labels: list[int], settings: Settings) -> list[str]:
     """Words and beginnings of words with the largest gain in toxic over clean documents; none begins another."""
-    seen = [Counter(), Counter()]
+    def beginnings(text: list[list[str]]) -> set[str]:
+        return {w[:n] for s in text for w in s for n in range(min(settings.stem, len(w)), len(w) + 1)}
+
+    seen: Counter = Counter()
+    for text, label in zip(split, labels):
+        if label:
+            seen.update(beginnings(text))
+    seen = Counter({w: n for w, n in seen.items() if n >= 2})
+    others: Counter = Counter()
     for text, label in zip(split, labels):
-        words = {w for s in text for w in s}
-        seen[label].update({w[:n] for w in words for n in range(min(settings.stem, len(w)), len(w) + 1)})
+        if not label:
+            others.update(beginnings(text).intersection(seen))
     toxic, every = max(1, sum(labels)), max(1, len(labels))
     clean = max(1, every - toxic)
     gain = {}
-    for word, n in seen[1].items():
-        other = seen[0][word]
-        if n >= 2 and n >= settings.lift * (n + other + 1) * toxic / every:
+    for word, n in seen.items():
+        other = others[word]
+        if n >= settings.lift * (n + other + 1) * toxic / every:
             gain[word] = (n / toxic - other / clean) / np.sqrt((n + other) / every)
     chosen: dict[str, None] = {}
     begun: set[str] = set()
@@ -286,7 +304,8 @@ def fit(texts: list[str], labels: list[int], settings: Settings = Settings(), to
     y = np.array(labels, float)
     share = np.log((y.sum() + 1) / (len(y) - y.sum() + 1))
     constant = lambda: Model(None, np.zeros(0), 0.0, np.r_[np.zeros(settings.top), share], settings)
-    split = [sentences(t) for t in texts]
+    one: dict[str, str] = {}  # equal words are one object
+    split = [[[one.setdefault(w, w) for w in s] for s in sentences(t)] for t in texts]
     words = chosen_landmarks(split, labels, settings)
     if not words or y.all():
         return constant()
@@ -295,17 +314,19 @@ def fit(texts: list[str], labels: list[int], settings: Settings = Settings(), to
     split += [[stretched(s, known) for s in text] for text, label in zip(split, labels) if label]
     positive_text = np.r_[y, np.ones(len(split) - len(y))] == 1
     place, kernel = _near_words(sorted({w for text in split for s in text for w in s}), marks)
-    owner, sums, faint, together = [], [], 0, np.zeros(len(words))
+    owner, sums, held, faint, together = [], [], [], 0, np.zeros(len(words))
     for d, text in enumerate(split):
         for sentence in text:
             near = kernel[[place[w] for w in sentence if w in place]].sum(0)
             if positive_text[d] or near.max() >= settings.faint:
                 owner.append(d)
-                sums.append(near)
+                held.append(near)
+                if len(held) == PIECE:
+                    sums, held = [*sums, np.array(held, np.float32)], []
             else:
                 faint += 1
                 together += near
-    owner, sums = np.array(owner), np.array([*sums, together / max(1, faint)], np.float32)
+    owner, sums = np.array(owner), np.concatenate([*sums, np.array([*held, together / max(1, faint)], np.float32)])
     del kernel, place
     values, vectors = np.linalg.eigh(marks.kernel(words))
     whiten = vectors / np.sqrt(np.maximum(values, 1e-3))
@@ -316,12 +337,16 @@ def fit(texts: list[str], labels: list[int], settings: Settings = Settings(), to
         np.maximum.at(best, owner, value[:-1])
         chosen = ~positive | np.r_[value[:-1] >= best[owner], True]
         balance = min(20.0, number[~positive].sum() / max(1, (positive & chosen).sum()))
-        features = np.c_[sums[chosen] @ whiten, np.ones(chosen.sum())]
+        features = np.ones((chosen.sum(), len(words) + 1), np.float32)
+        taken = np.flatnonzero(chosen)
+        for begin in range(0, len(taken), PIECE):
+            features[begin : begin + PIECE, :-1] = sums[taken[begin : begin + PIECE]] @ whiten
         weights = _machine(features, signs[chosen], (np.where(positive, balance, 1.0) * number)[chosen], settings.ridge)
-        value = sums @ (whiten @ weights[:-1]) + weights[-1]
+        value = sums @ (whiten @ weights[:-1]).astype(np.float32) + weights[-1]
     model = Model(marks, whiten @ weights[:-1], float(weights[-1]), np.zeros(settings.top + 1), settings)
     share = y.mean() if toxic_share is None else toxic_share
-    model.final = _logistic(model.highest(texts), y, np.where(y == 1, share / y.mean(), (1 - share) / (1 - y.mean())))
+    highest = np.concatenate([model.highest(texts[i : i + 100]) for i in range(0, len(texts), 100)])
+    model.final = _logistic(highest, y, np.where(y == 1, share / y.mean(), (1 - share) / (1 - y.mean())))
     return model
 
 
