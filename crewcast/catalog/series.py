@@ -6,16 +6,20 @@ from datetime import date
 
 from pyspark.sql import DataFrame, functions as F
 
-from crewcast.catalog.base import Tables, doubles, query
+from crewcast.catalog.base import Tables, doubles, money, query
 from crewcast.catalog.inputs import (
     AS_OF, DIMS, FIRST_MONTH, FORECAST_SQL, ORDER_FACTS_SQL, PANEL_SQL, forecast_history, month_facts,
     order_facts,
 )
 from crewcast.functions import month_of, series_identifier
+from crewcast.operators.direct import fit_direct
+from crewcast.operators.forecast import monthly_global_forecast
 from crewcast.operators.latest import latest_version_flag, nth_latest_version
 from crewcast.operators.panel import dense_month_panel, period_sums, prediction_scaffold
 from crewcast.operators.publish import series_facts
 
+HELD_OUT = date(2000, 1, 1)
+
 
 def panel(t: Tables, fact: DataFrame | None = None) -> DataFrame:
     return dense_month_panel(
@@ -91,3 +95,20 @@ def sixth_newest(t: Tables) -> DataFrame:
     return rows.join(version, "Forecast_Date").groupBy("Forecast_Date", "Product").agg(
         F.round(F.sum("predicted_SWT.value"), 4).alias("SWT")
     )
+
+
+@query("direct_monthly_scores")
+def direct_scores(t: Tables) -> DataFrame:
+    """Share of error per month ahead, on the last 18 months held out: boosted trees over all steps next to the recursive line."""
+    keys = ["District", "Product"]
+    months = t.stored(dense_month_panel(series_facts(order_facts(t)), keys, "Appointment_Timestamp", ["SWT"], FIRST_MONTH, AS_OF))
+    begin = F.lit(HELD_OUT)
+    known, truth = months.filter(F.col("Appointment_Month") < begin), months.filter(F.col("Appointment_Month") >= begin)
+    named = ("Series_Identifier", "Appointment_Month", "SWT")
+    model = fit_direct(known, keys, *named)
+    direct = model.forecast(known, *named).select(*named[:2], F.col("predicted_SWT").alias("direct"))
+    line = monthly_global_forecast(known.withColumn("SWT", money("SWT")), keys, *named).select(*named[:2], F.col("predicted_SWT").alias("linear"))
+    both = truth.join(direct, list(named[:2])).join(line, list(named[:2]))
+    step = F.months_between("Appointment_Month", begin).cast("int") + 1
+    share = lambda c: F.round(F.sum(F.abs(F.col(c) - F.col("SWT").cast("double"))) / F.sum("SWT").cast("double"), 4).alias(f"WAPE_{c}")
+    return both.groupBy(step.alias("step")).agg(F.count(F.lit(1)).alias("n"), share("direct"), share("linear"))

@@ -25,9 +25,12 @@ def trailing_window(train: DataFrame, window: int, day: str = "ds", target: str
     return train.withColumn("_rank", F.row_number().over(order)).filter(F.col("_rank") <= window).drop("_rank")
 
 
-def _forecast_rows(groups: DataFrame, model: str, extra: Sequence[str] = ()) -> DataFrame:
-    """One row per step from an array column ``_path``, dated from the day after ``_last``."""
-    steps = groups.select(*GROUP, "_last", *extra, F.posexplode("_path").alias("_pos", "yhat"))
+def forecast_rows(groups: DataFrame, model: str, extra: Sequence[str] = ()) -> DataFrame:
+    """One row per step from an array column ``_path``, dated from the day after ``_last``.
+
+    The plain ``posexplode`` would test the path for rows first, in a filter that computes the whole recursion once more.
+    """
+    steps = groups.select(*GROUP, "_last", *extra, F.posexplode_outer("_path").alias("_pos", "yhat")).filter(F.col("_pos").isNotNull())
     step = F.col("_pos") + 1
     return steps.select(
         F.lit(model).alias("model"), *GROUP, F.date_add("_last", step).alias("ds"), step.alias("step"), "yhat", *extra
@@ -63,7 +66,7 @@ def moving_average_forecast(train: DataFrame, window: int, horizon: int, nulls:
         )
 
     path = F.aggregate(F.sequence(F.lit(1), F.lit(horizon)), start, advance, lambda state: state["path"])
-    return _forecast_rows(groups.withColumn("_path", path), "SMA")
+    return forecast_rows(groups.withColumn("_path", path), "SMA")
 
 
 def seasonal_regression_forecast(
@@ -139,7 +142,7 @@ def seasonal_regression_forecast(
         F.aggregate(F.sequence(F.lit(1), F.lit(horizon)), c("tail"), advance), season + 1, horizon
     )
     path = F.when(c("status") == "ok", fitted).otherwise(F.array_repeat("level", horizon))
-    return _forecast_rows(fits.withColumn("_path", path), "SEASONAL_AR", ("orders", "status"))
+    return forecast_rows(fits.withColumn("_path", path), "SEASONAL_AR", ("orders", "status"))
 
 
 #: A feature whose remaining sum of squares is at most this share of its own is explained by those before it.

@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from crewcast.functions import week_ending_monday
 from crewcast.operators.panel import fill_periods, period_sums
+from crewcast.session import shared_folder
+from crewcast.sources.tables import written
 
 SCOPE = ("dataset_type", "split_number")
 
@@ -29,30 +32,40 @@ def exact_median(rows: DataFrame, by: Sequence[str], value: str, accuracy: int =
 
     A mergeable quantile sketch brackets the middle ranks; its rank error is at most 1/accuracy, so
     the bracket surely holds them. Rows below the bracket are only counted, rows inside are counted
-    per distinct value, and the running count over those few values finds the middle.
+    per distinct value. Those counts are dealt out by ranges of values: the totals of the ranges say which range holds a
+    middle rank, and the running count is taken inside that range alone.
     """
-    slack = 2.0 / accuracy
-    filled = rows.filter(F.col(value).isNotNull()).select(*by, F.col(value).cast("double").alias("_v"))
-    brackets = filled.groupBy(*by).agg(
+    slack, group = 2.0 / accuracy, list(by)
+    same = lambda other: reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"{other}{k}")) for k in group])
+    named = lambda other: [F.col(k).alias(f"{other}{k}") for k in group]
+    filled = rows.filter(F.col(value).isNotNull()).select(*group, F.col(value).cast("double").alias("_v"))
+    brackets = filled.groupBy(*group).agg(
         F.count(F.lit(1)).alias("_n"),
         F.percentile_approx("_v", [0.5 - slack, 0.5 + slack], accuracy).alias("_range"),
-    ).select(*[F.col(k).alias(f"_{k}") for k in by], "_n", F.col("_range")[0].alias("_lo"), F.col("_range")[1].alias("_hi"))
-    same = F.lit(True)
-    for k in by:
-        same = same & F.col(k).eqNullSafe(F.col(f"_{k}"))
-    placed = filled.join(brackets, same).filter(F.col("_v") <= F.col("_hi"))
-    # Null stands for everything below the bracket and sorts first.
+    ).select(*named("_b_"), "_n", F.col("_range")[0].alias("_lo"), F.col("_range")[1].alias("_hi"))
+    placed = filled.join(brackets, same("_b_")).filter(F.col("_v") <= F.col("_hi"))
+    # Null stands for everything below the bracket.
     spot = F.when(F.col("_v") >= F.col("_lo"), F.col("_v"))
-    counts = placed.groupBy(*by, "_n", spot.alias("_spot")).agg(F.count(F.lit(1)).alias("_c"))
-    upto = F.sum("_c").over(Window.partitionBy(*by).orderBy(F.col("_spot").asc_nulls_first()))
-    ranked = counts.withColumn("_upto", upto)
-
-    def at(rank: Column) -> Column:
-        hit = (F.col("_upto") >= rank) & (F.col("_upto") - F.col("_c") < rank)
-        return F.max(F.when(hit, F.col("_spot")))
-
-    low, high = F.floor((F.col("_n") + 1) / 2), F.floor((F.col("_n") + 2) / 2)
-    return ranked.groupBy(*by).agg(((at(low) + at(high)) / 2).alias("median"))
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    counts = placed.groupBy(*group, "_n", spot.alias("_spot")).agg(F.count(F.lit(1)).alias("_c"))
+    dealt = counts.repartitionByRange(parts, *group, "_spot").withColumn("_part", F.when(F.col("_spot").isNull(), -1).otherwise(F.spark_partition_id()))
+    dealt = written(dealt, shared_folder(rows.sparkSession))
+
+    totals = dealt.groupBy(*group, "_n", "_part").agg(F.sum("_c").alias("_t"))
+    ranges = totals.groupBy(*group, "_n").agg(F.sort_array(F.collect_list(F.struct("_part", "_t"))).alias("_ranges"))  # one entry a partition
+    ranks = F.array(F.floor((F.col("_n") + 1) / 2), F.floor((F.col("_n") + 2) / 2))
+    wanted = ranges.select(*named("_w_"), "_ranges", F.posexplode(ranks).alias("_which", "_rank"))
+    start = F.struct(F.lit(0).cast("long").alias("before"), F.lit(None).cast("int").alias("part"))
+    found = F.aggregate("_ranges", start, lambda state, r: F.when(
+        state["part"].isNull() & (state["before"] + r["_t"] < F.col("_rank")),
+        F.struct((state["before"] + r["_t"]).alias("before"), F.lit(None).cast("int").alias("part"))).otherwise(
+        F.struct(state["before"].alias("before"), F.coalesce(state["part"], r["_part"]).alias("part"))))
+    wanted = wanted.withColumn("_at", found).select(*[f"_w_{k}" for k in group], "_which", F.col("_at.part").alias("_w_part"),
+                                                    (F.col("_rank") - F.col("_at.before")).alias("_need"))
+    inside = dealt.join(wanted, same("_w_") & (F.col("_part") == F.col("_w_part")))
+    upto = F.sum("_c").over(Window.partitionBy(*group, "_which", "_part").orderBy("_spot"))
+    hit = inside.withColumn("_upto", upto).filter((F.col("_upto") >= F.col("_need")) & (F.col("_upto") - F.col("_c") < F.col("_need")))
+    return hit.groupBy(*group).agg(F.avg("_spot").alias("median"))
 
 
 def numeric_profile(rows: DataFrame, day: str, target: str) -> DataFrame:

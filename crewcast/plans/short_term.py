@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -13,6 +14,7 @@ from crewcast.operators import evaluate, folds, forecast, profile
 from crewcast.operators.panel import daily_series, fill_periods
 from crewcast.functions import recode
 from crewcast.operators.publish import series_facts
+from crewcast.operators.seasonal import seasonal_order_forecast
 from crewcast.sources import tables
 
 
@@ -63,17 +65,18 @@ def run(source: DataFrame, folder: str, test: BackTest = BackTest()) -> dict[str
     actual = tidy(held_out, "Series_Identifier", test.day, test.target)
     averages = forecast.moving_average_forecast(known, test.window, test.horizon)
     seasonal = forecast.seasonal_regression_forecast(known, test.horizon).select(*averages.columns)
-    predicted = tables.written(averages.unionByName(seasonal), f"{folder}/forecasts")
+    searched = seasonal_order_forecast(known, test.horizon).select(*averages.columns)
+    predicted = tables.written(averages.unionByName(seasonal).unionByName(searched), f"{folder}/forecasts")
     both = folds.labelled_rows(series, test.day, test.folds)
-    scores = {}
-    for model in ("SMA", "SEASONAL_AR"):
+    scores = []
+    for model in ("SMA", "SEASONAL_AR", "SEASONAL_ORDER"):
         pairs = evaluate.align_by_date(actual, predicted.filter(F.col("model") == model))
         metrics = evaluate.forecast_metrics(pairs, evaluate.tier_in(F.col("series_id")))
-        scores[model] = metrics.select(F.lit(model).alias("model"), "*")
+        scores.append(metrics.select(F.lit(model).alias("model"), "*"))
     return {
         "series": series,
         "forecasts": predicted,
-        "metrics": tables.written(scores["SMA"].unionByName(scores["SEASONAL_AR"]), f"{folder}/metrics"),
+        "metrics": tables.written(reduce(DataFrame.unionByName, scores), f"{folder}/metrics"),
         "numeric_profile": profile.numeric_profile(both, test.day, test.target),
         "category_profile": profile.category_profile(both, test.attributes),
         "null_counts": profile.null_counts(both, [test.day, test.target, *test.attributes]),

@@ -161,9 +161,10 @@ def test_back_test_job(spark, tmp_path):
     test = short_term.BackTest(train_start=date(2024, 1, 1), first_train_end=date(2024, 4, 30), horizon=7, fold_count=3, window=28)
     out = short_term.run(source, str(tmp_path), test)
     scores = {(r.model, r.scope): r for r in out["metrics"].collect()}
-    assert set(scores) == {(m, s) for m in ("SMA", "SEASONAL_AR") for s in ("Tier 1", "Tier 3", "Overall")}
+    assert set(scores) == {(m, s) for m in ("SMA", "SEASONAL_AR", "SEASONAL_ORDER") for s in ("Tier 1", "Tier 3", "Overall")}
     assert scores[("SEASONAL_AR", "Overall")].MAE < 1e-6 < scores[("SMA", "Overall")].MAE
-    assert out["forecasts"].count() == 2 * 2 * 3 * 7
+    assert scores[("SEASONAL_ORDER", "Overall")].MAE < 1e-6
+    assert out["forecasts"].count() == 3 * 2 * 3 * 7
     assert {r.train_rows for r in out["split_counts"].collect()} == {242, 256, 270}
     assert {r.null_count for r in out["null_counts"].collect()} == {0}
     assert out["numeric_profile"].count() == 7 and out["category_profile"].count() > 0 and out["weekly"].count() > 0

@@ -15,13 +15,13 @@ def plan(frame) -> str:
     return frame._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - {"global_monthly_forecast", "resumed_run"}))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - {"global_monthly_forecast", "resumed_run", "direct_monthly_scores"}))
 def test_no_pairwise_join_and_no_python(spark, name):
     text = plan(QUERIES[name](spark, FOLDER))
     assert not [word for word in FORBIDDEN if word in text]
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - {"global_monthly_forecast", "resumed_run"}))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - {"global_monthly_forecast", "resumed_run", "direct_monthly_scores"}))
 def test_scans_read_only_needed_columns(spark, name):
     """No scan of the line items or orders reads every column."""
     for schema in re.findall(r"ReadSchema: struct<([^>]*)>", plan(QUERIES[name](spark, FOLDER))):
@@ -116,3 +116,9 @@ def test_a_load_of_stored_histories_opens_few_files(spark):
     files = len(opened.select(F.input_file_name()).distinct().collect())
     assert 0 < files < 0.1 * stored.select(F.input_file_name()).distinct().count()
     spark.sql("DROP TABLE few_files")
+
+
+def test_the_median_looks_into_one_range_of_values(spark):
+    text = plan(QUERIES["profile_numeric"](spark, FOLDER))
+    windows = re.findall(r"Window \[[^\]]*\], \[([^\]]*)\]", text)
+    assert windows and all("_part" in w for w in windows)
