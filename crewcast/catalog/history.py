@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from crewcast.catalog.base import Tables, doubles, money, query
-from crewcast.functions import child_or_parent, month_of
+from crewcast.functions import child_or_parent, month_of, month_sequence
 from crewcast.operators.joins import matching_keys
 from crewcast.operators.latest import Latest, latest_pivot, latest_rows
 from crewcast.operators.panel import carried_forward, period_sums, previous_or
@@ -107,34 +107,43 @@ def membership(t: Tables) -> DataFrame:
     return matching_keys(t.orders, members, ["o_custkey"]).groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n"))
 
 
-STATUS_MONTHS_SQL = """
+SERIES = ["o_orderstatus", "o_orderpriority", "c_nationkey"]
+STATUS_MONTHS_SQL = f"""
+sums AS (
+  SELECT {', '.join(SERIES)}, CAST(date_trunc('month', o_orderdate) AS DATE) AS month, SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS amount
+  FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY ALL),
 months AS (
-  SELECT o_orderpriority, CAST(date_trunc('month', o_orderdate) AS DATE) AS month,
-    SUM(CASE WHEN o_orderstatus = 'P' THEN CAST(o_totalprice AS DECIMAL(18,2)) END) AS amount
-  FROM orders GROUP BY ALL)"""
+  SELECT * FROM (SELECT DISTINCT {', '.join(SERIES)} FROM sums)
+  CROSS JOIN (SELECT CAST(unnest(generate_series((SELECT min(month) FROM sums), (SELECT max(month) FROM sums), INTERVAL 1 MONTH)) AS DATE) AS month)
+  LEFT JOIN sums USING ({', '.join(SERIES)}, month))"""
 
 
 def status_months(t: Tables) -> DataFrame:
-    """Monthly amounts of the orders in progress per priority; months without such orders have none."""
-    amount = F.when(F.col("o_orderstatus") == "P", money("o_totalprice"))
-    rows = t.orders.select("o_orderpriority", F.col("o_orderdate").cast("date").alias("day"), amount.alias("amount"))
-    return period_sums(rows, ["o_orderpriority"], month_of(F.col("day")), "month", ["amount"])
+    """Monthly amounts of all orders per status, priority and nation on one calendar; a month without orders has no amount."""
+    rows = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey")).select(
+        *SERIES, F.col("o_orderdate").cast("date").alias("day"), money("o_totalprice").alias("amount"))
+    sums = period_sums(rows, SERIES, month_of(F.col("day")), "month", ["amount"])
+    ends = t.orders.agg(F.min("o_orderdate").alias("first"), F.max("o_orderdate").alias("last"))
+    first, last = (ends.select(month_of(F.col(c).cast("date"))).scalar() for c in ("first", "last"))
+    held = sums.groupBy(*SERIES).agg(F.map_from_entries(F.collect_list(F.struct("month", "amount"))).alias("_held"))
+    grid = held.select("*", F.explode(month_sequence(first, last)).alias("month"))
+    return grid.select(*SERIES, "month", F.try_element_at("_held", F.col("month")).alias("amount"))
 
 
 @query("forward_fill", f"""
 WITH {STATUS_MONTHS_SQL.strip()}
-SELECT o_orderpriority, month, CAST(amount AS DOUBLE) AS amount, CAST(last_value(amount IGNORE NULLS) OVER (
-    PARTITION BY o_orderpriority ORDER BY month ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS DOUBLE) AS filled
+SELECT {', '.join(SERIES)}, month, CAST(amount AS DOUBLE) AS amount, CAST(last_value(amount IGNORE NULLS) OVER (
+    PARTITION BY {', '.join(SERIES)} ORDER BY month ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS DOUBLE) AS filled
 FROM months""")
 def forward_fill(t: Tables) -> DataFrame:
-    rows = status_months(t).withColumn("filled", carried_forward("amount", ["o_orderpriority"], "month"))
-    return rows.select("o_orderpriority", "month", *doubles("amount", "filled"))
+    rows = status_months(t).withColumn("filled", carried_forward("amount", SERIES, "month"))
+    return rows.select(*SERIES, "month", *doubles("amount", "filled"))
 
 
 @query("lag_default", f"""
 WITH {STATUS_MONTHS_SQL.strip()}
-SELECT o_orderpriority, month, CAST(coalesce(lag(amount) OVER (PARTITION BY o_orderpriority ORDER BY year(month), month(month)), 0) AS DOUBLE) AS previous
+SELECT {', '.join(SERIES)}, month, CAST(coalesce(lag(amount) OVER (PARTITION BY {', '.join(SERIES)} ORDER BY month), 0) AS DOUBLE) AS previous
 FROM months""")
 def lag_default(t: Tables) -> DataFrame:
-    rows = status_months(t).withColumn("previous", previous_or("amount", ["o_orderpriority"], ["month"], 0))
-    return rows.select("o_orderpriority", "month", *doubles("previous"))
+    rows = status_months(t).withColumn("previous", previous_or("amount", SERIES, ["month"], 0))
+    return rows.select(*SERIES, "month", *doubles("previous"))

@@ -11,32 +11,23 @@ from crewcast.functions import any_like, first_match, mentions, recode, renamed_
 from crewcast.operators.joins import lookup, two_key_group
 from crewcast.plans.fact import product_group
 
-PART_PRODUCTS = {
-    "ECONOMY": "BUSINESS CONNECT", "SMALL": "SDS WIFI", "STANDARD": "MPAAS", "MEDIUM": "IOT MODEM", "PROMO": "WAVELENGTH",
-}
-SIDES_SQL = """
-sides AS (
-  SELECT CASE p_type WHEN 'ECONOMY' THEN 'BUSINESS CONNECT' WHEN 'SMALL' THEN 'SDS WIFI' WHEN 'STANDARD' THEN 'MPAAS'
-      WHEN 'MEDIUM' THEN 'IOT MODEM' WHEN 'PROMO' THEN 'WAVELENGTH' END AS product,
-    ['QC', 'ON', NULL][p_size % 3 + 1] AS province FROM part)"""
+PRODUCTS = [*fv.ALL_PRODUCTS, "MODEM", None]
+LISTED = ", ".join("NULL" if p is None else f"'{p}'" for p in PRODUCTS)
+SIDES_SQL = f"""
+sides AS (SELECT [{LISTED}][CAST(p_partkey % {len(PRODUCTS)} + 1 AS INTEGER)] AS product, ['QC', 'ON', NULL][p_size % 3 + 1] AS province FROM part)"""
+RULES_SQL = ", ".join(f"('{product}', {home}, '{group}')" for home, groups in (("false", fv.PRODUCT_GROUPS_AWAY), ("true", fv.PRODUCT_GROUPS_HOME))
+                      for product, group in groups.items())
 
 
 def sides(t: Tables) -> DataFrame:
-    """Parts as (product, province); the sizes give home, other and unknown provinces."""
-    return t.part.select(
-        recode(F.col("p_type"), PART_PRODUCTS).alias("product"), F.expr("array('QC', 'ON', NULL)[p_size % 3]").alias("province")
-    )
+    """Parts as (product, province): all products, one unknown and none; the sizes give home, other and unknown provinces."""
+    return t.part.selectExpr(f"array({LISTED})[int(p_partkey % {len(PRODUCTS)})] AS product", "array('QC', 'ON', NULL)[p_size % 3] AS province")
 
 
 @query("two_key_recode", f"""
-WITH {SIDES_SQL.strip()}
-SELECT product, province, CASE WHEN product = 'BUSINESS CONNECT' AND province <> 'QC' THEN 'Unmanaged 3rd Wave'
-    WHEN product = 'BUSINESS CONNECT' AND province = 'QC' THEN 'Managed 3rd Wave'
-    WHEN product = 'SDS WIFI' AND province <> 'QC' THEN 'Unmanaged 3rd Wave'
-    WHEN product = 'MPAAS' AND province <> 'QC' THEN 'Unmanaged MPAAS' WHEN product = 'MPAAS' AND province = 'QC' THEN 'Managed MPAAS'
-    WHEN product = 'IOT MODEM' AND province = 'QC' THEN 'Unmanaged' WHEN product = 'WAVELENGTH' AND province <> 'QC' THEN 'Managed WAN'
-    ELSE 'OTHER' END AS product_group, CAST(COUNT(*) AS BIGINT) AS n
-FROM sides GROUP BY ALL""")
+WITH {SIDES_SQL.strip()}, rules(product, home, product_group) AS (VALUES {RULES_SQL})
+SELECT product, province, coalesce(product_group, '{fv.OTHER}') AS product_group, CAST(COUNT(*) AS BIGINT) AS n
+FROM (SELECT *, province = '{fv.HOME_PROVINCE}' AS home FROM sides) LEFT JOIN rules USING (product, home) GROUP BY ALL""")
 def groups(t: Tables) -> DataFrame:
     group = product_group(F.col("product"), F.col("province"))
     return sides(t).groupBy("product", "province", group.alias("product_group")).agg(F.count(F.lit(1)).alias("n"))
@@ -110,7 +101,7 @@ def repair(t: Tables) -> DataFrame:
 
 @query("migrated_key", f"""
 WITH {DISTRICTS_SQL.strip()}
-SELECT CASE WHEN migration IN ('') THEN district ELSE district_old END AS name, CAST(COUNT(*) AS BIGINT) AS n
+SELECT if(coalesce(migration, '-') = '', district, district_old) AS name, CAST(COUNT(*) AS BIGINT) AS n
 FROM customer LEFT JOIN districts ON service_area_clli = 'A' || c_nationkey GROUP BY 1""")
 def migrated(t: Tables) -> DataFrame:
     counts = t.customer.groupBy(F.concat(F.lit("A"), F.col("c_nationkey").cast("string")).alias("area")).agg(

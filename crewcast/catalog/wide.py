@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import DataFrame, functions as F
 
 from crewcast.catalog.base import Tables, money, query
+from crewcast.functions import month_of
 from crewcast.operators.efficiency import efficiency_report
 from crewcast.operators.reshape import pivot_labels, unpivot_months
 from crewcast.sources.schemas import month_range
@@ -28,10 +31,12 @@ wide AS (
 
 
 def wide_months(t: Tables) -> DataFrame:
-    """Amount per part type and brand with one column per month."""
-    rows = t.lineitem.join(t.part, F.col("l_partkey") == F.col("p_partkey"))
-    amounts = [F.sum(F.when(F.expr(month_case(m)), money("l_extendedprice"))).cast("double").alias(m) for m in MONTHS]
-    return rows.groupBy("p_type", "p_brand").agg(*amounts).withColumn("notes", F.nullif(F.col("p_type"), F.lit("LARGE")))
+    """Amount per part type and brand with one column per month: summed by month once, then read from a map as long as the calendar."""
+    rows = t.lineitem.join(t.part, F.col("l_partkey") == F.col("p_partkey")).filter(F.col("l_shipdate").isNotNull())
+    sums = rows.groupBy("p_type", "p_brand", month_of(F.col("l_shipdate").cast("date")).alias("month")).agg(F.sum(money("l_extendedprice")).alias("amount"))
+    maps = sums.groupBy("p_type", "p_brand").agg(F.map_from_entries(F.collect_list(F.struct("month", "amount"))).alias("amounts"))
+    cells = [F.try_element_at("amounts", F.lit(date(1995 + i // 12, i % 12 + 1, 1))).cast("double").alias(m) for i, m in enumerate(MONTHS)]
+    return maps.select("p_type", "p_brand", *cells, F.nullif(F.col("p_type"), F.lit("LARGE")).alias("notes"))
 
 
 UNPIVOT_SQL = f"""

@@ -81,13 +81,18 @@ def latest_pivot(rows: DataFrame, entity: str, code: str, order: str, outputs: M
     return best.select(entity, *columns)
 
 
+def stamp_order(version: str) -> Column:
+    """Versions by the time their stamp names, whatever its digits; a stamp that is no time comes before all, by its text."""
+    return F.struct(F.try_to_timestamp(F.col(version).cast("string")).alias("at"), F.col(version).alias("stamp"))
+
+
 def latest_version_flag(rows: DataFrame, version: str) -> Column:
     """True on rows of the newest version; the newest one is a one-row scalar subquery."""
-    newest = rows.agg(F.max(version)).scalar()
+    newest = rows.filter(F.col(version).isNotNull()).agg(F.max(stamp_order(version))["stamp"]).scalar()
     return F.coalesce(F.col(version) == newest, F.lit(False))
 
 
 def nth_latest_version(rows: DataFrame, version: str, back: int) -> DataFrame:
     """The version that is ``back`` places before the newest, as one row; empty if there is none."""
     versions = rows.select(version).filter(F.col(version).isNotNull()).distinct()
-    return versions.orderBy(F.col(version).desc()).offset(back).limit(1)
+    return versions.orderBy(stamp_order(version).desc()).offset(back).limit(1)
