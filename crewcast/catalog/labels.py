@@ -9,7 +9,8 @@ from crewcast.catalog.base import Tables, query
 from crewcast.catalog.inputs import DISTRICTS_SQL, district_lookup
 from crewcast.functions import any_like, first_match, mentions, recode, renamed_key, repaired
 from crewcast.operators.joins import lookup, two_key_group
-from crewcast.plans.fact import product_group
+from crewcast.plans.fact import FactRules, product_group
+from crewcast.plans.sql_functions import register_product_group_of
 
 PRODUCTS = [*fv.ALL_PRODUCTS, "MODEM", None]
 LISTED = ", ".join("NULL" if p is None else f"'{p}'" for p in PRODUCTS)
@@ -24,15 +25,27 @@ def sides(t: Tables) -> DataFrame:
     return t.part.selectExpr(f"array({LISTED})[int(p_partkey % {len(PRODUCTS)})] AS product", "array('QC', 'ON', NULL)[p_size % 3] AS province")
 
 
-@query("two_key_recode", f"""
+RECODE_SQL = f"""
 WITH {SIDES_SQL.strip()}, rules(product, home, product_group) AS (VALUES {RULES_SQL})
 SELECT product, province, coalesce(product_group, '{fv.OTHER}') AS product_group, CAST(COUNT(*) AS BIGINT) AS n
-FROM (SELECT *, province = '{fv.HOME_PROVINCE}' AS home FROM sides) LEFT JOIN rules USING (product, home) GROUP BY ALL""")
+FROM (SELECT *, province = '{fv.HOME_PROVINCE}' AS home FROM sides) LEFT JOIN rules USING (product, home) GROUP BY ALL"""
+
+
+@query("two_key_recode", RECODE_SQL)
 def groups(t: Tables) -> DataFrame:
     group = product_group(F.col("product"), F.col("province"))
     return sides(t).groupBy("product", "province", group.alias("product_group")).agg(F.count(F.lit(1)).alias("n"))
 
 
+@query("sql_product_group_of", RECODE_SQL)
+def sql_groups(t: Tables) -> DataFrame:
+    """The same recode, by the SQL table function called with LATERAL."""
+    register_product_group_of(t.spark, FactRules(own_company=""), prefix="label_")
+    sides(t).createOrReplaceTempView("label_sides")
+    return t.spark.sql("""SELECT s.product, s.province, product_group, count(*) AS n
+        FROM label_sides s, LATERAL label_product_group_of(s.province, s.product) GROUP BY ALL""")
+
+
 @query("two_key_lookup", f"""
 WITH {SIDES_SQL.strip()}, rules(p, side, g) AS (VALUES ('MPAAS', true, 'inside'), ('MPAAS', false, 'outside'),
   ('SDS WIFI', NULL, 'anywhere'), ('WAVELENGTH', false, 'outside'))

@@ -212,9 +212,11 @@ def product_group(product: Column, province: Column, home: str = fv.HOME_PROVINC
     return F.coalesce(group, F.lit(fv.OTHER))
 
 
-def work_rows(up: Upstream, rules: FactRules, start: date, end: date) -> DataFrame:
+def work_rows(up: Upstream, rules: FactRules, start: date | None = None, end: date | None = None) -> DataFrame:
     """One row per work order, component, job, assignment and location tie, with the values to add up.
 
+    Without ``start`` and ``end`` it holds the rows of all periods, with both instants and their local days.
+
     Tables that only repeat rows (open work order statuses, job statuses, dispatch rows, parties)
     are counted per key first and enter as the factor ``copies``. Histories are cut to the work orders, jobs and
     assignments of the period before they are aggregated, by the same key, and the main rows are joined key by
@@ -224,7 +226,8 @@ def work_rows(up: Upstream, rules: FactRules, start: date, end: date) -> DataFra
         return rows.groupBy(key).agg(F.count(F.lit(1)).alias(name))
 
     instants = ["appointment_start_datetime", "early_start_time"]
-    job = period_jobs(up.job, instants, start, end).select(
+    jobs = up.job if start is None else period_jobs(up.job, instants, start, end)
+    job = jobs.select(
         "job_id", "work_order_id", *instants,
         F.col("estimated_duration").alias("job_estimate"), F.col("job_type_cd").alias("job_job_type"),
     )
@@ -262,7 +265,7 @@ def work_rows(up: Upstream, rules: FactRules, start: date, end: date) -> DataFra
     rows = (
         job.join(order, "work_order_id")
         .join(navigation_location(location, up.districts, rules), "work_order_id")
-        .filter(in_local_period([F.col(c) for c in instants], F.col("zone"), start, end))
+        .filter(F.lit(True) if start is None else in_local_period([F.col(c) for c in instants], F.col("zone"), start, end))
         .filter(any_like(district, rules.district_patterns) | district.isin(*rules.districts))
         .join(service_names(of_order(up.service)), "work_order_id", "left")
         .join(work_order_attributes(of_order(up.work_order_attribute)), "work_order_id", "left")
@@ -289,8 +292,10 @@ def work_rows(up: Upstream, rules: FactRules, start: date, end: date) -> DataFra
     def pick(child: str, parent: str) -> Column:
         return child_or_parent(F.col("component_id"), F.col(child), F.col(parent))
 
+    moments = [] if start is not None else [
+        *instants, local_date(F.col(instants[0]), F.col("zone")).alias("appointment_day"), local_date(F.col(instants[1]), F.col("zone")).alias("early_day")]
     return rows.select(
-        "work_order_id", "job_id", "province", "region", "district_name", "assignment_status", "classification",
+        *moments, "work_order_id", "job_id", "province", "region", "district_name", "assignment_status", "classification",
         "MGR_TID", "TECHNICIAN",
         local_date(F.coalesce(*instants), F.col("zone")).alias("day"),
         F.when(company_east, fv.EASTERN_SPLIT_LABEL).otherwise(F.col("COMPANY")).alias("work_force"),
@@ -321,6 +326,17 @@ def kept_rows(rows: DataFrame, rules: FactRules) -> DataFrame:
     )
 
 
+def labelled_work(up: Upstream, rules: FactRules) -> DataFrame:
+    """The kept rows of all periods with action, product and groups, before they are added up."""
+    rows = kept_rows(work_rows(up, rules), rules).withColumn("action", work_order_action(rules))
+    rows = rows.withColumn("product_key", F.concat("job_type", "product_category"))
+    named = lookup(rows, up.product_keys, {"product_key": "product_key"}, "product", "product", fv.OTHER)
+    return named.withColumns({
+        "action_group": recode(F.col("action"), fv.ACTION_GROUPS, fv.OTHER),
+        "product_group": product_group(F.col("product"), F.col("province"), rules.home_province, fv.PRODUCT_GROUPS_ANYWHERE_IN_FACT),
+    })
+
+
 def service_fact(up: Upstream, rules: FactRules, start: date, end: date) -> DataFrame:
     """Daily hours of work for local appointment days in [start, end).
 

@@ -122,3 +122,21 @@ def test_the_median_looks_into_one_range_of_values(spark):
     text = plan(QUERIES["profile_numeric"](spark, FOLDER))
     windows = re.findall(r"Window \[[^\]]*\], \[([^\]]*)\]", text)
     assert windows and all("_part" in w for w in windows)
+
+
+def test_a_table_functions_dates_reach_the_scan(spark, tmp_path):
+    from crewcast.catalog.base import Tables
+    from crewcast.catalog.facts import RULES, Views
+    from crewcast.plans.sql_functions import register_all
+
+    from dataclasses import replace
+
+    views = Views(Tables(spark, FOLDER)).all()
+    views.job.write.parquet(f"{tmp_path}/job")
+    register_all(replace(views, job=spark.read.parquet(f"{tmp_path}/job")), RULES, "plan_")
+    rows = spark.sql("SELECT District, sum(SWT) AS hours FROM plan_period_fact(DATE'1996-01-01', DATE'1996-02-01') GROUP BY District")
+    pushed = [f for f in re.findall(r"PushedFilters: \[(.*?)\], ReadSchema", plan(rows)) if "early_start_time" in f]
+    assert pushed and all("1995-12-31" in f and "1996-02-02" in f for f in pushed)
+    found = spark.sql("SELECT (SELECT product_group FROM plan_product_group_of('QC', 'MPAAS')) AS a, "
+                      "(SELECT product_group FROM plan_product_group_of(NULL, 'MPAAS')) AS b, (SELECT product FROM plan_product_of('no', NULL)) AS c").first()
+    assert tuple(found) == ("Managed MPAAS", "OTHER", "OTHER")
