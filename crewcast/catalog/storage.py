@@ -162,6 +162,29 @@ def sheet(t: Tables) -> DataFrame:
     return stored.withColumn("Product", recode(F.col("Product"), segments))
 
 
+@query("checked_sheet_scan", """
+WITH cells AS (
+  SELECT o_orderkey, CASE WHEN o_orderstatus = 'P' THEN 'n/a' ELSE CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR) END AS amount,
+    CASE WHEN o_custkey % 10 = 0 THEN 'soon' ELSE strftime(o_orderdate, '%Y-%m-%d') END AS day FROM orders)
+SELECT 'row' AS kind, CAST(NULL AS VARCHAR) AS fault, CAST(NULL AS VARCHAR) AS cell, CAST(COUNT(*) AS BIGINT) AS n,
+  CAST(SUM(TRY_CAST(amount AS DECIMAL(18,2))) AS DOUBLE) AS amount
+FROM cells WHERE amount <> 'n/a' AND day <> 'soon'
+UNION ALL SELECT 'reject', 'amount', amount, COUNT(*), NULL FROM cells WHERE amount = 'n/a' GROUP BY amount
+UNION ALL SELECT 'reject', 'day', day, COUNT(*), NULL FROM cells WHERE day = 'soon' GROUP BY day""")
+def checked_sheet(t: Tables) -> DataFrame:
+    """A sheet with faulty cells: good rows and faults, under a JSON schema."""
+    path = t.new_folder()
+    amount = F.when(F.col("o_orderstatus") == "P", "n/a").otherwise(money("o_totalprice").cast("string"))
+    day = F.when(F.col("o_custkey") % 10 == 0, "soon").otherwise(F.date_format("o_orderdate", "yyyy-MM-dd"))
+    tables.write_sheet(t.orders.select("o_orderkey", amount.alias("amount"), day.alias("day")), path)
+    schema = schemas.from_json('[{"name": "o_orderkey", "type": "INTEGER"}, {"name": "amount", "type": "NUMERIC"}, {"name": "day", "type": "DATE"}]')
+    rows, rejects = tables.read_checked_sheet(t.spark, path, schema)
+    good = rows.agg(F.lit("row").alias("kind"), F.lit(None).cast("string").alias("fault"), F.lit(None).cast("string").alias("cell"),
+                    F.count("day").alias("n"), F.sum("amount").cast("double").alias("amount"))
+    bad = rejects.groupBy(F.lit("reject").alias("kind"), F.col("column").alias("fault"), "cell").agg(F.count("line").alias("n"), F.lit(None).cast("double").alias("amount"))
+    return good.unionByName(bad)
+
+
 @query("coerced_dates", """
 SELECT CASE WHEN o_orderstatus <> 'P' THEN CAST(date_trunc('month', o_orderdate) AS DATE) END AS month, CAST(COUNT(*) AS BIGINT) AS n
 FROM orders GROUP BY 1""")

@@ -88,3 +88,27 @@ def with_each(rows: DataFrame, others: DataFrame) -> DataFrame:
 def matching_keys(rows: DataFrame, others: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows whose keys occur in ``others``; no row is repeated."""
     return rows.join(others.select(*keys), list(keys), "left_semi")
+
+
+def interval_join(left: DataFrame, right: DataFrame, left_span: tuple[str, str], right_span: tuple[str, str], days: int = 31) -> DataFrame:
+    """Pairs of rows whose spans of days overlap, both ends included. A null end is open; a span that ends before it starts holds no day.
+
+    Time is cut into bins of ``days``. A row is listed under every bin that it touches, rows meet by bin, and a pair counts in
+    the bin where its overlap starts, so that it comes out once. Open ends reach to the outermost day of either side.
+    ``days`` should be near the usual length of the longer spans: a row is repeated once for each bin it touches.
+    """
+    ends = [F.col(c).cast("date") for c in left_span], [F.col(c).cast("date") for c in right_span]
+    sides = [rows.select(*[c.alias(f"_d{i}") for i, c in enumerate(span)]) for rows, span in ((left, ends[0]), (right, ends[1]))]
+    every = sides[0].unionByName(sides[1])
+    outermost = every.agg(F.min(F.least("_d0", "_d1")).alias("first"), F.max(F.greatest("_d0", "_d1")).alias("last"))
+    first, last = (F.coalesce(outermost.select(c).scalar(), F.lit("1970-01-01").cast("date")) for c in ("first", "last"))
+    bin_of = lambda day: F.floor(F.datediff(day, F.lit("1970-01-01").cast("date")) / days)
+
+    def listed(rows: DataFrame, span: list[Column], name: str) -> DataFrame:
+        begin, end = F.coalesce(span[0], first), F.coalesce(span[1], last)
+        spread = rows.withColumns({f"_{name}0": begin, f"_{name}1": end}).filter(F.col(f"_{name}0") <= F.col(f"_{name}1"))
+        return spread.withColumn("_bin", F.explode(F.sequence(bin_of(F.col(f"_{name}0")), bin_of(F.col(f"_{name}1")))))
+
+    both = listed(left, ends[0], "l").join(listed(right, ends[1], "r"), "_bin")
+    starts = F.greatest("_l0", "_r0")
+    return both.filter((starts <= F.least("_l1", "_r1")) & (bin_of(starts) == F.col("_bin"))).drop("_bin", "_l0", "_l1", "_r0", "_r1")

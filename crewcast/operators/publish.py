@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from crewcast import fixed_values as fv
 from crewcast.functions import add_month_steps, month_of, month_sequence, recode, series_identifier
-from crewcast.operators.joins import with_each
+from crewcast.operators.joins import interval_join, with_each
 from crewcast.operators.latest import latest_version_flag
 from crewcast.operators.reshape import unpivot_months
 
@@ -122,17 +122,15 @@ def projects_by_version(
     horizon: int = fv.MONTHLY_HORIZON,
     first_month: date = fv.CALENDAR_START,
 ) -> DataFrame:
-    """Project months with hours, once per version whose window holds them.
+    """Project months with hours, once per version whose window holds their first day.
 
-    The window runs from a month before the version's day to ``horizon - 1`` months after it. Each
-    version lists its few window months, so the interval join becomes an equi-join on the month.
+    The window runs from a month before the version's day, but not before ``first_month``, to ``horizon - 1`` months after it.
     """
     day = F.col("Forecast_Date").cast("date")
-    window = month_sequence(F.greatest(F.lit(first_month), F.add_months(day, -1)), F.add_months(day, horizon - 1))
-    spans = versions.select("Forecast_Date", F.explode(window).alias("Appointment_Month")).filter(
-        F.col("Appointment_Month").between(F.add_months(day, -1), F.add_months(day, horizon - 1))
-    )
-    return projects.filter(F.col("SWT_Project") > 0).join(spans, "Appointment_Month")
+    spans = versions.select("Forecast_Date", F.greatest(F.lit(first_month), F.add_months(day, -1)).alias("_from"),
+                            F.add_months(day, horizon - 1).alias("_until"))
+    planned = projects.filter((F.col("SWT_Project") > 0) & F.col("Appointment_Month").isNotNull())
+    return interval_join(planned, spans, ("Appointment_Month", "Appointment_Month"), ("_from", "_until"), 366).drop("_from", "_until")
 
 
 CUBE_COLUMNS = [
