@@ -294,6 +294,18 @@ PAGES = {
     "<![if x]>tail<br>end&amp;&eacute;": "tail\nend&é",
     "<title>t</title><h1>Head</h1>text<div>block</div>": "Head\n\ntext\nblock",
     "": "", "plain": "plain", "<p": "<p", "<b>open": "open",
+    "<math><mi>x</mi><mo>=</mo><mn>2</mn><annotation>x=2</annotation></math>": "x=2",
+    "<svg><title>t</title><desc>d</desc><defs><text>no</text></defs><text>label</text></svg> <i aria-hidden='true'>star</i>": "label star",
+    "<p style='visibility: hidden'>no <span style='visibility:visible'>yes</span> no</p><p style='color:red;VISIBILITY:collapse'>no": "yes",
+    "<ol><li>a<li style='visibility:hidden'>no<li>c</ol>": "1. a\n3. c",
+    "<table><tr><td colspan=2>two columns<td>z<tr><td>a<td>b<td>c</table>": "two columns  z\na  b         c",
+    "<table><tr><td rowspan=2>r<td>1<tr><td>2<tr><td>s<td>3</table>": "r  1\n   2\ns  3",
+    "<table><tr><td rowspan=0>r<td>1<tr><td>2</table>": "r  1\n   2",
+    "<table><tr><td colspan=1000>big<td>x<tr><td>a<td>b</table>": "big   x\na  b",
+    "<table><tr><td colspan=x rowspan=-1>odd<td>y</table>": "odd  y",
+    "<div>" * 160 + "<script>var no=1</script><div hidden>no</div><p>shown" + "</div>" * 160: "shown",
+    "<ul><li>" * 200 + "deep": "- " * 200 + "deep",
+    "<table><tr><td>" * 300 + "inner": "inner",
 }
 
 
@@ -307,6 +319,49 @@ def test_pages(frame):
     assert html_text.extract(frame([], "page_id long, html string")).collect() == []
 
 
+def grid_of(rows: list[list[tuple[str, int, int]]]) -> dict:
+    """Plain form of cell placement: (row, column) -> text of the cell that covers it."""
+    held = {}
+    for r, row in enumerate(rows):
+        c = 0
+        for text, columns, span in row:
+            while (r, c) in held:
+                c += 1
+            held.update({(r + i, c + j): text for i in range(min(span, len(rows) - r)) for j in range(columns) if (r + i, c + j) not in held})
+            c += columns
+    return held
+
+
+cells = st.lists(st.lists(st.tuples(st.integers(1, 3), st.integers(1, 3)), min_size=1, max_size=4), min_size=1, max_size=4)
+
+
+@settings(max_examples=150, deadline=None)
+@given(cells)
+def test_cells_stand_in_their_columns(shape):
+    names = iter(f"{a}{b}" for a in "abcdefghijklmnopq" for b in "xyz")
+    rows = [[(next(names), *size) for size in row] for row in shape]
+    html = "<table>" + "".join("<tr>" + "".join(f"<td colspan={c} rowspan={r}>{t}" for t, c, r in row) for row in rows) + "</table>"
+    lines = html_text.visible_text(html).split("\n")
+    assert [w for line in lines for w in line.split()] == [t for row in rows for t, _, _ in row]
+    # Cells that begin in one column, in any rows, begin at one place of the line.
+    begins = {}
+    held = grid_of(rows)
+    for r, row in enumerate(rows):
+        for text, _, _ in row:
+            column = min(c for (i, c), t in held.items() if t == text)
+            begins.setdefault(column, set()).add(next(line.index(text) for line in lines if text in line.split()))
+    alone = {c for c in begins if any(cols == 1 for row in rows for t, cols, _ in row if min(k for (i, k), x in held.items() if x == t) == c)}
+    assert all(len(begins[c]) == 1 for c in alone)
+
+
+def test_a_language_of_long_texts_alone_is_known(frame):
+    long = [" ".join(f"zu{sentence(k * 1000 + i, 1)}ka" for i in range(4000)) for k in range(3)]
+    rows = [(k, t, "long") for k, t in enumerate(long)] + [(10 + k, sentence(k, 50), "short") for k in range(30)]
+    model = language_id.learn(frame(rows, "doc_id long, text string, lang string"))
+    assert set(model.contents) == {"long", "short"} and model.predict(long[0][:300])[0] == "long" and model.predict(sentence(99, 40))[0] == "short"
+    assert all(len(c) <= model.settings.dictionary_bytes for c in model.contents.values())
+
+
 def test_language_of_odd_rows(frame, odd, nothing):
     rows = [(i, sentence(i, 40), "aa") for i in range(20)] + [(i, sentence(i, 40)[::-1], "bb") for i in range(20, 35)] + [(99, None, "aa"), (98, "x", None)]
     model = language_id.learn(frame(rows, "doc_id long, text string, lang string"))
@@ -382,6 +437,33 @@ def test_ordinal_grades(odd, nothing):
     assert {r["expected_grade"] for r in quality.predict(odd, only).collect()} == {3.0}
 
 
+def test_the_fitted_weights_are_near_the_greatest_likelihood():
+    """The chance of the grades by the plain formula: every small move of the thresholds or the scores makes it smaller."""
+    texts_ = [sentence(i, 20) + " bad" * (i * 7 % 4) + " good" * (i % 3) for i in range(120)]
+    grades = [min(2, max(0, (i % 3) + (i * 7 % 4 == 0) - (i * 7 % 4 == 3))) for i in range(120)]
+    tight = quality.Settings(bits=10, steps=3000, ridge=1e-2)
+    model = quality.fit(grades, texts_, tight)
+    scores = np.concatenate([s for _, _, s in model.scores(pa.array(texts_))])
+
+    def likelihood(s, t, w):
+        total = 0.0
+        for i, g in enumerate(grades):
+            at = lambda k: 1.0 if k < 0 else 0.0 if k >= len(t) else 1 / (1 + np.exp(t[k] - s[i]))  # noqa: E731,B023
+            total += np.log(at(g - 1) - at(g))
+        return total / len(grades) - tight.ridge * float(w @ w) / 2
+
+    best = likelihood(scores, model.thresholds, model.weights)
+    for k in range(2):
+        for move in (-0.1, 0.1):
+            shifted = model.thresholds.copy()
+            shifted[k] += move
+            assert likelihood(scores, shifted, model.weights) < best + 1e-5
+    for scale in (0.9, 1.1):
+        assert likelihood(scores * scale, model.thresholds, model.weights * scale) < best + 1e-5
+    tails = model.above(scores)
+    assert np.allclose(tails, 1 / (1 + np.exp(model.thresholds[None] - scores[:, None])))
+
+
 def test_copies_take_one_place_of_a_sample(spark, frame):
     distinct = [sentence(i, 20) for i in range(30)]
     hashes = {r["text"]: r["hash"] for r in frame([(t,) for t in distinct], "text string").selectExpr("text", "xxhash64(text) AS hash").collect()}
