@@ -16,6 +16,9 @@ from dataclasses import dataclass, field
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from crewcast.llm.samples import SLICES
+from crewcast.llm.storage import stored
+
 #: Runs of letters, and of the few number forms that count as word characters.
 WORD = re.compile(r"[^\W\d_]+")
 UNKNOWN = "und"
@@ -23,7 +26,10 @@ UNKNOWN = "und"
 
 @dataclass(frozen=True)
 class Settings:
-    """Training takes at most ``sample_docs`` documents per language of at most ``sample_chars`` characters each."""
+    """Training takes at most ``sample_docs`` distinct texts of a language, and of those as many as fill its dictionary.
+
+    Of the distinct words of a text, whatever its length, the first ``sample_chars`` characters go into the dictionary.
+    """
 
     sample_docs: int = 400
     sample_chars: int = 20_000
@@ -82,20 +88,27 @@ def learn(rows: DataFrame, settings: Settings = Settings(), text_col: str = "tex
     """Dictionaries from labelled rows; rows without a language or without text are left out.
 
     The sample is bounded per language and chosen by the hash of the text. Copies are one row before places are counted;
-    places are counted on hashes, and only the texts in the sample are moved.
+    places are counted on hashes, in slices of a language first, and only the texts in the sample are moved. Tasks reduce
+    them, and only as many as fill a dictionary reach the driver. More than ``most_languages`` languages raise ValueError.
     """
     text, language = F.col(text_col), F.col(lang_col)
-    usable = rows.filter(language.isNotNull() & (F.length(text) > 0) & (F.length(text) <= settings.sample_chars))
+    usable = rows.filter(language.isNotNull() & (F.length(text) > 0))
     usable = usable.select(language.alias("lang"), text.alias("text"), F.xxhash64(text).alias("hash"))
-    place = F.row_number().over(Window.partitionBy("lang").orderBy("hash"))
-    chosen = usable.select("lang", "hash").distinct().withColumn("place", place).filter(F.col("place") <= settings.sample_docs)
+    place = lambda *by: F.row_number().over(Window.partitionBy(*by).orderBy("hash"))
+    first = usable.select("lang", "hash").distinct().withColumn("slice", F.pmod("hash", F.lit(SLICES)))
+    first = first.withColumn("place", place("lang", "slice")).filter(F.col("place") <= settings.sample_docs)
+    chosen = first.withColumn("place", place("lang")).filter(F.col("place") <= settings.sample_docs).drop("slice")
     sample = usable.join(F.broadcast(chosen), ["lang", "hash"]).groupBy("lang", "place").agg(F.min("text").alias("text"))
+    words = F.pandas_udf(lambda texts: pd.Series([reduced(t)[: settings.sample_chars] for t in texts], dtype=object), "string")
+    sample = stored(sample.select("lang", "place", words("text").alias("words")))
+    before = F.sum(F.octet_length("words")).over(Window.partitionBy("lang").orderBy("place").rowsBetween(Window.unboundedPreceding, -1))
+    sample = sample.withColumn("before", F.coalesce(before, F.lit(0))).filter(F.col("before") < settings.dictionary_bytes)
     sizes = Counter({r["lang"]: r["count"] for r in usable.groupBy("lang").count().limit(settings.most_languages + 1).collect()})
     if len(sizes) > settings.most_languages:
         raise ValueError(f"more than {settings.most_languages} languages")
     texts: dict[str, list[str]] = {}
     for row in sorted(sample.collect(), key=lambda r: (r["lang"], r["place"])):
-        texts.setdefault(row["lang"], []).append(reduced(row["text"]))
+        texts.setdefault(row["lang"], []).append(row["words"])
     order = sorted(texts, key=lambda name: (-sizes[name], name))
     return Model({name: (" " + " ".join(dict.fromkeys(texts[name]))).encode()[: settings.dictionary_bytes] for name in order}, settings)
 
@@ -104,7 +117,8 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
     """One row per document: id, ``more`` columns, lang_pred, score, margin_bytes, rejected.
 
     ``rejected`` marks a narrow margin; the best language is still given. A null text or one without letters is ``und``
-    with score 0 and rejected. Equal sizes go to the language with more training rows. Whole texts are used.
+    with score 0 and rejected. Equal sizes go to the language with more training rows. Whole texts are used. Every row is
+    judged for itself: a null id stays, repeated rows each get one.
     """
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(model)  # at most dictionary_bytes per language
