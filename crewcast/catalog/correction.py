@@ -134,7 +134,7 @@ def corrected(t: Tables) -> DataFrame:
 @query("correction_grid_best", f"""
 WITH {BASE_SQL}, {BEST_SQL} SELECT Product, variant, lag, alpha, round(rmse, 2) AS rmse FROM best""")
 def best(t: Tables) -> DataFrame:
-    known = hours(t)
+    known = t.stored(hours(t))  # the version pick and the grid read it
     tuning = nth_latest_version(known, "Forecast_Date", 5).scalar()
     rows = correction.best_settings(known, volumes(t), tuning, LAGS)
     return rows.select("Product", "variant", "lag", "alpha", rounded("rmse", 2))

@@ -164,8 +164,9 @@ scoped AS (SELECT dataset_type, split_index AS split_number, * EXCLUDE (dataset_
   UNION ALL SELECT 'overall', 0, * EXCLUDE (dataset_type, split_index) FROM both_sets)"""
 
 
-def both_sets(t: Tables) -> DataFrame:
-    return labelled_rows(t.stored(daily(t)), DAY, FOLDS)
+def both_sets(t: Tables, once: bool = False) -> DataFrame:
+    """Train and test rows of all folds; the series is stored unless it is read ``once``."""
+    return labelled_rows(daily(t) if once else t.stored(daily(t)), DAY, FOLDS)
 
 
 @query("profile_numeric", f"""
@@ -189,7 +190,7 @@ UNPIVOT (SELECT dataset_type, split_number, {', '.join(
     f"CAST(COUNT(*) - COUNT({c}) AS BIGINT) AS {c}" for c in (DAY, "SWT", *DAILY_ATTRIBUTES))} FROM scoped GROUP BY ALL)
 ON {', '.join((DAY, "SWT", *DAILY_ATTRIBUTES))} INTO NAME column_name VALUE null_count""")
 def nulls(t: Tables) -> DataFrame:
-    return profile.null_counts(both_sets(t), [DAY, "SWT", *DAILY_ATTRIBUTES])
+    return profile.null_counts(both_sets(t, once=True), [DAY, "SWT", *DAILY_ATTRIBUTES])
 
 
 @query("profile_top5", f"""
@@ -215,7 +216,7 @@ counts AS (SELECT split_index, CAST(COUNT(*) FILTER (dataset_type = 'train') AS
 
 @query("split_counts", f"WITH {DAILY_SQL.strip()}, {SCOPED_SQL.strip()}, {COUNTS_SQL.strip()} SELECT * FROM counts")
 def counts(t: Tables) -> DataFrame:
-    return profile.split_counts(both_sets(t))
+    return profile.split_counts(both_sets(t, once=True))
 
 
 @query("profile_documents", f"""
@@ -223,7 +224,7 @@ WITH {DAILY_SQL.strip()}, {SCOPED_SQL.strip()}, {COUNTS_SQL.strip()}
 SELECT split_index, CAST(to_json({{'split_index': split_index, 'train_rows': train_rows, 'test_rows': test_rows}}) AS VARCHAR) AS document
 FROM counts""")
 def documents(t: Tables) -> DataFrame:
-    return profile.as_documents(profile.split_counts(both_sets(t)), ["split_index"])
+    return profile.as_documents(profile.split_counts(both_sets(t, once=True)), ["split_index"])
 
 
 LAST_YEAR_SQL = """

@@ -41,8 +41,28 @@ def build_session(app_name: str = "crewcast", master: str | None = None, **extra
 def shared_folder(spark: SparkSession) -> str:
     """A new sub-folder of the cluster's shared folder, ``spark.checkpoint.dir``.
 
-    Where it is unset, a folder in the warehouse is taken, which all nodes reach as well.
+    Where it is unset, a folder in the warehouse is taken, which all nodes reach as well. On a cluster a warehouse that
+    nobody has set lies on the driver's disk, so that is an error.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    base = base or spark.conf.get("spark.sql.warehouse.dir")
-    return f"{base.rstrip('/')}/crewcast-{uuid.uuid4().hex}"
+    conf = spark.sparkContext.getConf()
+    base = spark.conf.get("spark.checkpoint.dir", None) or conf.get("spark.checkpoint.dir")
+    if not base:
+        if not conf.get("spark.master", "").startswith("local") and not conf.get("spark.sql.warehouse.dir"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all nodes reach")
+        base = spark.conf.get("spark.sql.warehouse.dir")
+    folder = f"{base.rstrip('/')}/crewcast-{uuid.uuid4().hex}"
+    _made.append(folder)
+    return folder
+
+
+#: Folders that this driver has made.
+_made: list[str] = []
+
+
+def remove_copies(spark: SparkSession) -> int:
+    """Delete the copies that this driver has made in the shared folder, once no frame reads them; returns how many there were."""
+    count = 0
+    while _made:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_made.pop())
+        count += bool(path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True))
+    return count

@@ -24,6 +24,17 @@ def test_shared_folder_is_the_named_one(spark):
     assert first.startswith(base) and first != second
 
 
+def test_copies_are_removed(spark, frame, monkeypatch):
+    from crewcast import session
+
+    monkeypatch.setattr(session, "_made", [])
+    paths = [shared_folder(spark) for _ in range(2)]
+    tables.written(frame([(1,)], "a int"), paths[0])
+    assert session.remove_copies(spark) == 1 and session.remove_copies(spark) == 0
+    with pytest.raises(Exception):
+        spark.read.parquet(paths[0])
+
+
 def test_schema_from_json(spark):
     text = """[{"name": "a", "type": "STRING", "mode": "NULLABLE"}, {"name": "n", "type": "NUMERIC"},
       {"name": "r", "type": "RECORD", "mode": "REPEATED", "fields": [{"name": "v", "type": "FLOAT"}, {"name": "d", "type": "DATE"}]}]"""
