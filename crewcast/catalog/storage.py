@@ -17,7 +17,7 @@ from crewcast.catalog.series import panel
 from crewcast.functions import month_of, recode
 from crewcast.operators.forecast import monthly_global_forecast
 from crewcast.plans import monthly
-from crewcast.plans.versions import append_version
+from crewcast.plans.versions import append_version, version_table
 from crewcast.sources import schemas, tables
 from crewcast.sources.versioned import VersionedTable
 
@@ -32,8 +32,7 @@ def append(t: Tables) -> DataFrame:
     versions = t.stored(forecast_history(order_facts(t)))
     for stamp in [*VERSION_STAMPS, VERSION_STAMPS[-1]]:
         append_version(versions.filter(F.col("Forecast_Date") == stamp).drop("Forecast_Date"), path, stamp)
-    schema = "Forecast_Date string, Product string, predicted_SWT struct<value: double>"
-    history = tables.read_parquet(t.spark, path, schema)
+    history = version_table(t.spark, path, "Forecast_Date string, Product string, predicted_SWT struct<value: double>").read()
     return history.groupBy("Forecast_Date", "Product").agg(
         F.count(F.lit(1)).alias("n"), F.round(F.sum("predicted_SWT.value"), 4).alias("SWT")
     )

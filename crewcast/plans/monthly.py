@@ -14,7 +14,7 @@ from crewcast.operators.forecast import monthly_global_forecast
 from crewcast.operators.latest import nth_latest_version
 from crewcast.plans.fact import FactRules, Upstream, service_fact
 from crewcast.plans.runs import Run
-from crewcast.plans.versions import append_version, stamped
+from crewcast.plans.versions import append_version, stamped, version_table
 from crewcast.session import shared_folder
 from crewcast.sources import schemas, tables
 from crewcast.sources.versioned import VersionedTable
@@ -71,7 +71,7 @@ def forecast_version(panel: DataFrame, path: str, stamp: str) -> None:
 
 
 def forecasts(spark: SparkSession, path: str) -> DataFrame:
-    return tables.read_parquet(spark, path, schemas.FORECAST)
+    return version_table(spark, path, schemas.FORECAST).read()
 
 
 def published(spark: SparkSession, path: str, schema: str) -> DataFrame:
@@ -108,7 +108,7 @@ def publish_corrections(fact: DataFrame, versions: DataFrame, volumes: DataFrame
     if nth_latest_version(hours, "Forecast_Date", fv.TUNING_VERSIONS_BACK).isEmpty():
         raise ValueError(f"corrections are tuned on the forecast {fv.TUNING_VERSIONS_BACK} versions before the newest; there are fewer")
     rows = schemas.conform(corrections(hours, volumes, tuning, newest), schemas.CORRECTIONS)
-    tables.replace_partitions(rows, path, ["Forecast_Date"])
+    VersionedTable(fact.sparkSession, path, schemas.CORRECTIONS).put(rows, str(fact.sparkSession.range(1).select(newest).first()[0]))
 
 
 def panel_table(spark: SparkSession, path: str) -> VersionedTable:
@@ -128,13 +128,8 @@ def refresh_month(
     run = Run(spark, name, before or {}, made if made is not None else [])
     loaded = run.step("load", history_table(spark, f"{folder}/history"), lambda: schemas.conform(fact(), schemas.DAILY_FACT), period=period)
     panel = run.step("panel", panel_table(spark, f"{folder}/panel"), lambda: month_panel(loaded, as_of, first_month), {"as_of": as_of})
-    versions = VersionedTable(spark, f"{folder}/forecast", schemas.FORECAST)
-
-    def with_forecast() -> DataFrame:
-        others = versions.read().filter(~F.col("Forecast_Date").eqNullSafe(F.lit(stamp)))
-        return others.unionByName(schemas.conform(stamped(predicted(panel), stamp), schemas.FORECAST))
-
-    forecast = run.step("forecast", versions, with_forecast, {"stamp": stamp, "as_of": as_of})
+    versions = version_table(spark, f"{folder}/forecast", schemas.FORECAST)
+    forecast = run.step("forecast", versions, lambda: schemas.conform(stamped(predicted(panel), stamp), schemas.FORECAST), {"as_of": as_of}, slot=stamp)
     planned = publish.special_project_hours(projects, lookup)
     run.step("cube", VersionedTable(spark, f"{folder}/cube", schemas.DISPLAY), lambda: schemas.conform(
         publish.display_cube(loaded, forecast, lookup, planned, as_of, first_month), schemas.DISPLAY), {"stamp": stamp, "as_of": as_of})

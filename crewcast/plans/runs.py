@@ -28,16 +28,17 @@ class Run:
         return json.dumps([self.name, job, arguments], sort_keys=True, default=str)
 
     def step(self, job: str, table: VersionedTable, build: Callable[[], DataFrame], arguments: dict | None = None,
-             period: tuple[date, date] | None = None) -> DataFrame:
+             period: tuple[date, date] | None = None, slot: str | None = None) -> DataFrame:
         """Rows of ``table`` as this step leaves it; ``build`` is called only if the step is not done yet.
 
-        Without a ``period`` the rows replace the table, with one they replace its days.
+        The rows replace the table, or with a ``period`` its days, or with a ``slot`` that slot's rows.
         """
-        key = self.key(job, {**(arguments or {}), **({"period": period} if period else {})})
+        key = self.key(job, {**(arguments or {}), **({"period": period} if period else {}), **({"slot": slot} if slot else {})})
         done = table.done(key)
         if done is None:
             self.before.get(job, lambda: None)()
-            version = table.load(build(), *period, step=key) if period else table.replace(build(), step=key)
+            rows = build()
+            version = table.load(rows, *period, step=key) if period else table.put(rows, slot, key) if slot else table.replace(rows, key)
         else:
             version = done["version"]
         self.made.append((job, done is None))

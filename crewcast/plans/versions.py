@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from crewcast.sources import tables
+from crewcast.sources.versioned import VersionedTable, schema_text
 
 
 def stamped(forecasts: DataFrame, stamp: str) -> DataFrame:
@@ -14,4 +14,10 @@ def stamped(forecasts: DataFrame, stamp: str) -> DataFrame:
 
 def append_version(forecasts: DataFrame, history_path: str, stamp: str) -> None:
     """Add one version to the history; running it again with the same stamp changes nothing more."""
-    tables.replace_partitions(stamped(forecasts, stamp), history_path, ["Forecast_Date"])
+    rows = stamped(forecasts, stamp)
+    version_table(rows.sparkSession, history_path, schema_text(rows)).put(rows, stamp)
+
+
+def version_table(spark: SparkSession, path: str, schema: str) -> VersionedTable:
+    """The history of forecasts: one slot per stamp."""
+    return VersionedTable(spark, path, schema)

@@ -7,6 +7,7 @@ lists the loads that make up the table and the days each of them owns, so
   commit changes nothing;
 * a load of a period takes over the days of that period from all loads before it, also where it has no rows for them,
   so that overlapping loads do not count twice and an emptied period is empty;
+* a load of a slot, such as a forecast's stamp, takes the place of that slot's rows and leaves the others where they lie;
 * a commit carries the step that made it, and a step that has been committed need not run again.
 """
 
@@ -19,7 +20,12 @@ from datetime import date
 
 from pyspark.sql import DataFrame, Row, SparkSession, functions as F, types as T
 
-COMMIT = "version bigint, token string, step string, segments array<struct<load: string, first: date, until: date>>"
+COMMIT = "version bigint, token string, step string, segments array<struct<load: string, first: date, until: date, slot: string>>"
+
+
+def schema_text(rows: DataFrame) -> str:
+    """The DDL of a frame's columns."""
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
 
 
 class Conflict(RuntimeError):
@@ -28,11 +34,12 @@ class Conflict(RuntimeError):
 
 @dataclass(frozen=True)
 class Segment:
-    """A load and the days [first, until) it owns; without bounds it owns all."""
+    """A load and the days [first, until) or the slot it owns; without them it owns all its rows."""
 
     load: str
     first: date | None = None
     until: date | None = None
+    slot: str | None = None
 
     def without(self, first: date, until: date) -> list[Segment]:
         """What is left of it when another load takes over [first, until)."""
@@ -50,20 +57,22 @@ class VersionedTable:
     def __init__(self, spark: SparkSession, path: str, schema: str, day: str | None = None):
         self.spark, self.path, self.schema, self.day = spark, path.rstrip("/"), schema, day
 
-    def commits(self) -> DataFrame:
-        """All commits that hold. Of two with one version the smaller token holds; the other writer has been told."""
+    def _entries(self) -> DataFrame:
         if not self._exists("commits"):
             return self.spark.createDataFrame([], COMMIT)
-        rows = self.spark.read.schema(COMMIT).json(f"{self.path}/commits")
-        held = rows.groupBy("version").agg(F.min(F.struct("token", "step", "segments")).alias("held"))
+        return self.spark.read.schema(COMMIT).json(f"{self.path}/commits")
+
+    def commits(self) -> DataFrame:
+        """All commits that hold. Of two with one version the smaller token holds; the other writer has been told."""
+        held = self._entries().groupBy("version").agg(F.min(F.struct("token", "step", "segments")).alias("held"))
         return held.select("version", "held.*")
 
     def last(self, version: int | None = None) -> Row | None:
         """The newest commit, or that of ``version``."""
-        rows = self.commits()
+        rows = self._entries()
         if version is not None:
             rows = rows.filter(F.col("version") == version)
-        return rows.orderBy(F.desc("version")).limit(1).first()
+        return rows.orderBy(F.desc("version"), "token").limit(1).first()
 
     def done(self, step: str) -> Row | None:
         """The newest commit made by ``step``."""
@@ -116,8 +125,12 @@ class VersionedTable:
 
         return self._commit(taken_over, self._write(rows), step)
 
+    def put(self, rows: DataFrame, slot: str, step: str = "") -> int:
+        """Commit ``rows`` as the rows of ``slot``, in place of what it held; rows of other slots are not touched."""
+        return self._commit(lambda segments, load: [s for s in segments if s.slot != slot] + [Segment(load, slot=slot)], self._write(rows), step)
+
     def compact(self) -> int:
-        """Rewrite the loads as one."""
+        """Rewrite the loads as one, which no slot or period takes the place of any more but by its days."""
         return self.replace(self.read(), "compact")
 
     def vacuum(self, keep: int = 2) -> list[str]:
@@ -147,7 +160,7 @@ class VersionedTable:
 
     def _commit(self, change, load: str, step: str) -> int:
         last = self.last()
-        before = [Segment(s["load"], s["first"], s["until"]) for s in last["segments"]] if last else []
+        before = [Segment(s["load"], s["first"], s["until"], s["slot"]) for s in last["segments"]] if last else []
         version, token = (last["version"] if last else 0) + 1, uuid.uuid4().hex
         entry = {"version": version, "token": token, "step": step,
                  "segments": [{k: str(v) for k, v in vars(s).items() if v is not None} for s in change(before, load)]}

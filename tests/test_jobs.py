@@ -148,7 +148,7 @@ def test_monthly_jobs_from_history_to_published_tables(spark, fact, frame, tmp_p
     volumes = monthly.published(spark, f"{folder}/volumes", schemas.VOLUMES)
     for _ in range(2):
         monthly.publish_corrections(fact, versions, volumes, f"{folder}/corrections")
-    fixed = tables.read_parquet(spark, f"{folder}/corrections", schemas.CORRECTIONS)
+    fixed = monthly.published(spark, f"{folder}/corrections", schemas.CORRECTIONS)
     assert fixed.count() == 2 * 13 and {r[0] for r in fixed.select("Forecast_Date").distinct().collect()} == {stamps[-1]}
 
     monthly.publish_product_names(spark, f"{folder}/names")
@@ -285,3 +285,13 @@ def test_corrections_need_enough_versions(spark, fact, frame, tmp_path):
     versions = spark.createDataFrame([], schemas.FORECAST)
     with pytest.raises(ValueError, match="versions before"):
         monthly.publish_corrections(fact, versions, spark.createDataFrame([], schemas.VOLUMES), str(tmp_path / "c"))
+
+
+def test_a_slot_is_replaced_and_others_stay_where_they_lie(spark, frame, tmp_path, values):
+    table = VersionedTable(spark, str(tmp_path / "t"), NAMES)
+    for slot, v in (("x", 1), ("y", 2), ("x", 3)):
+        table.put(frame([(slot, v)], NAMES), slot)
+    assert values(table.read()) == [("x", 3), ("y", 2)] and values(table.read(2)) == [("x", 1), ("y", 2)]
+    assert len(table._names("data")) == 3 and len(table.vacuum(keep=1)) == 1
+    table.put(frame([], NAMES), "y")
+    assert values(table.read()) == [("x", 3)]
