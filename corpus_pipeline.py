@@ -11,22 +11,27 @@ from crewcast.llm.storage import stored
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the model does not reject. Null and empty texts stay, as do all where no label is known; repeated rows are judged alike."""
     return toxicity.drop_toxic(docs, toxicity_model(spark, sf_dir))
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One row of each text, that of the smallest id; null counts as the empty text."""
     return exact_dedup.drop_copies(docs)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies, that of the smallest id. Texts without words and rows without an id stay."""
     return near_dedup.drop_near_copies(docs)
 
 
 def drop_benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a passage of the benchmark; none goes where the benchmark is empty. Rows of one id go together."""
     return decontaminate.drop_leaks(docs, table(spark, sf_dir, "benchmark"))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents with their places in sequences; a null or empty text is the end id alone."""
     return pack_documents(docs)
 
 
