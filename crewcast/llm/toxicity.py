@@ -389,5 +389,8 @@ def scored(docs: DataFrame, model: Model, text_col: str = "text") -> Column:
 
 
 def drop_toxic(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that the model does not reject, columns unchanged."""
+    """The rows of ``docs`` that the model does not reject, columns unchanged.
+
+    Ids are not looked at: rows with a null id and repeated rows are judged by their texts alone. A null or empty text stays.
+    """
     return docs.filter(scored(docs, model, text_col) < model.settings.threshold)
