@@ -3,11 +3,11 @@
 Rows are range-partitioned by content: Spark samples splitters over the first characters of the
 normalised text and its hash, so that texts with one beginning still spread. Inside a partition an
 external sort puts equal texts next to each other, and the window over the *whole* text compares
-neighbours in full; a hash alone never decides.
+neighbours in full; only the parts of a text that was split, see below, know each other by a hash.
 
 A text with very many copies would fill one partition. Texts that hold more than a stated share of
 the rows (there are fewer of them than four times the partitions) get a salt as second sort key, and
-the few local results of their salts are combined afterwards.
+the few local results of their salts are combined afterwards, by the SHA-256 of the text.
 """
 
 from __future__ import annotations

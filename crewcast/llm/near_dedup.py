@@ -22,10 +22,10 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from crewcast.llm.components import connected
-from crewcast.llm.storage import small, stored
+from crewcast.llm.storage import numbered, partitions, small, stored
 from crewcast.llm.texts import STEP, mix, shingle_sets
 
 
@@ -240,8 +240,11 @@ def label_groups(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col: s
     Two documents are linked if 100 * intersection >= percent * union of their shingle sets; a component is named
     after its smallest id and keeps that document. Texts without words, and null texts, are linked with nothing. A row
     with a null id is linked with nothing, has a null component and is kept. Rows with one id should hold one
-    text; otherwise each is judged by its own. Other columns are not looked at.
+    text; otherwise each is judged by its own. Other columns are not looked at. Ids that are not whole numbers, such as
+    texts, are numbered in their order first, and come back as they were.
     """
+    if not isinstance(docs.schema[id_col].dataType, T.IntegralType):
+        return _by_number(docs, shingle, percent, id_col, text_col, sketch, margin)
     rows = docs.select(docs[id_col].cast("long").alias("id"), docs[text_col].alias("text"))
     seen = stored(sketches(rows, shingle, sketch))
     joined = F.col("digest").isNotNull() & F.col("id").isNotNull()
@@ -276,7 +279,18 @@ def label_groups(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col: s
                          F.coalesce(F.col("id") == component, F.lit(True)).alias("kept"))
 
 
+def _by_number(docs: DataFrame, shingle: int, percent: int, id_col: str, text_col: str, sketch: Sketch, margin: float) -> DataFrame:
+    """:func:`label_groups` of ids of any type that can be sorted, by their places in that order."""
+    given = docs.select(docs[id_col].alias("given"), docs[text_col].alias("text"))
+    ids = given.filter(F.col("given").isNotNull()).select("given").distinct()
+    numbers = numbered(ids.repartitionByRange(partitions(docs.sparkSession), "given").sortWithinPartitions("given"))
+    found = label_groups(given.join(numbers, "given", "left").select(F.col("index").alias("id"), "text"), shingle, percent, "id", "text", sketch, margin)
+    name = lambda number, out: numbers.select(F.col("index").alias(number), F.col("given").alias(out))
+    named = found.join(name("id", "_own"), "id", "left").join(name("component_id", "_component"), "component_id", "left")
+    return named.select(F.col("_own").alias(id_col), "n_shingles", F.col("_component").alias("component_id"), "kept")
+
+
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
     """The rows of ``docs`` whose document stays, columns unchanged; options as in :func:`label_groups`."""
     gone = label_groups(docs, id_col=id_col, **options).filter("NOT kept").select(F.col(id_col).alias("gone_id")).distinct()
-    return docs.join(gone, docs[id_col].cast("long") == gone["gone_id"], "left_anti")
+    return docs.join(gone, docs[id_col] == gone["gone_id"], "left_anti")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from crewcast.session import shared_folder
 from crewcast.sources.tables import written
@@ -37,3 +37,13 @@ def small(rows: DataFrame) -> DataFrame:
     each = sum((_bytes(f.name, f.dataType) for f in rows.schema.fields), F.lit(0))
     total = rows.agg(F.sum(each.cast("long"))).first()[0] or 0
     return F.broadcast(rows) if total <= BROADCAST_BYTES else rows
+
+
+def numbered(rows: DataFrame) -> DataFrame:
+    """Stored rows with ``index``: 0, 1, 2 and on. No row is moved: a row's place in its task and the rows of the tasks before add up."""
+    whole = stored(rows.withColumn("_number", F.monotonically_increasing_id()))
+    low = F.lit(2**33 - 1).cast("long")
+    whole = whole.withColumn("_task", F.shiftright("_number", 33)).withColumn("_at", F.col("_number").bitwiseAND(low))
+    before = Window.orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
+    starts = whole.groupBy("_task").count().select("_task", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_before"))  # one row a task
+    return whole.join(F.broadcast(starts), "_task").withColumn("index", F.col("_before") + F.col("_at")).drop("_number", "_task", "_at", "_before")

@@ -17,10 +17,10 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.mllib.linalg import Matrices
 from pyspark.mllib.linalg.distributed import BlockMatrix, IndexedRowMatrix
 from pyspark.mllib.util import MLUtils
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.storagelevel import StorageLevel
 
-from crewcast.llm.storage import stored
+from crewcast.llm.storage import numbered, stored
 from crewcast.llm.vectors import matrix, usable
 
 #: Rows of a block, and the most blocks that one task multiplies.
@@ -31,16 +31,6 @@ BLOCK_COLUMNS = 1_024
 SCHEMA = "id long, component int, n long, deviation long, whitened double, explained double, identity_error double"
 
 
-def numbered(rows: DataFrame) -> DataFrame:
-    """Stored rows with ``index``: 0, 1, 2 and on. No row is moved: a row's place in its task and the rows of the tasks before add up."""
-    whole = stored(rows.withColumn("_number", F.monotonically_increasing_id()))
-    low = F.lit(2**33 - 1).cast("long")
-    whole = whole.withColumn("_task", F.shiftright("_number", 33)).withColumn("_at", F.col("_number").bitwiseAND(low))
-    before = Window.orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
-    starts = whole.groupBy("_task").count().select("_task", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_before"))  # one row a task
-    return whole.join(F.broadcast(starts), "_task").withColumn("index", F.col("_before") + F.col("_at")).drop("_number", "_task", "_at", "_before")
-
-
 def sums(rows: DataFrame) -> list[int]:
     """Exact sums of every dimension of ``vector``, added up per task first."""
 

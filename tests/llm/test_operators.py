@@ -232,6 +232,18 @@ def test_near_odd_rows(odd, nothing):
     assert near_dedup.drop_near_copies(odd, shingle=2).columns == odd.columns
 
 
+def test_near_groups_of_text_ids(frame):
+    rows = [(f"d{k:04d}", t) for k, t in near_rows()]
+    docs = frame(rows + [(None, rows[0][1]), (None, None)], "doc_id string, text string")
+    found = near_dedup.label_groups(docs, shingle=5).collect()
+    want = plain_components(rows, 5, 80)
+    assert {r["doc_id"]: r["component_id"] for r in found if r["doc_id"]} == want
+    assert [(r["component_id"], r["kept"]) for r in found if r["doc_id"] is None] == [(None, True)] * 2
+    left = near_dedup.drop_near_copies(docs, shingle=5)
+    assert left.columns == docs.columns and sorted(r["doc_id"] for r in left.collect() if r["doc_id"]) == sorted(set(want.values()))
+    assert near_dedup.label_groups(docs.limit(0)).collect() == []
+
+
 def test_estimates_and_merged_registers():
     sketch, rng = near_dedup.Sketch(), np.random.default_rng(3)
     for shared in (100, 300, 450):
