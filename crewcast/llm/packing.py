@@ -30,13 +30,16 @@ LETTERS, DIGITS, SPACES = "A-Za-zªµºÀ-ÖØ-öø-ɏ", "0-9²³¹¼-¾", "\\t-
 WORD = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{LETTERS}]+| ?[{DIGITS}]+| ?[^{SPACES}{LETTERS}{DIGITS}]+"
                   rf"|[{SPACES}]+(?![^{SPACES}])|[{SPACES}]+")
 PLAIN = re.compile(r"[\x00-ɏ]*\Z")
+#: Byte-level models spell a byte that is no visible Latin-1 character as the next letter from U+0100 on.
+BYTE_LETTERS = dict(zip([*range(0x21), *range(0x7F, 0xA1), 0xAD], range(0x100, 0x144)))
 
 
 class Ids(dict):
     """Little-endian uint32 ids of a text, by the tokenizer of a file. Words of Latin texts are looked up once.
 
-    The file's tokenizer splits a text into words before it encodes them, so a text's ids are those of its words. Texts
-    with other letters, and texts that hold one of the tokenizer's added tokens, go to it whole.
+    The file's tokenizer splits a text into words before it encodes them, so a text's ids are those of its words. A word
+    goes to the tokenizer's model at once, its bytes spelled as the model's letters. Texts with other letters, and texts
+    that hold one of the tokenizer's added tokens, go to the tokenizer whole.
     """
 
     def __init__(self, path: str):
@@ -46,11 +49,13 @@ class Ids(dict):
         added = [token.content for token in tokenizer.get_added_tokens_decoder().values()]
         self.added = re.compile("|".join(map(re.escape, added)) or r"(?!)")
         self.encode = lambda text: array("I", tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+        self.model = tokenizer.model
 
     def __missing__(self, word: str) -> bytes:
         if len(self) >= MOST_WORDS:
             self.clear()
-        ids = self.encode(word)
+        letters = word.replace(" ", "Ġ") if word.isascii() and word.isprintable() else word.encode().decode("latin-1").translate(BYTE_LETTERS)
+        ids = array("I", [token.id for token in self.model.tokenize(letters)]).tobytes()
         if len(word) < 40:
             self[word] = ids
         return ids

@@ -153,6 +153,19 @@ def test_word_lookup_gives_the_tokenizers_ids(parts):
     assert np.frombuffer(packing.tokens_of(path).of(text), "<u4").tolist() == Tokenizer.from_file(path).encode(text, add_special_tokens=False).ids
 
 
+def test_new_words_cost_the_model_alone():
+    """Words never go through the whole tokenizer, and every byte of a Latin text has the tokenizer's id."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    ids = packing.Ids(path)
+    whole, ids.encode = ids.encode, None
+    for text in ("".join(map(chr, range(0x250))), " ".join(map(chr, range(0x250))), " übergrößen l'été 12²  don't\n\n"):
+        assert ids.of(text) == whole(text)
+    assert len(ids) > 400 and Tokenizer.from_file(path).normalizer is None
+
+
 def test_packing_odd_rows(odd, nothing, frame):
     import public_tokenizers
 
