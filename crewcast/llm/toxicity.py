@@ -16,6 +16,7 @@ tokens of a batch.
 
 from __future__ import annotations
 
+import ctypes
 import re
 from collections import Counter
 from collections.abc import Iterable, Iterator
@@ -179,8 +180,8 @@ class Model:
         parts = {t: cleaned(t) for t in fresh - known}
         words = sorted({w for split in parts.values() for w in split})
         value: dict[str, float] = {}
-        for begin in range(0, len(words), 10_000):
-            part = words[begin : begin + 10_000]
+        for begin in range(0, len(words), WORDS):
+            part = words[begin : begin + WORDS]
             value.update(zip(part, (self.landmarks.kernel(part) @ self.word_weights).tolist()))
         self._young.update((t, sum(value[w] for w in split) if split else np.nan) for t, split in parts.items())
 
@@ -204,18 +205,28 @@ class Model:
 
 
 #: Sentences that a step of the fit takes at once.
-PIECE = 8_192
+PIECE = 2_048
+#: Words whose kernels are computed at once.
+WORDS = 2_000
 
 
-def _machine(features: np.ndarray, signs: np.ndarray, cost: np.ndarray, ridge: float) -> np.ndarray:
-    """Squared-hinge machine by Newton steps on the rows inside the margin, summed some rows at a time."""
-    size = features.shape[1]
+def give_back() -> None:
+    """Return freed memory to the system; the C library would keep it for as long as the driver lives."""
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
+def _machine(features: np.ndarray, taken: np.ndarray, signs: np.ndarray, cost: np.ndarray, ridge: float) -> np.ndarray:
+    """Squared-hinge machine with a constant, by Newton steps on the taken rows inside the margin, summed some rows at a time."""
+    size = features.shape[1] + 1
     weights = np.zeros(size)
     for _ in range(20):
         square, right = ridge * np.eye(size), np.zeros(size)
-        for begin in range(0, len(features), PIECE):
-            part = slice(begin, begin + PIECE)
-            rows = features[part].astype(float)
+        for begin in range(0, len(taken), PIECE):
+            part = taken[begin : begin + PIECE]
+            rows = np.ones((len(part), size))
+            rows[:, :-1] = features[part]
             inside = signs[part] * (rows @ weights) < 1
             rows, weight = rows[inside], cost[part][inside]
             square += (rows * weight[:, None]).T @ rows
@@ -251,16 +262,19 @@ def stretched(words: list[str], known: set[str]) -> list[str]:
     return out
 
 
-def _near_words(words: list[str], marks: Landmarks) -> tuple[dict[str, int], np.ndarray]:
-    """Kernel lines of the words that are not all but zero, in pieces so that memory stays small."""
-    place, lines = {}, []
-    for begin in range(0, len(words), 10_000):
-        kernel = marks.kernel(words[begin : begin + 10_000]).astype(np.float32)
+def _near_words(words: list[str], marks: Landmarks) -> tuple[dict[str, int], np.ndarray, np.ndarray, np.ndarray]:
+    """Kernel lines of the words that are not all but zero: line i has values[starts[i] : starts[i + 1]] in those columns, the rest is zero."""
+    place, columns, values, starts = {}, [], [], [0]
+    for begin in range(0, len(words), WORDS):
+        kernel = marks.kernel(words[begin : begin + WORDS]).astype(np.float32)
         near = np.flatnonzero(kernel.max(1) > 0.01)
         known = len(place)
         place.update({words[begin + i]: known + n for n, i in enumerate(near)})
-        lines.append(kernel[near])
-    return place, np.concatenate(lines)
+        line, column = np.nonzero(kernel[near])
+        columns.append(column.astype(np.uint16))
+        values.append(kernel[near[line], column])
+        starts += (starts[-1] + np.cumsum(np.bincount(line, minlength=len(near)))).tolist()
+    return place, np.array(starts), np.concatenate(columns), np.concatenate(values)
 
 
 def chosen_landmarks(split: list[list[list[str]]], labels: list[int], settings: Settings) -> list[str]:
@@ -307,46 +321,54 @@ def fit(texts: list[str], labels: list[int], settings: Settings = Settings(), to
     one: dict[str, str] = {}  # equal words are one object
     split = [[[one.setdefault(w, w) for w in s] for s in sentences(t)] for t in texts]
     words = chosen_landmarks(split, labels, settings)
+    give_back()
     if not words or y.all():
         return constant()
     marks = Landmarks(words, settings)
     known = set(words)
     split += [[stretched(s, known) for s in text] for text, label in zip(split, labels) if label]
     positive_text = np.r_[y, np.ones(len(split) - len(y))] == 1
-    place, kernel = _near_words(sorted({w for text in split for s in text for w in s}), marks)
-    owner, sums, held, faint, together = [], [], [], 0, np.zeros(len(words))
+    place, starts, columns, values = _near_words(sorted({w for text in split for s in text for w in s}), marks)
+    # Lines that no sentence fills take no memory.
+    sums = np.empty((sum(map(len, split)) + 1, len(words)), np.float32)
+    owner, faint, together = [], 0, np.zeros(len(words))
     for d, text in enumerate(split):
         for sentence in text:
-            near = kernel[[place[w] for w in sentence if w in place]].sum(0)
+            near = np.zeros(len(words), np.float32)
+            for line in [place[w] for w in sentence if w in place]:
+                part = slice(starts[line], starts[line + 1])
+                near[columns[part]] += values[part]
             if positive_text[d] or near.max() >= settings.faint:
+                sums[len(owner)] = near
                 owner.append(d)
-                held.append(near)
-                if len(held) == PIECE:
-                    sums, held = [*sums, np.array(held, np.float32)], []
             else:
                 faint += 1
                 together += near
-    owner, sums = np.array(owner), np.concatenate([*sums, np.array([*held, together / max(1, faint)], np.float32)])
-    del kernel, place
+    sums[len(owner)] = together / max(1, faint)
+    owner, sums = np.array(owner), sums[: len(owner) + 1]
+    count = len(split)
+    del place, starts, columns, values, split, one
+    give_back()
     values, vectors = np.linalg.eigh(marks.kernel(words))
     whiten = vectors / np.sqrt(np.maximum(values, 1e-3))
     positive, number = np.r_[positive_text[owner], False], np.r_[np.ones(len(owner)), max(1.0, faint)]
     signs, value = np.where(positive, 1.0, -1.0), sums.max(1)
+    for begin in range(0, len(sums), PIECE):
+        sums[begin : begin + PIECE] = sums[begin : begin + PIECE] @ whiten
     for _ in range(settings.rounds + 1):
-        best = np.full(len(split), -np.inf)
+        best = np.full(count, -np.inf)
         np.maximum.at(best, owner, value[:-1])
         chosen = ~positive | np.r_[value[:-1] >= best[owner], True]
         balance = min(20.0, number[~positive].sum() / max(1, (positive & chosen).sum()))
-        features = np.ones((chosen.sum(), len(words) + 1), np.float32)
-        taken = np.flatnonzero(chosen)
-        for begin in range(0, len(taken), PIECE):
-            features[begin : begin + PIECE, :-1] = sums[taken[begin : begin + PIECE]] @ whiten
-        weights = _machine(features, signs[chosen], (np.where(positive, balance, 1.0) * number)[chosen], settings.ridge)
-        value = sums @ (whiten @ weights[:-1]).astype(np.float32) + weights[-1]
+        weights = _machine(sums, np.flatnonzero(chosen), signs, np.where(positive, balance, 1.0) * number, settings.ridge)
+        value = sums @ weights[:-1].astype(np.float32) + weights[-1]
+    del sums
     model = Model(marks, whiten @ weights[:-1], float(weights[-1]), np.zeros(settings.top + 1), settings)
     share = y.mean() if toxic_share is None else toxic_share
     highest = np.concatenate([model.highest(texts[i : i + 100]) for i in range(0, len(texts), 100)])
     model.final = _logistic(highest, y, np.where(y == 1, share / y.mean(), (1 - share) / (1 - y.mean())))
+    model._young, model._old = {}, {}
+    give_back()
     return model
 
 

@@ -153,6 +153,22 @@ def test_word_lookup_gives_the_tokenizers_ids(parts):
     assert np.frombuffer(packing.tokens_of(path).of(text), "<u4").tolist() == Tokenizer.from_file(path).encode(text, add_special_tokens=False).ids
 
 
+def test_toxicity_fit_holds_one_matrix():
+    """Memory of a fit on the driver: one line of numbers a sentence, in one copy, and nothing of the sample afterwards."""
+    import tracemalloc
+
+    bad = [a + b for a in "grob klum vist dorn plag zwek mirg sulp".split() for b in "ak el ip on ur".split()]
+    texts = [". ".join(random.Random(100 * i + j).choice(bad) + " " + WORDS[j % 30] for j in range(200)) for i in range(60)] + [sentence(i, 50) for i in range(240)]
+    tracemalloc.start()
+    model = toxicity.fit(texts, [1] * 60 + [0] * 240, toxicity.Settings(rounds=0))
+    _, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    line = 4 * len(model.landmarks.words)
+    assert len(model.landmarks.words) >= 40 and not model._young and not model._old
+    assert peak < 3 * 24_000 * line
+    assert model.score(texts[:1])[0] > 0.5 > model.score(texts[-1:])[0]
+
+
 def test_new_words_cost_the_model_alone():
     """Words never go through the whole tokenizer, and every byte of a Latin text has the tokenizer's id."""
     import public_tokenizers
