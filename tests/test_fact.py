@@ -213,3 +213,46 @@ def test_hierarchy_without_manager_or_company(frame):
         "a": (None, None, None, "A One", "X"), "b": ("a", None, None, "B Two", "OWN"), "c": ("b", "a", "A One", None, "OWN"),
         "d": (None, None, None, "D Four", "Y"),
     }
+
+
+def test_the_fact_reads_only_the_codes_and_rows_it_needs(frame, spark):
+    """Histories are aggregated before they are moved, and only of the codes that the rows carry."""
+    from tests.test_plans import plan
+
+    text = plan(fact.service_fact(upstream(frame), RULES, START, END))
+    assert "LeftSemi" not in text
+    assert not [code for code in ("SITE_ACCESS", "READY_FOR_DISPATCH", "DISPATCHED") if code in text]
+
+
+def test_closing_codes_are_those_of_the_statuses_without_a_sort(frame):
+    from tests.test_plans import plan
+
+    given = upstream(frame, assignment_status=[
+        (201, "COMPLETE", "a", datetime(2024, 3, 1)), (201, "REJECTED", "b", None), (202, "ON_SITE", "c", datetime(2024, 3, 1)),
+        (203, "INCOMPLETE", None, datetime(2024, 3, 2)), (203, "COMPLETE", "d", datetime(2024, 3, 2)), (204, None, None, None),
+    ]).assignment_status
+    every = {r.job_assignment_id: r.JOB_ASSIGNMENT_STATUS_CD for r in fact.assignment_statuses(given).collect()}
+    lean = fact.closing_codes(given)
+    assert {r.job_assignment_id: r.JOB_ASSIGNMENT_STATUS_CD for r in lean.collect()} == {k: v for k, v in every.items() if v is not None}
+    assert every == {201: "REJECTED", 202: None, 203: "INCOMPLETE"}
+    assert "HashAggregate" in plan(lean) and "SortAggregate" not in plan(lean)
+
+
+def test_histories_are_cut_to_the_kept_rows(frame, monkeypatch):
+    """Rows stored in between change nothing, and the histories joined after them are cut by their broadcast keys."""
+    from crewcast.operators import joins
+    from crewcast.session import shared_folder
+    from crewcast.sources.tables import written
+    from tests.test_plans import plan
+
+    up = upstream(frame, service=[(1, "ACCOUNT", "x"), (2, "PHONE", "y"), (3, "PHONE", "z")])
+    keep = lambda rows: written(rows, shared_folder(rows.sparkSession))
+    whole = fact.service_fact(up, RULES, START, END)
+    cut = fact.service_fact(up, RULES, START, END, keep)
+    assert plan(cut).count("LeftSemi, BuildRight") >= 7
+    assert sorted(map(repr, cut.collect())) == sorted(map(repr, whole.collect()))
+    left = keep(up.work_order.filter("work_order_id = 1"))
+    assert [r.work_order_id for r in joins.near_keys(left, "work_order_id")(up.service).collect()] == [1]
+    assert joins.near_keys(left, "work_order_id", limit=1)(up.service).count() == 3
+    monkeypatch.setattr(fact, "near_keys", lambda others, key: joins.near_keys(others, key, limit=1))
+    assert sorted(map(repr, fact.service_fact(up, RULES, START, END, keep).collect())) == sorted(map(repr, whole.collect()))
