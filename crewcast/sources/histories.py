@@ -10,8 +10,10 @@ The store is an ordinary bucketed Spark table outside the warehouse; nothing but
 from __future__ import annotations
 
 from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, replace
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, functions as F
 
 from crewcast.fixed_values import FOLDERS
@@ -26,6 +28,9 @@ class Layout:
     cut: tuple[str, ...] = ()
 
 
+#: Histories that are written at a time.
+AT_ONCE = 4
+
 ORDER, JOB = "work_order_id", "job_id"
 ENDS = ("effective_end_ts",)
 LAYOUTS: Mapping[str, Layout] = {
@@ -50,6 +55,12 @@ def store(rows: DataFrame, table: str, path: str, layout: Layout, buckets: int,
 
 
 def store_all(up: Upstream, prefix: str, folder: str, buckets: int, unit: str = "month") -> Upstream:
-    """All histories of ``up`` as tables ``<prefix>_<name>`` below ``folder``; small tables stay as they are."""
-    stored = {name: store(getattr(up, name), f"{prefix}_{name}", f"{folder}/{name}", layout, buckets, unit) for name, layout in LAYOUTS.items()}
-    return replace(up, **stored)
+    """All histories of ``up`` as tables ``<prefix>_<name>`` below ``folder``; small tables stay as they are.
+
+    Some are written at a time, so that one's tasks fill the cores while another commits its files.
+    """
+    given = {name: getattr(up, name) for name in LAYOUTS}
+    write = inheritable_thread_target(up.job.sparkSession)(
+        lambda name: store(given[name], f"{prefix}_{name}", f"{folder}/{name}", LAYOUTS[name], buckets, unit))
+    with ThreadPoolExecutor(AT_ONCE) as pool:
+        return replace(up, **dict(zip(LAYOUTS, pool.map(write, LAYOUTS))))

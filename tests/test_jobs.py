@@ -295,3 +295,31 @@ def test_a_slot_is_replaced_and_others_stay_where_they_lie(spark, frame, tmp_pat
     assert len(table._names("data")) == 3 and len(table.vacuum(keep=1)) == 1
     table.put(frame([], NAMES), "y")
     assert values(table.read()) == [("x", 3)]
+
+
+def test_histories_are_written_several_at_a_time(frame, monkeypatch):
+    from threading import Barrier
+
+    from crewcast.sources import histories
+
+    meet = Barrier(2, timeout=30)
+    names = list(histories.LAYOUTS)
+
+    def store(rows, table, path, layout, buckets, unit):
+        if table in (f"p_{names[0]}", f"p_{names[1]}"):
+            meet.wait()  # breaks if the second one starts after the first has ended
+        return table, path, layout
+
+    monkeypatch.setattr(histories, "store", store)
+    stored = histories.store_all(upstream(frame), "p", "/f", 2)
+    assert all(getattr(stored, n) == (f"p_{n}", f"/f/{n}", histories.LAYOUTS[n]) for n in names)
+
+
+def test_a_load_stores_the_rows_that_are_left(frame, tmp_path, monkeypatch):
+    """The histories after them are cut to these rows."""
+    kept = []
+    monkeypatch.setattr(monthly.tables, "written", lambda rows, path, write=tables.written: kept.append(write(rows, path)) or kept[-1])
+    path = str(tmp_path / "history")
+    monthly.load_history(upstream(frame), RULES, date(2024, 3, 1), date(2024, 4, 1), path)
+    assert [sorted(r.work_order_id for r in rows.collect()) for rows in kept] == [[1, 2]]
+    assert monthly.history(kept[0].sparkSession, path).count() == 3
