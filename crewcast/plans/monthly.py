@@ -33,7 +33,8 @@ def load_history(up: Upstream, rules: FactRules, start: date, end: date, path: s
     The fact's period test accepts a job by its appointment or its early start. A job whose appointment lies outside
     is a row of another day and belongs to the load that owns that day, so no job counts twice.
     """
-    rows = schemas.conform(service_fact(up, rules, start, end), schemas.DAILY_FACT)
+    keep = lambda kept: tables.written(kept, shared_folder(kept.sparkSession))
+    rows = schemas.conform(service_fact(up, rules, start, end, keep), schemas.DAILY_FACT)
     return history_table(rows.sparkSession, path).load(rows, start, end)
 
 
