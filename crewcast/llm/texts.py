@@ -11,8 +11,8 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-#: Bytes hashed at once; bounds the memory of a task whatever the batch holds. One text is never split.
-CHUNK = 2_000_000
+#: Bytes hashed at once; bounds the memory of a task, some 45 bytes for each, whatever the batch holds. One text is never split.
+CHUNK = 500_000
 
 BASE = np.uint64(0x9E3779B97F4A7C15)
 BASE_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))

@@ -556,3 +556,18 @@ def test_pipeline_on_empty_tables(spark, tmp_path):
     for name in ("documents", "labels", "benchmark"):
         spark.read.parquet(f"/root/testdata/sf0.001/{name}.parquet").limit(0).write.parquet(f"{tmp_path}/{name}.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
+
+
+def test_hashing_many_texts_takes_little_memory(monkeypatch):
+    """A batch of texts is hashed in pieces of half a megabyte, whose number changes no set."""
+    import tracemalloc
+
+    column = pa.array([sentence(seed, 2_000) for seed in range(400)])
+    tracemalloc.start()
+    found = [s for _, sets in texts.shingle_sets(column, 5) for s in sets[:1]]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(found) >= 6 and peak < 60_000_000
+    every = [s.tobytes() for _, sets in texts.shingle_sets(column, 5) for s in sets]
+    monkeypatch.setattr(texts, "CHUNK", 2_000_000)
+    assert [s.tobytes() for _, sets in texts.shingle_sets(column, 5) for s in sets] == every
