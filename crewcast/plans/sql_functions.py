@@ -11,7 +11,7 @@ the scan below, and a lookup called with LATERAL becomes a join.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -56,13 +56,15 @@ def register_product_group_of(spark: SparkSession, rules: FactRules, anywhere: S
             f"WHERE r.p = product AND r.home <=> (province = {_quoted(rules.home_province)})")
 
 
-def register_period_fact(up: Upstream, rules: FactRules, prefix: str = "") -> None:
+def register_period_fact(up: Upstream, rules: FactRules, prefix: str = "", keep: Callable[[DataFrame], DataFrame] | None = None) -> None:
     """``period_fact(first, until)``: the daily fact of the local days [first, until).
 
     The view below holds the rows of all periods; the function's dates bound the jobs' instants as well, which reaches
-    the job scan.
+    the job scan. With ``keep``, which stores rows and gives them back, the rows of all periods are built once, now, from histories
+    that are cut as in :func:`work_rows`; calls then read the days they ask for from what is stored, as of now.
     """
-    rows = labelled_work(up, rules)
+    rows = labelled_work(up, rules, keep)
+    rows = rows if keep is None else keep(rows)
     rows.createOrReplaceTempView(f"{prefix}work_rows")
     keys = {
         "Appointment_Timestamp": "day", "Work_Force": "work_force", "Job_Assignment_Status": "assignment_status", "Job_Type_Cd": "job_type",
@@ -80,9 +82,9 @@ def register_period_fact(up: Upstream, rules: FactRules, prefix: str = "") -> No
         FROM {prefix}work_rows WHERE ({near}) AND ({inside}) GROUP BY {', '.join(keys.values())}""")
 
 
-def register_all(up: Upstream, rules: FactRules, prefix: str = "") -> None:
-    """All four; the stand-alone group lookup knows no product that holds everywhere."""
+def register_all(up: Upstream, rules: FactRules, prefix: str = "", keep: Callable[[DataFrame], DataFrame] | None = None) -> None:
+    """All four, ``keep`` as in :func:`register_period_fact`; the stand-alone group lookup knows no product that holds everywhere."""
     register_workers(up.team_member, rules, prefix)
     register_product_of(up.product_keys, prefix)
     register_product_group_of(up.job.sparkSession, rules, prefix=prefix)
-    register_period_fact(up, rules, prefix)
+    register_period_fact(up, rules, prefix, keep)

@@ -256,3 +256,29 @@ def test_histories_are_cut_to_the_kept_rows(frame, monkeypatch):
     assert joins.near_keys(left, "work_order_id", limit=1)(up.service).count() == 3
     monkeypatch.setattr(fact, "near_keys", lambda others, key: joins.near_keys(others, key, limit=1))
     assert sorted(map(repr, fact.service_fact(up, RULES, START, END, keep).collect())) == sorted(map(repr, whole.collect()))
+
+
+def test_jobs_meet_their_assignments_before_their_work_orders(frame):
+    """What drops jobs by their own key comes first, so the rows move by work order once, for all that is joined by it."""
+    import re
+
+    built = fact.work_rows(upstream(frame), RULES, START, END)._jdf.queryExecution().analyzed().toString()
+    joined = [a for a, b in re.findall(r"Join Inner, \((\w+)#\d+ = (\w+)#\d+\)", built) if a == b]
+    assert joined == ["work_order_id", "work_order_id", "team_member_id", "job_assignment_id", "job_id", "job_id"]
+
+
+def test_a_table_function_may_read_stored_rows(frame, spark):
+    """With ``keep`` a call joins nothing: it reads its days from the rows that were stored when it was registered."""
+    from crewcast.plans.sql_functions import register_period_fact
+    from crewcast.session import shared_folder
+    from crewcast.sources.tables import written
+    from tests.test_plans import plan
+
+    up = upstream(frame, job=[(101, 1, 9, "JT", datetime(2024, 3, 10, 15), datetime(2024, 3, 10, 15), Decimal(8)),
+                              (102, 2, 9, "JT", datetime(2024, 4, 20, 15), datetime(2024, 4, 2, 2), Decimal(4))])
+    register_period_fact(up, RULES, "lazy_")
+    register_period_fact(up, RULES, "kept_", lambda rows: written(rows, shared_folder(spark)))
+    for first, until, n in (("2024-03-01", "2024-04-01", 2), ("2024-03-01", "2024-04-02", 3), ("2024-04-02", "2024-05-01", 1), ("2025-01-01", "2026-01-01", 0)):
+        lazy, kept = (spark.sql(f"SELECT * FROM {p}_period_fact(DATE'{first}', DATE'{until}')") for p in ("lazy", "kept"))
+        assert sorted(map(repr, kept.collect())) == sorted(map(repr, lazy.collect())) and kept.count() == n
+        assert "Join" in plan(lazy) and "Join" not in plan(kept) and "early_start_time" in plan(kept)
