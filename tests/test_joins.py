@@ -6,7 +6,7 @@ from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from crewcast.operators.distinct import distinct_keys, key_bitmaps, numbered_keys
-from crewcast.operators.joins import interval_join
+from crewcast.operators.joins import interval_join, near_keys
 from crewcast.operators.latest import latest_version_flag, nth_latest_version
 from crewcast.sources.tables import read_checked_sheet
 
@@ -79,3 +79,17 @@ def test_versions_are_ordered_by_time_not_by_text(frame):
     assert flags == {"2000-9-01": False, "2000-10-01": True, None: False, "draft": False}
     assert [nth_latest_version(rows, "v", k).collect()[0][0] for k in range(3)] == ["2000-10-01", "2000-9-01", "draft"]
     assert nth_latest_version(rows, "v", 3).collect() == []
+
+
+def test_more_keys_than_may_be_listed_still_cut(spark):
+    """Beyond the limit a bit per key is broadcast: no key is lost, and few others pass."""
+    rows = spark.range(60_000).selectExpr("id - 20000 AS n", "'k' || id AS s", "int(id) AS small")
+    left = rows.filter("n % 20 = 0").unionByName(spark.sql("SELECT bigint(NULL) AS n, string(NULL) AS s, int(NULL) AS small"))
+    for key in ("n", "s"):
+        cut = near_keys(left, key, limit=20_000)(rows)
+        assert cut.columns == rows.columns and left.filter("n IS NOT NULL").exceptAll(cut).isEmpty()
+        assert 3_000 <= cut.count() < 3_000 + 0.15 * 57_000 and cut.exceptAll(rows).isEmpty()
+        assert near_keys(left, key, limit=11_000)(rows).count() == 60_000
+    other = rows.selectExpr("n AS small")
+    assert near_keys(left, "small", limit=20_000)(other).count() == 60_000
+    assert near_keys(left.selectExpr("decimal(n) AS n"), "n", limit=20_000)(rows.selectExpr("decimal(n) AS n")).count() == 60_000
